@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from jobstar.functions.keys import stable_key
 from jobstar.functions.text import non_blank
 
 
@@ -51,3 +52,10 @@ def with_source(df: DataFrame, name: str, col: str = "source") -> DataFrame:
 def with_ingest_time(df: DataFrame, col: str = "ingest_time") -> DataFrame:
     """Landing timestamp (lineage column on bronze)."""
     return df.withColumn(col, F.current_timestamp())
+
+
+def with_row_key(df: DataFrame, cols: list[str], out: str = "id") -> DataFrame:
+    """A landing row id that is the same on every rerun (md5 of e.g.
+    the posting link), instead of a per-run sequential counter, which would
+    need one task to number all rows."""
+    return df.withColumn(out, stable_key(df, cols))

@@ -27,7 +27,7 @@ from jobstar.functions.parse import (
 )
 from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags
 from jobstar.operators.checks import fk_violations, pk_violations
-from jobstar.operators.conform import required_filter, union_sources, with_source
+from jobstar.operators.conform import required_filter, union_sources, with_row_key, with_source
 from jobstar.operators.dedup import latest_per_key
 from jobstar.operators.joins import lookup
 from jobstar.operators.pages import (
@@ -693,6 +693,14 @@ def q_address_district(spark, d):
     return y.select("c_custkey", "address", district_from_address("address", mode="fixed").alias("district"))
 
 
+@register("landing_key", f"""
+SELECT page_id, url, {sql_key('url')} AS id FROM pages
+""")
+def q_landing_key(spark, d):
+    """Rerun-stable landing id from the page link."""
+    return with_row_key(table(spark, d, "pages").select("page_id", "url"), ["url"], "id")
+
+
 # ============================================================ filter
 @register("required_filter", """
 SELECT doc_id, lang, source, n_chars FROM documents
