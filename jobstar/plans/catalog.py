@@ -113,7 +113,7 @@ def q_top_skills(spark, d):
 
 
 @register("keyword_tags", f"""
-SELECT doc_id, array_to_string(tags, ',') AS tags, len(tags) AS n_tags
+SELECT doc_id, array_to_string(tags, ',') AS tags, CAST(len(tags) AS INTEGER) AS n_tags
 FROM (SELECT doc_id, list_filter({SQL_VOCAB}, lambda k: contains(lower(text), k)) AS tags
       FROM documents)
 """)
@@ -375,7 +375,7 @@ def q_struct_project(spark, d):
 
 
 @register("envelope_explode", """
-SELECT conv_id, turn, role, length(text) AS n_chars,
+SELECT conv_id, turn, role, CAST(length(text) AS INTEGER) AS n_chars,
        coalesce(CASE WHEN role = 'user' THEN turn END, 0) AS nb_pages
 FROM conversations
 """)
@@ -650,7 +650,7 @@ def q_array_pick(spark, d):
 
 
 @register("array_clean", """
-SELECT p_partkey, array_to_string(c, ',') AS items, len(c) AS n_items
+SELECT p_partkey, array_to_string(c, ',') AS items, CAST(len(c) AS INTEGER) AS n_items
 FROM (SELECT p_partkey,
              list_filter(list_concat(string_split(p_name, ' '), [p_type]), lambda x: x IS DISTINCT FROM 'hot') AS c
       FROM part)
@@ -731,7 +731,7 @@ SELECT page_id, url,
   nullif(regexp_extract(html, '(?is)<html\\b[^>]*\\blang="([^"]*)"', 1), '') AS lang,
   {sql_element('h', 'title')} AS title, {sql_element('h', 'h1')} AS h1,
   {sql_element('h', 'footer')} AS footer,
-  len(regexp_extract_all(h, '(?is)<a\\b[^>]*\\bhref="([^"]*)"', 1)) AS n_links,
+  CAST(len(regexp_extract_all(h, '(?is)<a\\b[^>]*\\bhref="([^"]*)"', 1)) AS INTEGER) AS n_links,
   array_to_string(regexp_extract_all(h, '(?is)<a\\b[^>]*\\bhref="([^"]*)"', 1), ' ') AS links
 FROM (SELECT page_id, url, html, {SQL_STRIPPED} AS h FROM pages)
 """
@@ -784,7 +784,7 @@ def _paragraphs() -> Column:
 
 
 @register("page_positions", f"""
-SELECT page_id, len(p) AS n_paragraphs, p[1] AS p0, p[3] AS p2, p[4] AS p3, p[5] AS p4
+SELECT page_id, CAST(len(p) AS INTEGER) AS n_paragraphs, p[1] AS p0, p[3] AS p2, p[4] AS p3, p[5] AS p4
 FROM (SELECT page_id, {_SQL_PARAS} AS p FROM pages)
 """)
 def q_page_positions(spark, d):
@@ -799,7 +799,7 @@ _SQL_BOLD = (f"list_transform(regexp_extract_all({SQL_STRIPPED}, '(?is)<b\\b[^>]
 
 
 @register("page_list_split", f"""
-SELECT page_id, len(head) AS n_head, len(bold) AS n_tail, head[1] AS head_first,
+SELECT page_id, CAST(len(head) AS INTEGER) AS n_head, CAST(len(bold) AS INTEGER) AS n_tail, head[1] AS head_first,
        head[len(head)] AS head_last
 FROM (SELECT page_id, bold, p[1:greatest(len(p) - len(bold), 0)] AS head
       FROM (SELECT page_id, {_SQL_PARAS} AS p, {_SQL_BOLD} AS bold FROM pages))
@@ -888,3 +888,140 @@ def q_layered_write(spark, d):
     root = scratch_path(spark, "layers")
     write_layer(table(spark, d, "nation"), root, "gold", "nation", prefix="v1_")
     return read_layer(spark, root, "gold", "nation", prefix="v1_")
+
+
+# ============================================================ the pipeline itself (E2 + E3)
+# Board-A bronze rows derived from the whole ``documents`` table: every
+# document is a posting whose requirements and description are its full
+# text. Silver, the fact and the bridge then run unchanged.
+_BRONZE_A_SQL = f"""
+SELECT CAST(doc_id AS VARCHAR) AS id,
+  CASE lang WHEN 'en' THEN ' Data Engineer ' WHEN 'fr' THEN 'Ingénieur Données'
+            WHEN 'de' THEN 'DATEN Ingenieur' ELSE 'Ingeniero de Datos' END AS title,
+  ' ' || source || ' ' AS company_name,
+  CASE WHEN n_chars < 500 THEN 'Thỏa thuận'
+       WHEN n_chars < 2000 THEN (n_chars // 100) || ' - ' || (n_chars // 50) || ' triệu'
+       ELSE 'Tới ' || (n_chars // 100) || ' triệu' END AS salary,
+  CASE WHEN n_chars < 1000 THEN 'Không yêu cầu kinh nghiệm'
+       WHEN n_chars < 5000 THEN (n_chars // 1000) || ' năm' ELSE 'Trên 5 năm' END AS yoe,
+  {_sq(DEADLINE_LABEL)} || strftime(DATE '2024-01-01' + CAST(doc_id AS INTEGER), '%d/%m/%Y') AS deadline_submit,
+  text AS description, text AS requirements,
+  (n_chars // 10) || '-' || (n_chars // 5) || ' nhân viên' AS company_size,
+  lang AS major_field, 'Nhân viên' AS level, length(source) || ' người' AS num_of_recruit,
+  'Toàn thời gian' AS work_form,
+  ['Việc làm IT', lang, source] AS relation_fields, ['Hà Nội', source] AS area
+FROM documents"""
+
+
+def postings_bronze(spark, d) -> DataFrame:
+    """Board-A bronze rows derived from ``documents`` (same rules as the SQL)."""
+    docs = table(spark, d, "documents")
+    n, lang, src = F.col("n_chars"), F.col("lang"), F.col("source")
+
+    def div(k):
+        return F.expr(f"n_chars div {k}").cast("string")
+
+    title = (F.when(lang == "en", " Data Engineer ").when(lang == "fr", "Ingénieur Données")
+              .when(lang == "de", "DATEN Ingenieur").otherwise("Ingeniero de Datos"))
+    salary = (F.when(n < 500, F.lit("Thỏa thuận"))
+               .when(n < 2000, F.concat(div(100), F.lit(" - "), div(50), F.lit(" triệu")))
+               .otherwise(F.concat(F.lit("Tới "), div(100), F.lit(" triệu"))))
+    yoe = (F.when(n < 1000, F.lit("Không yêu cầu kinh nghiệm"))
+            .when(n < 5000, F.concat(div(1000), F.lit(" năm"))).otherwise(F.lit("Trên 5 năm")))
+    deadline = F.concat(F.lit(DEADLINE_LABEL),
+                        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int")),
+                                      "dd/MM/yyyy"))
+    bronze = docs.select(
+        F.col("doc_id").cast("string").alias("id"), title.alias("title"),
+        F.concat(F.lit(" "), src, F.lit(" ")).alias("company_name"), salary.alias("salary"),
+        yoe.alias("yoe"), deadline.alias("deadline_submit"),
+        F.col("text").alias("description"), F.col("text").alias("requirements"),
+        F.concat(div(10), F.lit("-"), div(5), F.lit(" nhân viên")).alias("company_size"),
+        lang.alias("major_field"), F.lit("Nhân viên").alias("level"),
+        F.concat(F.length(src).cast("string"), F.lit(" người")).alias("num_of_recruit"),
+        F.lit("Toàn thời gian").alias("work_form"),
+        F.array(F.lit("Việc làm IT"), lang, src).alias("relation_fields"),
+        F.array(F.lit("Hà Nội"), src).alias("area"))
+    from jobstar import schemas
+    from jobstar.operators.conform import to_schema
+    return to_schema(bronze, schemas.BRONZE_A, allow_missing=True)
+
+
+_SILVER_A_SQL = f"""
+WITH bronze AS ({_BRONZE_A_SQL}),
+s AS (
+  SELECT trim(lower(title)) AS job_position, trim(company_name) AS company_name,
+    CASE WHEN contains(y, 'không yêu cầu') THEN 0.0 WHEN contains(y, 'trên') THEN 5.5
+         WHEN regexp_matches(y, '\\d+') THEN CAST(TRY_CAST(regexp_extract(y, '(\\d+)', 1) AS INTEGER) AS DOUBLE)
+    END AS yoe,
+    CAST(try_strptime(replace(deadline_submit, {_sq(DEADLINE_LABEL)}, ''), '%d/%m/%Y') AS DATE) AS job_posting_date,
+    CASE WHEN contains(sal, 'thỏa thuận') THEN NULL
+         WHEN regexp_matches(sal, '\\d+') THEN TRY_CAST(regexp_extract(sal, '(\\d+)', 1) AS BIGINT) * 1000000
+    END AS min_salary,
+    CASE WHEN contains(sal, 'thỏa thuận') THEN NULL
+         WHEN regexp_matches(sal, '\\d+\\s*-\\s*(\\d+)')
+         THEN TRY_CAST(regexp_extract(sal, '\\d+\\s*-\\s*(\\d+)', 1) AS BIGINT) * 1000000
+    END AS max_salary,
+    TRY_CAST(regexp_extract(sz, '(\\d+)', 1) AS INTEGER) AS company_size_min,
+    CASE WHEN contains(sz, '+') OR NOT contains(sz, '-') THEN TRY_CAST(regexp_extract(sz, '(\\d+)', 1) AS INTEGER)
+         ELSE TRY_CAST(regexp_extract(sz, '-(\\d+)', 1) AS INTEGER) END AS company_size_max,
+    major_field, level,
+    CAST(TRY_CAST(replace(num_of_recruit, ' người', '') AS INTEGER) AS BIGINT) AS num_of_recruit,
+    work_form,
+    list_filter(relation_fields, lambda x: x IS DISTINCT FROM 'Việc làm IT') AS relation_fields,
+    list_filter({SQL_VOCAB}, lambda k: contains(lower(requirements), k)) AS skills_extracted,
+    area[1] AS city, area[2] AS district, 'topcv' AS source, requirements, description
+  FROM (SELECT *, trim(lower(yoe)) AS y, lower(salary) AS sal, trim(lower(company_size)) AS sz FROM bronze)),
+f AS (SELECT * FROM s WHERE job_position IS NOT NULL AND job_position <> ''
+        AND company_name IS NOT NULL AND company_name <> ''
+        AND requirements IS NOT NULL AND requirements <> ''
+        AND description IS NOT NULL AND description <> ''),
+silver AS (
+  SELECT * EXCLUDE (rn, requirements, description) FROM (
+    SELECT *, row_number() OVER (PARTITION BY job_position, company_name
+                                 ORDER BY job_posting_date DESC NULLS LAST) AS rn FROM f)
+  WHERE rn = 1)"""
+
+
+@register("silver_postings", _SILVER_A_SQL + """
+SELECT * REPLACE (array_to_string(relation_fields, ',') AS relation_fields,
+                  array_to_string(skills_extracted, ',') AS skills_extracted)
+FROM silver
+""")
+def q_silver_postings(spark, d):
+    """E2 on document-derived postings: C1-C3, C6, C8, C10-C12, B28, B3, W1."""
+    from jobstar.plans.silver import silver_board_a
+    s = silver_board_a(postings_bronze(spark, d))
+    return s.withColumns({"relation_fields": F.array_join("relation_fields", ","),
+                          "skills_extracted": F.array_join("skills_extracted", ",")})
+
+
+_VIEW_SQL = _SILVER_A_SQL + f""",
+view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
+                {sql_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
+                job_posting_date AS DateID FROM silver)"""
+
+
+@register("gold_fact_postings", _VIEW_SQL + f"""
+SELECT JobPostingID, {sql_key('company_name', 'major_field')} AS CompanyID,
+       {sql_key('job_position', 'level', 'relation_fields', arrays=(2,))} AS JobPositionID,
+       DateID, {sql_key('work_form')} AS WorkFormID, min_salary AS MinSalary,
+       max_salary AS MaxSalary, yoe AS YOE, num_of_recruit AS NumOfRecruit
+FROM view
+""")
+def q_gold_fact_postings(spark, d):
+    """E3 fact_job (D6, G7) over the silver postings."""
+    from jobstar.plans.gold import gold_tables, gold_view
+    from jobstar.plans.silver import silver_board_a
+    return gold_tables(gold_view([silver_board_a(postings_bronze(spark, d))]))["fact_job"]
+
+
+@register("gold_bridge_postings", _VIEW_SQL + f"""
+SELECT DISTINCT JobPostingID, {sql_key('SkillName')} AS SkillID
+FROM (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view)
+""")
+def q_gold_bridge_postings(spark, d):
+    """E3 fact_jobskill (S3, G5, G6) over the silver postings."""
+    from jobstar.plans.gold import gold_tables, gold_view
+    from jobstar.plans.silver import silver_board_a
+    return gold_tables(gold_view([silver_board_a(postings_bronze(spark, d))]))["fact_jobskill"]

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.oracle_check import TABLES, canon
+from tools.type_check import SPARK_TO_DUCK
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,6 +27,9 @@ def test_every_query_has_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     scols, srows = canon(df.columns, [tuple(r) for r in df.collect()])
+    rel = con.sql(E.oracle_sql()[name])
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == dtypes
     res = con.execute(E.oracle_sql()[name])
     dcols, drows = canon([d[0] for d in res.description], res.fetchall())
     assert scols == dcols
