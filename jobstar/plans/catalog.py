@@ -1025,3 +1025,127 @@ def q_gold_bridge_postings(spark, d):
     from jobstar.plans.gold import gold_tables, gold_view
     from jobstar.plans.silver import silver_board_a
     return gold_tables(gold_view([silver_board_a(postings_bronze(spark, d))]))["fact_jobskill"]
+
+
+# Board-B (API) bronze rows derived from ``orders`` joined with ``customer``:
+# nested structs and arrays of structs, as the API returns them.
+_BRONZE_B_SQL = """
+SELECT 'Analyst ' || o.o_orderpriority AS jobTitle, c.c_name AS companyName,
+  CAST(c.c_nationkey AS BIGINT) AS yearsOfExperience,
+  strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+07:00' AS approvedOn,
+  CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS salaryMin,
+  CAST(floor(o.o_totalprice / 500) AS BIGINT) AS salaryMax,
+  CASE o.o_orderstatus WHEN 'F' THEN 'USD' WHEN 'O' THEN 'VND' ELSE 'EUR' END AS salaryCurrency,
+  CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN '100-499' WHEN 'BUILDING' THEN '1,000+'
+       WHEN 'FURNITURE' THEN '500-' WHEN 'HOUSEHOLD' THEN '25 - 99'
+       ELSE CAST(c.c_nationkey AS VARCHAR) END AS companySize,
+  {'parentName': c.c_mktsegment,
+   'children': [{'name': o.o_orderstatus}, {'name': o.o_orderpriority}]} AS jobFunction,
+  'Nhân viên' AS jobLevelVI, CAST(c.c_nationkey AS BIGINT) AS numberOfRecruits,
+  CASE o.o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS typeWorkingId,
+  CASE WHEN o.o_orderstatus = 'P' THEN []
+       ELSE [{'cityNameVI': 'Hồ Chí Minh',
+              'address': CASE c.c_mktsegment WHEN 'MACHINERY' THEN 'Quận 1, HCM'
+                              ELSE c.c_custkey || ' Lê Lợi, Quận Tân Bình, HCM' END}] END AS workingLocations,
+  [{'skillName': ' ' || c.c_mktsegment}, {'skillName': o.o_orderpriority}] AS skills
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
+def api_bronze(spark, d) -> DataFrame:
+    """Board-B bronze rows derived from ``orders`` and ``customer``."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    x = o.join(c, o.o_custkey == c.c_custkey, "left")
+    st, seg = F.col("o_orderstatus"), F.col("c_mktsegment")
+    size = (F.when(seg == "AUTOMOBILE", "100-499").when(seg == "BUILDING", "1,000+")
+             .when(seg == "FURNITURE", "500-").when(seg == "HOUSEHOLD", "25 - 99")
+             .otherwise(F.col("c_nationkey").cast("string")))
+    address = F.when(seg == "MACHINERY", F.lit("Quận 1, HCM")).otherwise(
+        F.concat(F.col("c_custkey").cast("string"), F.lit(" Lê Lợi, Quận Tân Bình, HCM")))
+    loc = F.struct(F.lit("Hồ Chí Minh").alias("cityNameVI"), address.alias("address"))
+    bronze = x.select(
+        F.concat(F.lit("Analyst "), F.col("o_orderpriority")).alias("jobTitle"),
+        F.col("c_name").alias("companyName"),
+        F.col("c_nationkey").cast("bigint").alias("yearsOfExperience"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00")).alias("approvedOn"),
+        F.floor(F.col("o_totalprice") / 1000).alias("salaryMin"),
+        F.floor(F.col("o_totalprice") / 500).alias("salaryMax"),
+        F.when(st == "F", "USD").when(st == "O", "VND").otherwise("EUR").alias("salaryCurrency"),
+        size.alias("companySize"),
+        F.struct(seg.alias("parentName"),
+                 F.array(F.struct(st.alias("name")), F.struct(F.col("o_orderpriority").alias("name")))
+                 .alias("children")).alias("jobFunction"),
+        F.lit("Nhân viên").alias("jobLevelVI"),
+        F.col("c_nationkey").cast("bigint").alias("numberOfRecruits"),
+        F.when(st == "F", 1).when(st == "O", 2).alias("typeWorkingId"),
+        F.when(st == "P", F.array().cast("array<struct<cityNameVI:string,address:string>>"))
+         .otherwise(F.array(loc)).alias("workingLocations"),
+        F.array(F.struct(F.concat(F.lit(" "), seg).alias("skillName")),
+                F.struct(F.col("o_orderpriority").alias("skillName"))).alias("skills"))
+    from jobstar import schemas
+    from jobstar.operators.conform import to_schema
+    return to_schema(bronze, schemas.BRONZE_B)
+
+
+_SILVER_B_SQL = f"""
+WITH bronze_b AS ({_BRONZE_B_SQL}),
+sb AS (
+  SELECT jobTitle AS job_position, companyName AS company_name,
+    CAST(yearsOfExperience AS DOUBLE) AS yoe,
+    TRY_CAST(split_part(approvedOn, 'T', 1) AS DATE) AS job_posting_date,
+    CASE WHEN salaryCurrency = 'USD' AND salaryMin IS NOT NULL AND salaryMin <> 0 THEN salaryMin * 24000
+         WHEN salaryCurrency = 'VND' AND salaryMin IS NOT NULL AND salaryMin <> 0 THEN salaryMin END AS min_salary,
+    CASE WHEN salaryCurrency = 'USD' AND salaryMax IS NOT NULL AND salaryMax <> 0 THEN salaryMax * 24000
+         WHEN salaryCurrency = 'VND' AND salaryMax IS NOT NULL AND salaryMax <> 0 THEN salaryMax END AS max_salary,
+    CASE WHEN ok THEN p0 END AS company_size_min, CASE WHEN ok THEN p1 END AS company_size_max,
+    jobFunction.parentName AS major_field, jobLevelVI AS level, numberOfRecruits AS num_of_recruit,
+    CASE WHEN typeWorkingId = 1 THEN 'Toàn thời gian' ELSE 'Bán thời gian' END AS work_form,
+    list_transform(jobFunction.children, lambda x: x.name) AS relation_fields,
+    list_transform(skills, lambda x: x.skillName) AS skills_extracted,
+    workingLocations[1].cityNameVI AS city,
+    regexp_extract(workingLocations[1].address, '(?i)(Quận|Q\\.)\\s*([^\\.,\\d]+)', 2) AS district,
+    'vietnamworks' AS source
+  FROM (SELECT *, (companySize <> '' AND p0 IS NOT NULL AND (p1_raw IS NULL OR p1 IS NOT NULL)) AS ok
+    FROM (SELECT *, TRY_CAST(trim(parts[1]) AS INTEGER) AS p0, parts[2] AS p1_raw,
+                 TRY_CAST(trim(parts[2]) AS INTEGER) AS p1
+      FROM (SELECT *, string_split(trim(regexp_replace(companySize, '[,+]', '', 'g')), '-') AS parts
+            FROM bronze_b)))),
+silver_b AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY job_position, company_name
+      ORDER BY job_posting_date DESC NULLS LAST, yoe, min_salary, max_salary, company_size_min,
+               company_size_max, major_field, level, num_of_recruit, work_form, relation_fields,
+               skills_extracted, city, district, source) AS rn FROM sb)
+  WHERE rn = 1)"""
+
+
+@register("silver_api_postings", _SILVER_B_SQL + """
+SELECT * REPLACE (array_to_string(relation_fields, ',') AS relation_fields,
+                  array_to_string(skills_extracted, ',') AS skills_extracted)
+FROM silver_b
+""")
+def q_silver_api_postings(spark, d):
+    """E2 board B: C3b, C4, C5, C7, C9, B9, B18-B20, W2 on nested records."""
+    from jobstar.plans.silver import silver_board_b
+    s = silver_board_b(api_bronze(spark, d))
+    return s.withColumns({"relation_fields": F.array_join("relation_fields", ","),
+                          "skills_extracted": F.array_join("skills_extracted", ",")})
+
+
+@register("gold_union_fact", _SILVER_A_SQL + "," + _SILVER_B_SQL.removeprefix("\nWITH ") + f""",
+view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
+                {sql_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
+                job_posting_date AS DateID
+         FROM (SELECT * FROM silver UNION ALL BY NAME SELECT * FROM silver_b))
+SELECT JobPostingID, {sql_key('company_name', 'major_field')} AS CompanyID,
+       {sql_key('job_position', 'level', 'relation_fields', arrays=(2,))} AS JobPositionID,
+       DateID, {sql_key('work_form')} AS WorkFormID, min_salary AS MinSalary,
+       max_salary AS MaxSalary, yoe AS YOE, num_of_recruit AS NumOfRecruit
+FROM view
+""")
+def q_gold_union_fact(spark, d):
+    """E3 over both boards: S1 union by name, then fact_job."""
+    from jobstar.plans.gold import gold_tables, gold_view
+    from jobstar.plans.silver import silver_board_a, silver_board_b
+    view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
+    return gold_tables(view)["fact_job"]
