@@ -42,9 +42,17 @@ def build_date_dimension(df: DataFrame, date_col: str | Column, out: str = "Date
 
 def explode_items(df: DataFrame, keep: list[str], array_col: str | Column, out: str,
                   trim: bool = True) -> DataFrame:
-    """S3 + B26: one row per array item; null and empty arrays drop the row;
-    items are trimmed (case is kept)."""
-    x = df.select(*keep, F.explode(as_col(array_col)).alias(out))
+    """S3 + B26: one row per array item; null and empty arrays drop the row,
+    null items are kept; items are trimmed (case is kept).
+
+    Written as ``posexplode_outer`` + ``pos is not null`` (same rows as
+    ``explode``): for a plain ``explode`` Catalyst infers a
+    ``size(array) > 0`` filter that copies the array expression (e.g. the
+    67-keyword tagger) below the generator, computing it twice and pushing
+    the stage out of whole-stage codegen (4.5x slower on documents).
+    """
+    x = (df.select(*keep, F.posexplode_outer(as_col(array_col)).alias("__pos", out))
+           .filter(F.col("__pos").isNotNull()).drop("__pos"))
     return x.withColumn(out, F.trim(out)) if trim else x
 
 
