@@ -28,3 +28,34 @@ def fk_violations(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
     if not null_is_violation:
         bad = bad.filter(reduce(lambda a, b: a & b, [F.col(fc).isNotNull() for fc, _ in on]))
     return bad
+
+
+def parse_failures(df: DataFrame, pairs: dict[str, tuple[str, str]],
+                   excused: dict[str, str] | None = None) -> DataFrame:
+    """Quality report for dirty text: per check, the rows whose raw text is
+    present but whose parsed value is null (the source job aborted on such
+    rows under ANSI; here they become null and are counted).
+
+    ``pairs`` maps check name -> (raw column, parsed column); ``excused``
+    maps a check to a boolean column that marks an expected null (e.g.
+    "negotiable" salary). One distributed aggregation, one output row per
+    check.
+    """
+    excused = excused or {}
+    aggs = []
+    for name, (raw, parsed) in pairs.items():
+        bad = F.col(raw).isNotNull() & F.col(parsed).isNull()
+        if name in excused:
+            bad = bad & ~F.coalesce(F.col(excused[name]), F.lit(False))
+        aggs.append(F.sum(F.when(bad, 1).otherwise(0)).alias(name))
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
+    stack = ", ".join(f"'{n}', `{n}`" for n in pairs)
+    return wide.selectExpr("rows", f"stack({len(pairs)}, {stack}) AS (check, failures)")
+
+
+def key_report(checks: dict[str, DataFrame]) -> DataFrame:
+    """Union of named violation frames -> (check, violations) counts."""
+    from functools import reduce as _reduce
+    parts = [v.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(k).alias("check"), "violations")
+             for k, v in checks.items()]
+    return _reduce(lambda a, b: a.unionByName(b), parts)

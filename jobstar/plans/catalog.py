@@ -38,7 +38,7 @@ from jobstar.operators.reports import distribution, top_n
 from jobstar.operators.star import (
     DimRef, build_bridge, build_date_dimension, build_dimension, build_fact, explode_items,
 )
-from jobstar.session import scratch_path
+from jobstar.session import materialize, scratch_path
 from jobstar.sources.readers import read_json_records, read_layer
 from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer
 
@@ -902,12 +902,16 @@ SELECT CAST(doc_id AS VARCHAR) AS id,
   CASE WHEN n_chars < 500 THEN 'Thỏa thuận'
        WHEN n_chars < 2000 THEN (n_chars // 100) || ' - ' || (n_chars // 50) || ' triệu'
        ELSE 'Tới ' || (n_chars // 100) || ' triệu' END AS salary,
-  CASE WHEN n_chars < 1000 THEN 'Không yêu cầu kinh nghiệm'
+  CASE WHEN lang = 'es' THEN 'Thương lượng' WHEN n_chars < 1000 THEN 'Không yêu cầu kinh nghiệm'
        WHEN n_chars < 5000 THEN (n_chars // 1000) || ' năm' ELSE 'Trên 5 năm' END AS yoe,
-  {_sq(DEADLINE_LABEL)} || strftime(DATE '2024-01-01' + CAST(doc_id AS INTEGER), '%d/%m/%Y') AS deadline_submit,
+  CASE WHEN lang = 'fr' AND n_chars < 1000
+       THEN strftime(DATE '2024-01-01' + CAST(doc_id AS INTEGER), '%Y-%m-%d')
+       ELSE {_sq(DEADLINE_LABEL)} || strftime(DATE '2024-01-01' + CAST(doc_id AS INTEGER), '%d/%m/%Y')
+  END AS deadline_submit,
   text AS description, text AS requirements,
   (n_chars // 10) || '-' || (n_chars // 5) || ' nhân viên' AS company_size,
-  lang AS major_field, 'Nhân viên' AS level, length(source) || ' người' AS num_of_recruit,
+  lang AS major_field, 'Nhân viên' AS level,
+  CASE WHEN lang = 'de' THEN 'Nhiều' ELSE length(source) || ' người' END AS num_of_recruit,
   'Toàn thời gian' AS work_form,
   ['Việc làm IT', lang, source] AS relation_fields, ['Hà Nội', source] AS area
 FROM documents"""
@@ -926,11 +930,15 @@ def postings_bronze(spark, d) -> DataFrame:
     salary = (F.when(n < 500, F.lit("Thỏa thuận"))
                .when(n < 2000, F.concat(div(100), F.lit(" - "), div(50), F.lit(" triệu")))
                .otherwise(F.concat(F.lit("Tới "), div(100), F.lit(" triệu"))))
-    yoe = (F.when(n < 1000, F.lit("Không yêu cầu kinh nghiệm"))
+    # a few deterministic dirty values, so the quality report has work to do
+    yoe = (F.when(lang == "es", F.lit("Thương lượng"))
+            .when(n < 1000, F.lit("Không yêu cầu kinh nghiệm"))
             .when(n < 5000, F.concat(div(1000), F.lit(" năm"))).otherwise(F.lit("Trên 5 năm")))
-    deadline = F.concat(F.lit(DEADLINE_LABEL),
-                        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int")),
-                                      "dd/MM/yyyy"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int"))
+    deadline = (F.when((lang == "fr") & (n < 1000), F.date_format(day, "yyyy-MM-dd"))
+                 .otherwise(F.concat(F.lit(DEADLINE_LABEL), F.date_format(day, "dd/MM/yyyy"))))
+    recruits = F.when(lang == "de", F.lit("Nhiều")).otherwise(
+        F.concat(F.length(src).cast("string"), F.lit(" người")))
     bronze = docs.select(
         F.col("doc_id").cast("string").alias("id"), title.alias("title"),
         F.concat(F.lit(" "), src, F.lit(" ")).alias("company_name"), salary.alias("salary"),
@@ -938,7 +946,7 @@ def postings_bronze(spark, d) -> DataFrame:
         F.col("text").alias("description"), F.col("text").alias("requirements"),
         F.concat(div(10), F.lit("-"), div(5), F.lit(" nhân viên")).alias("company_size"),
         lang.alias("major_field"), F.lit("Nhân viên").alias("level"),
-        F.concat(F.length(src).cast("string"), F.lit(" người")).alias("num_of_recruit"),
+        recruits.alias("num_of_recruit"),
         F.lit("Toàn thời gian").alias("work_form"),
         F.array(F.lit("Việc làm IT"), lang, src).alias("relation_fields"),
         F.array(F.lit("Hà Nội"), src).alias("area"))
@@ -979,7 +987,9 @@ f AS (SELECT * FROM s WHERE job_position IS NOT NULL AND job_position <> ''
 silver AS (
   SELECT * EXCLUDE (rn, requirements, description) FROM (
     SELECT *, row_number() OVER (PARTITION BY job_position, company_name
-                                 ORDER BY job_posting_date DESC NULLS LAST) AS rn FROM f)
+      ORDER BY job_posting_date DESC NULLS LAST, yoe, min_salary, max_salary, company_size_min,
+               company_size_max, major_field, level, num_of_recruit, work_form, relation_fields,
+               skills_extracted, city, district, source) AS rn FROM f)
   WHERE rn = 1)"""
 
 
@@ -1149,3 +1159,78 @@ def q_gold_union_fact(spark, d):
     from jobstar.plans.silver import silver_board_a, silver_board_b
     view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
     return gold_tables(view)["fact_job"]
+
+
+@register("silver_quality", f"""
+WITH bronze AS ({_BRONZE_A_SQL}),
+x AS (
+  SELECT salary, contains(lower(salary), 'thỏa thuận') AS negotiable,
+    CASE WHEN contains(lower(salary), 'thỏa thuận') THEN NULL
+         WHEN regexp_matches(lower(salary), '\\d+')
+         THEN TRY_CAST(regexp_extract(lower(salary), '(\\d+)', 1) AS BIGINT) * 1000000 END AS min_salary,
+    yoe, CASE WHEN contains(y, 'không yêu cầu') THEN 0.0 WHEN contains(y, 'trên') THEN 5.5
+              WHEN regexp_matches(y, '\\d+') THEN CAST(TRY_CAST(regexp_extract(y, '(\\d+)', 1) AS INTEGER) AS DOUBLE)
+         END AS yoe_years,
+    deadline_submit,
+    CAST(try_strptime(replace(deadline_submit, {_sq(DEADLINE_LABEL)}, ''), '%d/%m/%Y') AS DATE) AS posting_date,
+    company_size, TRY_CAST(regexp_extract(trim(lower(company_size)), '(\\d+)', 1) AS INTEGER) AS size_min,
+    num_of_recruit, TRY_CAST(replace(num_of_recruit, ' người', '') AS INTEGER) AS recruits
+  FROM (SELECT *, trim(lower(yoe)) AS y FROM bronze)),
+agg AS (
+  SELECT count(*) AS rows,
+    CAST(sum(CASE WHEN salary IS NOT NULL AND min_salary IS NULL AND NOT coalesce(negotiable, false) THEN 1 ELSE 0 END) AS BIGINT) AS salary,
+    CAST(sum(CASE WHEN yoe IS NOT NULL AND yoe_years IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS yoe,
+    CAST(sum(CASE WHEN deadline_submit IS NOT NULL AND posting_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS deadline,
+    CAST(sum(CASE WHEN company_size IS NOT NULL AND size_min IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS company_size,
+    CAST(sum(CASE WHEN num_of_recruit IS NOT NULL AND recruits IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS headcount
+  FROM x)
+SELECT rows, 'salary' AS "check", salary AS failures FROM agg
+UNION ALL SELECT rows, 'yoe', yoe FROM agg
+UNION ALL SELECT rows, 'deadline', deadline FROM agg
+UNION ALL SELECT rows, 'company_size', company_size FROM agg
+UNION ALL SELECT rows, 'headcount', headcount FROM agg
+""")
+def q_silver_quality(spark, d):
+    """Dirty-text report (§7.3): parse failures per field of board A."""
+    from jobstar.plans.silver import silver_quality_a
+    return silver_quality_a(postings_bronze(spark, d))
+
+
+@register("gold_key_checks", _VIEW_SQL + f""",
+keyed AS (
+  SELECT *, {sql_key('company_name', 'major_field')} AS CompanyID,
+         {sql_key('job_position', 'level', 'relation_fields', arrays=(2,))} AS JobPositionID,
+         {sql_key('work_form')} AS WorkFormID FROM view),
+dim_company AS (SELECT DISTINCT company_name, major_field, CompanyID FROM keyed),
+dim_position AS (SELECT DISTINCT job_position, level, relation_fields, JobPositionID FROM keyed),
+dim_workform AS (SELECT DISTINCT work_form, WorkFormID FROM keyed),
+dim_skills AS (SELECT DISTINCT SkillName, {sql_key('SkillName')} AS SkillID
+               FROM (SELECT trim(unnest(skills_extracted)) AS SkillName FROM view)),
+bridge AS (SELECT DISTINCT JobPostingID, {sql_key('SkillName')} AS SkillID
+           FROM (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view))
+SELECT 'pk_fact_job' AS "check", (SELECT count(*) FROM (SELECT JobPostingID FROM keyed GROUP BY 1 HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'pk_dim_company', (SELECT count(*) FROM (SELECT CompanyID FROM dim_company GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'pk_dim_jobposition', (SELECT count(*) FROM (SELECT JobPositionID FROM dim_position GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'pk_dim_skills', (SELECT count(*) FROM (SELECT SkillID FROM dim_skills GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'fk_company', (SELECT count(*) FROM keyed WHERE CompanyID NOT IN (SELECT CompanyID FROM dim_company))
+UNION ALL SELECT 'fk_jobposition', (SELECT count(*) FROM keyed WHERE JobPositionID NOT IN (SELECT JobPositionID FROM dim_position))
+UNION ALL SELECT 'fk_workform', (SELECT count(*) FROM keyed WHERE WorkFormID NOT IN (SELECT WorkFormID FROM dim_workform))
+UNION ALL SELECT 'fk_skill', (SELECT count(*) FROM bridge WHERE SkillID NOT IN (SELECT SkillID FROM dim_skills))
+""")
+def q_gold_key_checks(spark, d):
+    """D8 on the built star schema: PK uniqueness and FK resolution."""
+    from jobstar.operators.checks import key_report
+    from jobstar.plans.gold import gold_tables, gold_view
+    from jobstar.plans.silver import silver_board_a
+    view = materialize(gold_view([silver_board_a(postings_bronze(spark, d))]))
+    t = gold_tables(view)
+    return key_report({
+        "pk_fact_job": pk_violations(t["fact_job"], ["JobPostingID"]),
+        "pk_dim_company": pk_violations(t["dim_company"], ["CompanyID"]),
+        "pk_dim_jobposition": pk_violations(t["dim_jobposition"], ["JobPositionID"]),
+        "pk_dim_skills": pk_violations(t["dim_skills"], ["SkillID"]),
+        "fk_company": fk_violations(t["fact_job"], t["dim_company"], [("CompanyID", "CompanyID")]),
+        "fk_jobposition": fk_violations(t["fact_job"], t["dim_jobposition"], [("JobPositionID", "JobPositionID")]),
+        "fk_workform": fk_violations(t["fact_job"], t["dim_workform"], [("WorkFormID", "WorkFormID")]),
+        "fk_skill": fk_violations(t["fact_jobskill"], t["dim_skills"], [("SkillID", "SkillID")]),
+    })

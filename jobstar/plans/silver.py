@@ -86,3 +86,23 @@ def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = Tru
     )
     df = to_schema(df, schemas.SILVER)
     return latest_per_key(df, DEDUP_KEYS, ["job_posting_date"]) if dedup else df
+
+
+def silver_quality_a(bronze: DataFrame, mode: str = "reference") -> DataFrame:
+    """Parse-failure counts of board A's text fields (see
+    ``operators.checks.parse_failures``)."""
+    from jobstar.operators.checks import parse_failures
+    from jobstar.functions.parse import NEGOTIABLE
+    lo, _ = salary_range("salary", mode)
+    size_lo, _ = size_range("company_size", mode)
+    x = bronze.select(
+        "salary", lo.alias("min_salary"), F.lower("salary").contains(NEGOTIABLE).alias("negotiable"),
+        "yoe", experience_years("yoe").alias("yoe_years"),
+        "deadline_submit", deadline_to_date("deadline_submit").alias("posting_date"),
+        "company_size", size_lo.alias("size_min"),
+        "num_of_recruit", headcount("num_of_recruit").alias("recruits"))
+    return parse_failures(x, {"salary": ("salary", "min_salary"), "yoe": ("yoe", "yoe_years"),
+                              "deadline": ("deadline_submit", "posting_date"),
+                              "company_size": ("company_size", "size_min"),
+                              "headcount": ("num_of_recruit", "recruits")},
+                          excused={"salary": "negotiable"})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,20 +39,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private folder
     created and registered, so later ``checkpoint()`` calls work too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="jobstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def materialize(df):
+    """Cut the lineage of ``df``: write it once (reliable checkpoint under
+    the shared checkpoint folder) so several consumers read the stored copy
+    instead of recomputing it, and a lost executor does not force a
+    recomputation from the sources."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or os.environ.get("JOBSTAR_LOCAL") == "1"

@@ -154,3 +154,13 @@ def test_publish_tables(spark, tmp_root):
     names = pipeline.publish(spark, root, path_root=os.path.join(tmp_root, "wh"))
     assert len(names) == 8
     assert spark.table("fact_job").count() == 4
+
+
+def test_quality_report_counts_dirty_text(spark, tmp_root):
+    from jobstar.plans.silver import silver_quality_a
+    ra, _ = _fixtures(tmp_root)
+    rep = {r.check: (r.rows, r.failures)
+           for r in silver_quality_a(read_json_records(spark, ra, schemas.BRONZE_A)).collect()}
+    # "Thỏa thuận" is an expected null; "2025-07-24" is not day-first; "Nhiều" is no number
+    assert rep == {"salary": (4, 0), "yoe": (4, 0), "deadline": (4, 1), "company_size": (4, 0),
+                   "headcount": (4, 1)}
