@@ -3,7 +3,7 @@ parameters, so it runs on any table."""
 
 from jobstar.operators.dedup import latest_per_key  # noqa: F401
 from jobstar.operators.conform import (  # noqa: F401
-    to_schema, union_sources, required_filter, with_source, with_ingest_time, with_row_key,
+    rename, to_schema, union_sources, required_filter, with_source, with_ingest_time, with_row_key,
 )
 from jobstar.operators.joins import sized_broadcast, lookup  # noqa: F401
 from jobstar.operators.star import (  # noqa: F401

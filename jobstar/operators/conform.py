@@ -32,6 +32,11 @@ def to_schema(df: DataFrame, schema: StructType, allow_missing: bool = False) ->
     return df.select(*cols)
 
 
+def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """B1: rename columns (missing names are ignored, as in Spark)."""
+    return df.withColumnsRenamed(mapping)
+
+
 def union_sources(dfs: list[DataFrame], allow_missing: bool = True) -> DataFrame:
     """Bag union by column name (no dedup across sources). Spark widens
     int/bigint -> bigint and bigint/double -> double."""

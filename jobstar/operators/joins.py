@@ -7,22 +7,28 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to have at most this many
-# rows; beyond it the join stays a shuffle join (AQE may still convert it
-# at runtime from measured sizes).
+# A side is broadcast only when it is proven to have at most this many rows
+# AND at most this many bytes (as JSON text, a proxy for its in-memory
+# size); beyond either bound the join stays a shuffle join (AQE may still
+# convert it at runtime from measured sizes, and splits skewed keys).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``df`` is proven small, else ``(df, False)``.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is bounded whatever the table's size. Callers should pass
-    a materialised (written or checkpointed) dimension so the check does
-    not recompute it.
+    One bounded action: it reads at most ``max_rows + 1`` rows (``limit``
+    stops the scan early) and sums their serialized size, so the check
+    costs the same whatever the table's size. Pass a materialised
+    dimension so the check does not recompute it.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))),
+                   F.lit(0)).alias("bytes")).first()
+    if probe["n"] <= max_rows and probe["bytes"] <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

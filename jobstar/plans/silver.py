@@ -21,7 +21,7 @@ from jobstar.functions.parse import (
 )
 from jobstar.functions.tagging import keyword_tags
 from jobstar.functions.text import trim_lower
-from jobstar.operators.conform import required_filter, to_schema
+from jobstar.operators.conform import rename, required_filter, to_schema
 from jobstar.operators.dedup import latest_per_key
 
 # ---- fixed values: source tags of the two boards ------------------------
@@ -38,8 +38,8 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
     lo, hi = salary_range("salary", mode)
     size_lo, size_hi = size_range("company_size", mode)
     city, district = city_district("area")
-    df = bronze.select(
-        trim_lower("title").alias("job_position"),
+    df = rename(bronze, {"title": "job_position", "work_address": "job_location"}).select(
+        trim_lower("job_position").alias("job_position"),
         F.trim("company_name").alias("company_name"),
         experience_years("yoe").alias("yoe"),
         deadline_to_date("deadline_submit").alias("job_posting_date"),

@@ -48,3 +48,10 @@ def test_no_python_in_catalog_plans(spark):
             continue
         plan = plan_text(fn(spark, SF))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    p = spark.read.parquet(f"{SF}/documents.parquet")
+    _, small = sized_broadcast(p.select("doc_id"), max_rows=10_000, max_bytes=1 << 30)
+    _, wide = sized_broadcast(p, max_rows=10_000, max_bytes=1 << 10)
+    assert small and not wide
