@@ -25,7 +25,7 @@ from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
-from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags
+from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags, keyword_tags_automaton
 from jobstar.operators.checks import fk_violations, pk_violations
 from jobstar.operators.conform import required_filter, union_sources, with_row_key, with_source
 from jobstar.operators.dedup import latest_per_key
@@ -124,6 +124,17 @@ def q_keyword_tags(spark, d):
                     F.size("tags").alias("n_tags"))
 
 
+_KEYWORD_TAGS_SQL = ORACLE["keyword_tags"]
+
+
+@register("keyword_tags_automaton", _KEYWORD_TAGS_SQL)
+def q_keyword_tags_automaton(spark, d):
+    """C8 with the one-pass automaton (same rows as ``keyword_tags``)."""
+    t = table(spark, d, "documents").select("doc_id", keyword_tags_automaton("text").alias("tags"))
+    return t.select("doc_id", F.array_join("tags", ",").alias("tags"),
+                    F.size("tags").alias("n_tags"))
+
+
 # ============================================================ dedup
 @register("dedup_latest", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (

@@ -9,7 +9,7 @@ from jobstar.functions import arrays as A
 from jobstar.functions import dates as D
 from jobstar.functions import parse as P
 from jobstar.functions.keys import stable_key
-from jobstar.functions.tagging import keyword_tags
+from jobstar.functions.tagging import keyword_tags, keyword_tags_automaton
 from tests.helpers import plan_text
 
 
@@ -147,3 +147,9 @@ def test_no_python_udf_in_parsers(spark, mode):
     lo, hi = P.salary_range("x", mode)
     plan = plan_text(df.select(lo, hi, keyword_tags("x"), P.size_range_struct("x")))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_keyword_tags_automaton_equals_expression(spark):
+    vals = ["Python, SQL, Spark and JavaScript", "", None, "Git for digital", "C# and C++ REST api",
+            "SPARK\u212a Kafka İos"]
+    assert one(spark, vals, keyword_tags_automaton) == one(spark, vals, keyword_tags)
