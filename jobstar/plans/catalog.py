@@ -1245,3 +1245,52 @@ def q_gold_key_checks(spark, d):
         "fk_workform": fk_violations(t["fact_job"], t["dim_workform"], [("WorkFormID", "WorkFormID")]),
         "fk_skill": fk_violations(t["fact_jobskill"], t["dim_skills"], [("SkillID", "SkillID")]),
     })
+
+
+_UNION_VIEW_SQL = _SILVER_A_SQL + "," + _SILVER_B_SQL.removeprefix("\nWITH ") + f""",
+view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
+                {sql_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
+                job_posting_date AS DateID
+         FROM (SELECT * FROM silver UNION ALL BY NAME SELECT * FROM silver_b))"""
+
+
+def _union_gold(spark, d) -> dict[str, DataFrame]:
+    from jobstar.plans.gold import gold_tables, gold_view
+    from jobstar.plans.silver import silver_board_a, silver_board_b
+    view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
+    return {"view": view, **gold_tables(view)}
+
+
+@register("gold_top_skills", _UNION_VIEW_SQL + """
+SELECT SkillName, count(DISTINCT JobPostingID) AS n_postings
+FROM (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view)
+GROUP BY SkillName ORDER BY n_postings DESC, SkillName ASC LIMIT 10
+""")
+def q_gold_top_skills(spark, d):
+    """G8 dashboard: bridge joined to the skill dimension, top 10 skills."""
+    g = _union_gold(spark, d)
+    named = lookup(g["fact_jobskill"], g["dim_skills"], [("SkillID", "SkillID")], ["SkillName"])
+    return top_n(named, ["SkillName"], 10, count_distinct="JobPostingID", out="n_postings")
+
+
+@register("gold_top_companies", _UNION_VIEW_SQL + """
+SELECT company_name AS CompanyName, count(*) AS n_postings FROM view
+GROUP BY company_name ORDER BY n_postings DESC, CompanyName ASC LIMIT 10
+""")
+def q_gold_top_companies(spark, d):
+    """G9 dashboard: most active companies (fact joined to company names)."""
+    g = _union_gold(spark, d)
+    named = lookup(g["fact_job"], g["dim_company"], [("CompanyID", "CompanyID")], ["CompanyName"])
+    return top_n(named, ["CompanyName"], 10, out="n_postings")
+
+
+@register("gold_distribution", _UNION_VIEW_SQL + """
+SELECT work_form AS WorkForm, CAST(year(DateID) AS INTEGER) AS Year, count(*) AS n_postings
+FROM view GROUP BY 1, 2
+""")
+def q_gold_distribution(spark, d):
+    """G10 dashboard: postings per work form and year (fact x dimensions)."""
+    g = _union_gold(spark, d)
+    f = lookup(g["fact_job"], g["dim_workform"], [("WorkFormID", "WorkFormID")], ["WorkForm"])
+    f = lookup(f, g["dim_date"], [("DateID", "DateID")], ["Year"])
+    return distribution(f, ["WorkForm", "Year"], out="n_postings")
