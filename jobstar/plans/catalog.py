@@ -1257,7 +1257,10 @@ view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
 def _union_gold(spark, d) -> dict[str, DataFrame]:
     from jobstar.plans.gold import gold_tables, gold_view
     from jobstar.plans.silver import silver_board_a, silver_board_b
-    view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
+    # the view is stored once (as ``run_gold`` writes it) so the dimension
+    # size checks and the report read it instead of recomputing silver
+    view = materialize(gold_view([silver_board_a(postings_bronze(spark, d)),
+                                  silver_board_b(api_bronze(spark, d))]))
     return {"view": view, **gold_tables(view)}
 
 
