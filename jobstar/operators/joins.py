@@ -26,7 +26,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """
     probe = df.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[df[f"`{c}`"] for c in df.columns])))),
                    F.lit(0)).alias("bytes")).first()
     if probe["n"] <= max_rows and probe["bytes"] <= max_bytes:
         return F.broadcast(df), True
