@@ -1297,3 +1297,16 @@ def q_gold_distribution(spark, d):
     f = lookup(g["fact_job"], g["dim_workform"], [("WorkFormID", "WorkFormID")], ["WorkForm"])
     f = lookup(f, g["dim_date"], [("DateID", "DateID")], ["Year"])
     return distribution(f, ["WorkForm", "Year"], out="n_postings")
+
+
+@register("stream_landing", "SELECT * FROM orders")
+def q_stream_landing(spark, d):
+    """A1 -> A3 incrementally: raw JSON files landed by the checkpointed
+    streaming job (two runs; the second finds no new file), then scanned."""
+    from jobstar.streaming.ingest import land_stream
+    o = table(spark, d, "orders")
+    src, out, ckpt = (scratch_path(spark, n) for n in ("raw", "landed", "stream-ckpt"))
+    o.write.mode("overwrite").json(src)
+    for _ in range(2):
+        land_stream(spark, src, o.schema, out, ckpt, multiline=False, source="orders")
+    return spark.read.parquet(out).select(*o.columns)
