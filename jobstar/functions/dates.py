@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from jobstar.functions.text import as_col, strip_label
 
-# Fixed values of the scraped board: the label before the deadline date and
-# its day-first format.
+# ---- fixed values: deadline label of the scraped board, day-first format
 DEADLINE_LABEL = "Hạn nộp hồ sơ: "
 DEADLINE_FORMAT = "dd/MM/yyyy"
+# -------------------------------------------------------------------------
 
 
 def parse_date(c, fmt: str) -> Column:
