@@ -19,7 +19,7 @@ from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
-from jobstar.functions.tagging import keyword_tags
+from jobstar.functions.tagging import keyword_tags, keyword_tags_automaton
 from jobstar.functions.text import trim_lower
 from jobstar.operators.conform import rename, required_filter, to_schema
 from jobstar.operators.dedup import latest_per_key
@@ -33,8 +33,12 @@ DEDUP_KEYS = ["job_position", "company_name"]
 
 
 def silver_board_a(bronze: DataFrame, mode: str = "reference",
-                   required: list[str] | None = REQUIRED_A, dedup: bool = True) -> DataFrame:
-    """Scraped board. ``mode`` selects the parsers' reference or fixed rules."""
+                   required: list[str] | None = REQUIRED_A, dedup: bool = True,
+                   tagger: str = "expr") -> DataFrame:
+    """Scraped board. ``mode`` selects the parsers' reference or fixed rules;
+    ``tagger="automaton"`` tags long requirement texts in one pass per text
+    (same result, see ``functions.tagging``)."""
+    tags = keyword_tags_automaton if tagger == "automaton" else keyword_tags
     lo, hi = salary_range("salary", mode)
     size_lo, size_hi = size_range("company_size", mode)
     city, district = city_district("area")
@@ -49,7 +53,7 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
         headcount("num_of_recruit").alias("num_of_recruit"),
         "work_form",
         clean_list("relation_fields").alias("relation_fields"),
-        keyword_tags("requirements").alias("skills_extracted"),
+        tags("requirements").alias("skills_extracted"),
         city.alias("city"), district.alias("district"),
         F.lit(SOURCE_A).alias("source"),
         "requirements", "description",

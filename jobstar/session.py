@@ -39,12 +39,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private folder
     created and registered, so later ``checkpoint()`` calls work too.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no SparkContext handle
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = tempfile.mkdtemp(prefix="jobstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

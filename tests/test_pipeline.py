@@ -164,3 +164,30 @@ def test_quality_report_counts_dirty_text(spark, tmp_root):
     # "Thỏa thuận" is an expected null; "2025-07-24" is not day-first; "Nhiều" is no number
     assert rep == {"salary": (4, 0), "yoe": (4, 0), "deadline": (4, 1), "company_size": (4, 0),
                    "headcount": (4, 1)}
+
+
+def test_union_widens_types(spark):
+    from jobstar.operators.conform import union_sources
+    a = spark.createDataFrame([(1, 2)], "x int, y bigint")
+    b = spark.createDataFrame([(3, 4.5)], "x bigint, y double")
+    u = union_sources([a, b])
+    assert dict(u.dtypes) == {"x": "bigint", "y": "double"} and u.count() == 2
+
+
+def test_to_schema_strict_and_try_cast(spark):
+    import pytest as _pt
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    from jobstar.operators.conform import to_schema
+    df = spark.createDataFrame([("12",), ("x",)], "n string")
+    sch = StructType([StructField("n", IntegerType())])
+    assert [r.n for r in to_schema(df, sch).collect()] == [12, None]
+    with _pt.raises(ValueError):
+        to_schema(df, StructType([StructField("m", IntegerType())]))
+
+
+def test_silver_automaton_tagger_same(spark, tmp_root):
+    ra, _ = _fixtures(tmp_root)
+    b = read_json_records(spark, ra, schemas.BRONZE_A)
+    x = sorted(silver_board_a(b).collect(), key=repr)
+    y = sorted(silver_board_a(b, tagger="automaton").collect(), key=repr)
+    assert x == y
