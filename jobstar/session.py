@@ -64,3 +64,20 @@ def materialize(df):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool | None = None) -> dict[str, str]:
+    """A10: Hadoop S3A settings for an S3-compatible object store, to pass as
+    ``get_spark(extra=...)`` or ``--conf``. Credentials are not taken here:
+    the provider chain reads them from the environment or instance profile."""
+    conf = {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+        "spark.hadoop.fs.s3a.aws.credentials.provider":
+            "com.amazonaws.auth.EnvironmentVariableCredentialsProvider",
+    }
+    if ssl is None:
+        ssl = endpoint.startswith("https://")
+    conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] = str(ssl).lower()
+    return conf

@@ -61,3 +61,40 @@ def load_warehouse(spark: SparkSession, tables: dict[str, DataFrame], database:
         w.saveAsTable(full)
         names.append(full)
     return names
+
+
+def jdbc_credentials(spark: SparkSession, prefix: str = "spark.jobstar.jdbc") -> dict[str, str]:
+    """User and password from Spark conf (``{prefix}.user``/``.password``)
+    or the environment (``JOBSTAR_JDBC_USER``/``_PASSWORD``); never from code."""
+    import os
+    out = {}
+    for key in ("user", "password"):
+        v = spark.conf.get(f"{prefix}.{key}", None) or os.environ.get(f"JOBSTAR_JDBC_{key.upper()}")
+        if v:
+            out[key] = v
+    return out
+
+
+def load_jdbc(spark: SparkSession, tables: dict[str, DataFrame], url: str,
+              options: dict[str, str] | None = None, max_connections: int = 8,
+              mode: str = "overwrite", arrays_as_json: bool = True) -> list[str]:
+    """A9 into a JDBC warehouse, written by the executors.
+
+    ``coalesce(max_connections)`` bounds concurrent connections without a
+    shuffle; ``batchsize`` rows go per round trip. Array and struct columns
+    become JSON text when the warehouse has no such types.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
+    opts = {"batchsize": "10000", **jdbc_credentials(spark), **(options or {})}
+    names = []
+    for name, df in tables.items():
+        if arrays_as_json:
+            df = df.select(*[F.to_json(F.col(f.name)).alias(f.name)
+                             if isinstance(f.dataType, (ArrayType, MapType, StructType)) else F.col(f.name)
+                             for f in df.schema.fields])
+        (df.coalesce(max_connections).write.format("jdbc").mode(mode)
+           .option("url", url).option("dbtable", name).options(**opts).save())
+        names.append(name)
+    return names

@@ -191,3 +191,27 @@ def test_silver_automaton_tagger_same(spark, tmp_root):
     x = sorted(silver_board_a(b).collect(), key=repr)
     y = sorted(silver_board_a(b, tagger="automaton").collect(), key=repr)
     assert x == y
+
+
+def test_load_jdbc_embedded(spark, tmp_root):
+    """A9 over JDBC into an in-process Derby database (no server, no port)."""
+    from jobstar.sources.sinks import load_jdbc
+    ra, rb = _fixtures(tmp_root)
+    root = os.path.join(tmp_root, "lake")
+    pipeline.run_all(spark, ra, rb, root)
+    url = f"jdbc:derby:{os.path.join(tmp_root, 'derby')};create=true"
+    tables = {n: read_layer(spark, root, "gold", n) for n in ["fact_job", "dim_jobposition"]}
+    load_jdbc(spark, tables, url, options={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"},
+              max_connections=2)
+    back = spark.read.jdbc(url, "fact_job", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    assert back.count() == tables["fact_job"].count()
+    pos = spark.read.jdbc(url, "dim_jobposition", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    assert pos.count() == tables["dim_jobposition"].count()
+
+
+def test_object_store_conf():
+    from jobstar.session import object_store_conf
+    c = object_store_conf("http://store:9000")
+    assert c["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert c["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert not any("secret" in k or "access.key" in k for k in c)
