@@ -20,11 +20,18 @@ POSITION = {"JobPosition": "job_position", "Level": "level", "RelationFields": "
 WORKFORM = {"WorkForm": "work_form"}
 
 
-def gold_view(silvers: list[DataFrame]) -> DataFrame:
+def gold_view(silvers: list[DataFrame], posting_key: str = "md5") -> DataFrame:
     """Union of the conformed sources + posting key and date key (the
-    ``view`` table). Both boards keep their rows (no cross-source dedup)."""
+    ``view`` table). Both boards keep their rows (no cross-source dedup).
+
+    ``posting_key="murmur3"`` reproduces the source's 32-bit ``hash`` ids
+    exactly (nulls are skipped, so ('a', null, d) and (null, 'a', d)
+    collide); the default md5 key keeps nulls apart and has 60 bits.
+    """
     df = union_sources([to_schema(s, schemas.SILVER) for s in silvers])
-    return (df.withColumn("JobPostingID", stable_key(df, POSTING_KEY))
+    key = (F.hash(*POSTING_KEY).cast("bigint") if posting_key == "murmur3"
+           else stable_key(df, POSTING_KEY))
+    return (df.withColumn("JobPostingID", key)
               .withColumn("DateID", F.to_date("job_posting_date"))
               .withColumn("work_form", F.coalesce(F.col("work_form").cast("string"), F.lit(""))))
 

@@ -215,3 +215,11 @@ def test_object_store_conf():
     assert c["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert c["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert not any("secret" in k or "access.key" in k for k in c)
+
+
+def test_murmur3_posting_key_matches_source_hash(spark, tmp_root):
+    ra, _ = _fixtures(tmp_root)
+    s = silver_board_a(read_json_records(spark, ra, schemas.BRONZE_A))
+    v = gold_view([s], posting_key="murmur3")
+    want = s.select(F.hash("company_name", "job_position", "job_posting_date").cast("bigint").alias("k"))
+    assert sorted(r.JobPostingID for r in v.collect()) == sorted(r.k for r in want.collect())
