@@ -223,3 +223,21 @@ def test_murmur3_posting_key_matches_source_hash(spark, tmp_root):
     v = gold_view([s], posting_key="murmur3")
     want = s.select(F.hash("company_name", "job_position", "job_posting_date").cast("bigint").alias("k"))
     assert sorted(r.JobPostingID for r in v.collect()) == sorted(r.k for r in want.collect())
+
+
+def test_silver_fixed_modes(spark, tmp_root):
+    ra, rb = _fixtures(tmp_root)
+    a = {r.job_position: r for r in
+         silver_board_a(read_json_records(spark, ra, schemas.BRONZE_A), mode="fixed").collect()}
+    bi = a["bi analyst"]
+    assert (bi.min_salary, bi.max_salary) == (None, 30_000_000)          # "tới" = up to
+    assert (bi.company_size_min, bi.company_size_max) == (25, 99)          # spaces around '-'
+    b_raw = read_json_records(spark, rb, schemas.BRONZE_B)
+    b_raw = b_raw.unionByName(b_raw.withColumn("jobTitle", F.lit(" DATA engineer "))
+                                   .withColumn("approvedOn", F.lit("2025-08-01T00:00:00+07:00"))
+                                   .limit(1))
+    b = silver_board_b(b_raw, mode="fixed").collect()
+    titles = sorted(r.job_position for r in b)
+    assert titles == ["analyst", "data engineer"]                          # keys folded -> one kept
+    de = [r for r in b if r.job_position == "data engineer"][0]
+    assert de.job_posting_date == dt.date(2025, 8, 1) and de.district == "Tân Bình"
