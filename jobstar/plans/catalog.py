@@ -15,19 +15,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobstar import schemas
 from jobstar.functions import html as H
 from jobstar.functions.arrays import (
     city_district, clean_list, district_from_address, field_of_first, pick, project_field,
 )
 from jobstar.functions.dates import DEADLINE_LABEL, deadline_to_date, parse_iso_date
-from jobstar.functions.keys import stable_key
 from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
 from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags, keyword_tags_automaton
-from jobstar.operators.checks import fk_violations, pk_violations
-from jobstar.operators.conform import required_filter, union_sources, with_row_key, with_source
+from jobstar.operators.checks import fk_violations, key_report, pk_violations
+from jobstar.operators.conform import (
+    required_filter, to_schema, union_sources, with_row_key, with_source,
+)
 from jobstar.operators.dedup import latest_per_key
 from jobstar.operators.joins import lookup
 from jobstar.operators.pages import (
@@ -38,9 +40,12 @@ from jobstar.operators.reports import distribution, top_n
 from jobstar.operators.star import (
     DimRef, build_bridge, build_date_dimension, build_dimension, build_fact, explode_items,
 )
+from jobstar.plans.gold import gold_tables, gold_view
+from jobstar.plans.silver import silver_board_a, silver_board_b, silver_quality_a
 from jobstar.session import materialize, scratch_path
 from jobstar.sources.readers import read_json_records, read_layer
 from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer
+from jobstar.streaming.ingest import land_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -961,8 +966,6 @@ def postings_bronze(spark, d) -> DataFrame:
         F.lit("Toàn thời gian").alias("work_form"),
         F.array(F.lit("Việc làm IT"), lang, src).alias("relation_fields"),
         F.array(F.lit("Hà Nội"), src).alias("area"))
-    from jobstar import schemas
-    from jobstar.operators.conform import to_schema
     return to_schema(bronze, schemas.BRONZE_A, allow_missing=True)
 
 
@@ -1011,7 +1014,6 @@ FROM silver
 """)
 def q_silver_postings(spark, d):
     """E2 on document-derived postings: C1-C3, C6, C8, C10-C12, B28, B3, W1."""
-    from jobstar.plans.silver import silver_board_a
     s = silver_board_a(postings_bronze(spark, d))
     return s.withColumns({"relation_fields": F.array_join("relation_fields", ","),
                           "skills_extracted": F.array_join("skills_extracted", ",")})
@@ -1032,8 +1034,6 @@ FROM view
 """)
 def q_gold_fact_postings(spark, d):
     """E3 fact_job (D6, G7) over the silver postings."""
-    from jobstar.plans.gold import gold_tables, gold_view
-    from jobstar.plans.silver import silver_board_a
     return gold_tables(gold_view([silver_board_a(postings_bronze(spark, d))]))["fact_job"]
 
 
@@ -1043,8 +1043,6 @@ FROM (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view
 """)
 def q_gold_bridge_postings(spark, d):
     """E3 fact_jobskill (S3, G5, G6) over the silver postings."""
-    from jobstar.plans.gold import gold_tables, gold_view
-    from jobstar.plans.silver import silver_board_a
     return gold_tables(gold_view([silver_board_a(postings_bronze(spark, d))]))["fact_jobskill"]
 
 
@@ -1103,8 +1101,6 @@ def api_bronze(spark, d) -> DataFrame:
          .otherwise(F.array(loc)).alias("workingLocations"),
         F.array(F.struct(F.concat(F.lit(" "), seg).alias("skillName")),
                 F.struct(F.col("o_orderpriority").alias("skillName"))).alias("skills"))
-    from jobstar import schemas
-    from jobstar.operators.conform import to_schema
     return to_schema(bronze, schemas.BRONZE_B)
 
 
@@ -1147,7 +1143,6 @@ FROM silver_b
 """)
 def q_silver_api_postings(spark, d):
     """E2 board B: C3b, C4, C5, C7, C9, B9, B18-B20, W2 on nested records."""
-    from jobstar.plans.silver import silver_board_b
     s = silver_board_b(api_bronze(spark, d))
     return s.withColumns({"relation_fields": F.array_join("relation_fields", ","),
                           "skills_extracted": F.array_join("skills_extracted", ",")})
@@ -1166,8 +1161,6 @@ FROM view
 """)
 def q_gold_union_fact(spark, d):
     """E3 over both boards: S1 union by name, then fact_job."""
-    from jobstar.plans.gold import gold_tables, gold_view
-    from jobstar.plans.silver import silver_board_a, silver_board_b
     view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
     return gold_tables(view)["fact_job"]
 
@@ -1203,7 +1196,6 @@ UNION ALL SELECT rows, 'headcount', headcount FROM agg
 """)
 def q_silver_quality(spark, d):
     """Dirty-text report (§7.3): parse failures per field of board A."""
-    from jobstar.plans.silver import silver_quality_a
     return silver_quality_a(postings_bronze(spark, d))
 
 
@@ -1230,9 +1222,6 @@ UNION ALL SELECT 'fk_skill', (SELECT count(*) FROM bridge WHERE SkillID NOT IN (
 """)
 def q_gold_key_checks(spark, d):
     """D8 on the built star schema: PK uniqueness and FK resolution."""
-    from jobstar.operators.checks import key_report
-    from jobstar.plans.gold import gold_tables, gold_view
-    from jobstar.plans.silver import silver_board_a
     view = materialize(gold_view([silver_board_a(postings_bronze(spark, d))]))
     t = gold_tables(view)
     return key_report({
@@ -1255,8 +1244,6 @@ view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
 
 
 def _union_gold(spark, d) -> dict[str, DataFrame]:
-    from jobstar.plans.gold import gold_tables, gold_view
-    from jobstar.plans.silver import silver_board_a, silver_board_b
     # the view is stored once (as ``run_gold`` writes it) so the dimension
     # size checks and the report read it instead of recomputing silver
     view = materialize(gold_view([silver_board_a(postings_bronze(spark, d)),
@@ -1303,7 +1290,6 @@ def q_gold_distribution(spark, d):
 def q_stream_landing(spark, d):
     """A1 -> A3 incrementally: raw JSON files landed by the checkpointed
     streaming job (two runs; the second finds no new file), then scanned."""
-    from jobstar.streaming.ingest import land_stream
     o = table(spark, d, "orders")
     src, out, ckpt = (scratch_path(spark, n) for n in ("raw", "landed", "stream-ckpt"))
     o.write.mode("overwrite").json(src)
