@@ -48,3 +48,13 @@ def non_blank(c) -> Column:
     """B28 predicate: not null and not ''. Null input gives false, not null."""
     c = as_col(c)
     return c.isNotNull() & (c != F.lit(""))
+
+
+def nfc(c) -> Column:
+    """Unicode NFC normal form. Scraped Vietnamese text may arrive decomposed
+    (NFD: base letter + combining marks), which defeats ``contains`` and
+    regex tests written in composed form. Spark has no built-in normaliser,
+    so this is a small Arrow-batched pandas UDF; use it only where input may
+    be decomposed (``silver_board_*(normalize=True)``)."""
+    from jobstar.functions._nfc import nfc_udf
+    return nfc_udf(as_col(c))

@@ -20,7 +20,7 @@ from jobstar.functions.parse import (
     size_range_struct,
 )
 from jobstar.functions.tagging import keyword_tags, keyword_tags_automaton
-from jobstar.functions.text import trim_lower
+from jobstar.functions.text import nfc, trim_lower
 from jobstar.operators.conform import rename, required_filter, to_schema
 from jobstar.operators.dedup import latest_per_key
 
@@ -29,16 +29,22 @@ SOURCE_A = "topcv"
 SOURCE_B = "vietnamworks"
 # -------------------------------------------------------------------------
 REQUIRED_A = ["job_position", "company_name", "requirements", "description"]
+TEXT_FIELDS_A = ["title", "company_name", "salary", "yoe", "deadline_submit", "company_size",
+                 "num_of_recruit", "requirements"]
+TEXT_FIELDS_B = ["jobTitle", "companyName", "companySize"]
 DEDUP_KEYS = ["job_position", "company_name"]
 
 
 def silver_board_a(bronze: DataFrame, mode: str = "reference",
                    required: list[str] | None = REQUIRED_A, dedup: bool = True,
-                   tagger: str = "expr") -> DataFrame:
+                   tagger: str = "expr", normalize: bool = False) -> DataFrame:
     """Scraped board. ``mode`` selects the parsers' reference or fixed rules;
     ``tagger="automaton"`` tags long requirement texts in one pass per text
-    (same result, see ``functions.tagging``)."""
+    (same result, see ``functions.tagging``); ``normalize=True`` brings the
+    parsed text fields to NFC first."""
     tags = keyword_tags_automaton if tagger == "automaton" else keyword_tags
+    if normalize:
+        bronze = bronze.withColumns({c: nfc(c) for c in TEXT_FIELDS_A})
     lo, hi = salary_range("salary", mode)
     size_lo, size_hi = size_range("company_size", mode)
     city, district = city_district("area")
@@ -64,9 +70,13 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
     return latest_per_key(df, DEDUP_KEYS, ["job_posting_date"]) if dedup else df
 
 
-def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = True) -> DataFrame:
+def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = True,
+                   normalize: bool = False) -> DataFrame:
     """API board. In ``mode="fixed"`` the dedup keys are case-folded and
-    trimmed like board A's, and the district parser is Unicode-aware."""
+    trimmed like board A's, and the district parser is Unicode-aware;
+    ``normalize=True`` brings the parsed text fields to NFC first."""
+    if normalize:
+        bronze = bronze.withColumns({c: nfc(c) for c in TEXT_FIELDS_B})
     size = size_range_struct("companySize")
     title = trim_lower("jobTitle") if mode == "fixed" else F.col("jobTitle")
     company = F.trim("companyName") if mode == "fixed" else F.col("companyName")

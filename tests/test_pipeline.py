@@ -241,3 +241,17 @@ def test_silver_fixed_modes(spark, tmp_root):
     assert titles == ["analyst", "data engineer"]                          # keys folded -> one kept
     de = [r for r in b if r.job_position == "data engineer"][0]
     assert de.job_posting_date == dt.date(2025, 8, 1) and de.district == "Tân Bình"
+
+
+def test_silver_normalizes_decomposed_text(spark, tmp_root):
+    import unicodedata
+    nfd = lambda t: unicodedata.normalize("NFD", t)
+    path = write_json_array(os.path.join(tmp_root, "nfd", "a.json"), [posting_a(
+        salary=nfd("Thỏa thuận"), yoe=nfd("Không yêu cầu kinh nghiệm"),
+        deadline_submit=nfd("Hạn nộp hồ sơ: 30/08/2025"), num_of_recruit=nfd("3 người"))])
+    bronze = read_json_records(spark, os.path.dirname(path), schemas.BRONZE_A)
+    raw = silver_board_a(bronze).first()
+    assert raw.yoe is None and raw.job_posting_date is None            # decomposed text is missed
+    fixed = silver_board_a(bronze, normalize=True).first()
+    assert fixed.yoe == 0.0 and fixed.job_posting_date == dt.date(2025, 8, 30)
+    assert fixed.num_of_recruit == 3 and fixed.min_salary is None
