@@ -71,7 +71,7 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
 
 
 def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = True,
-                   normalize: bool = False) -> DataFrame:
+                   normalize: bool = False, required: list[str] | None = None) -> DataFrame:
     """API board. In ``mode="fixed"`` the dedup keys are case-folded and
     trimmed like board A's, and the district parser is Unicode-aware;
     ``normalize=True`` brings the parsed text fields to NFC first."""
@@ -98,6 +98,8 @@ def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = Tru
         district_from_address(field_of_first("workingLocations", "address"), mode).alias("district"),
         F.lit(SOURCE_B).alias("source"),
     )
+    if required:
+        df = required_filter(df, required)
     df = to_schema(df, schemas.SILVER)
     return latest_per_key(df, DEDUP_KEYS, ["job_posting_date"]) if dedup else df
 

@@ -255,3 +255,23 @@ def test_silver_normalizes_decomposed_text(spark, tmp_root):
     fixed = silver_board_a(bronze, normalize=True).first()
     assert fixed.yoe == 0.0 and fixed.job_posting_date == dt.date(2025, 8, 30)
     assert fixed.num_of_recruit == 3 and fixed.min_salary is None
+
+
+def test_gold_options(spark, tmp_root):
+    ra, rb = _fixtures(tmp_root)
+    a = silver_board_a(read_json_records(spark, ra, schemas.BRONZE_A))
+    b_raw = read_json_records(spark, rb, schemas.BRONZE_B).withColumn("companyName", F.lit("Công ty A "))
+    b = silver_board_b(b_raw, mode="fixed")
+    view = gold_view([a, b], date_kind=True)
+    kinds = {(r.source, r.date_kind) for r in view.collect()}
+    assert kinds == {("topcv", "deadline"), ("vietnamworks", "approved")}
+    # "data engineer" is on both boards: kept twice by default, once across sources
+    assert view.filter(F.col("job_position") == "data engineer").count() == 2
+    across = gold_view([a, b], latest_across_sources=True)
+    kept = across.filter(F.col("job_position") == "data engineer").collect()
+    assert len(kept) == 1 and kept[0].source == "topcv"          # 2025-09-15 beats 2025-07-24
+    folded = gold_tables(gold_view([a, b]), fold_skills=True)
+    names = {r.SkillName for r in folded["dim_skills"].collect()}
+    assert "Python" in names and "python" not in names and "SQL" in names
+    assert fk_violations(folded["fact_jobskill"], folded["dim_skills"], [("SkillID", "SkillID")]).count() == 0
+    assert pk_violations(folded["dim_skills"], ["SkillID"]).count() == 0
