@@ -35,17 +35,27 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 def lookup(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], take: list[str],
            how: str = "left", null_safe: bool = True,
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_rows: int = BROADCAST_MAX_ROWS, broadcast: str = "probe") -> DataFrame:
     """Attach ``take`` columns of ``dim`` to ``fact`` by the FULL
     natural key ``on = [(fact_col, dim_col), ...]``.
 
     Joining on the whole key of a dimension that is unique on it means the
     fact can never fan out (the source joined on part of the key). With
     ``null_safe`` a null key part matches a null dimension key part.
+
+    ``broadcast="probe"`` checks the dimension's size up front
+    (``sized_broadcast``), right for stored dimensions. ``"runtime"`` adds
+    no hint: when the dimension comes out of a shuffle (e.g. a distinct
+    over the fact), AQE measures that shuffle's exact output and switches
+    to a broadcast join only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
+    without computing the dimension twice.
     """
     d = dim.select(*[F.col(dc).alias(f"__d{i}") for i, (_, dc) in enumerate(on)],
                    *[F.col(t) for t in take])
-    d, _ = sized_broadcast(d, max_broadcast_rows)
+    if broadcast == "probe":
+        d, _ = sized_broadcast(d, max_broadcast_rows)
+    elif broadcast != "runtime":
+        raise ValueError(f"unknown broadcast mode {broadcast!r}")
     conds = [(fact[fc].eqNullSafe(d[f"__d{i}"]) if null_safe else fact[fc] == d[f"__d{i}"])
              for i, (fc, _) in enumerate(on)]
     out = fact.join(d, reduce(lambda a, b: a & b, conds), how)

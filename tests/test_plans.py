@@ -55,3 +55,14 @@ def test_broadcast_bound_counts_bytes(spark):
     _, small = sized_broadcast(p.select("doc_id"), max_rows=10_000, max_bytes=1 << 30)
     _, wide = sized_broadcast(p, max_rows=10_000, max_bytes=1 << 10)
     assert small and not wide
+
+
+def test_runtime_broadcast_decided_by_aqe(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    dim = li.select("l_returnflag", "l_linestatus").dropDuplicates()   # a shuffle output
+    out = lookup(li, dim.withColumn("flag_id", F.lit(1)), [("l_returnflag", "l_returnflag"),
+                                                          ("l_linestatus", "l_linestatus")],
+                 ["flag_id"], broadcast="runtime")
+    out.write.format("noop").mode("overwrite").save()
+    plan = plan_text(out, mode="extended")
+    assert "BroadcastHashJoin" in plan and "strategy=broadcast" not in plan   # Spark's own choice
