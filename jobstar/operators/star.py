@@ -67,7 +67,7 @@ class DimRef:
 
 def build_fact(df: DataFrame, dims: list[DimRef], columns: dict[str, str | Column],
                id_col: str | None = None, id_from: list[str] | None = None,
-               method: str = "derive") -> DataFrame:
+               method: str = "derive", broadcast: str = "probe") -> DataFrame:
     """Fact rows with one key per dimension plus measures.
 
     ``id_col``/``id_from`` add the fact's own key (G7/B23 replacement).
@@ -82,7 +82,7 @@ def build_fact(df: DataFrame, dims: list[DimRef], columns: dict[str, str | Colum
             if dim.table is None:
                 raise ValueError(f"method='join' needs the table of {dim.key_col}")
             on = [(fc, dc) for dc, fc in dim.natural.items()]
-            f = lookup(f, dim.table, on, [dim.key_col])
+            f = lookup(f, dim.table, on, [dim.key_col], broadcast=broadcast)
         else:
             raise ValueError(f"unknown method {method!r}")
     out = ([F.col(id_col)] if id_col else []) + [F.col(d.key_col) for d in dims]
@@ -91,7 +91,7 @@ def build_fact(df: DataFrame, dims: list[DimRef], columns: dict[str, str | Colum
 
 
 def build_bridge(df: DataFrame, id_col: str, array_col: str, item_col: str, key_col: str,
-                 dim: DataFrame | None = None) -> DataFrame:
+                 dim: DataFrame | None = None, broadcast: str = "probe") -> DataFrame:
     """G6 (+ D5 when ``dim`` is given): distinct (row id, item key) pairs
     from an array column. Without ``dim`` the item key is derived, which
     equals the key of the item's row in ``build_dimension``."""
@@ -99,5 +99,5 @@ def build_bridge(df: DataFrame, id_col: str, array_col: str, item_col: str, key_
     if dim is None:
         items = items.withColumn(key_col, stable_key(items, [item_col]))
     else:
-        items = lookup(items, dim, [(item_col, item_col)], [key_col])
+        items = lookup(items, dim, [(item_col, item_col)], [key_col], broadcast=broadcast)
     return items.select(id_col, key_col).dropDuplicates()

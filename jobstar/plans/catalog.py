@@ -235,7 +235,7 @@ def q_bridge_lookup(spark, d):
     """D5 + G6: item -> key through a join with the token dimension."""
     p = table(spark, d, "part").withColumn("tokens", F.split("p_name", " "))
     dim = build_dimension(explode_items(p, [], "tokens", "token"), {"token": "token"}, "token_id")
-    return build_bridge(p, "p_partkey", "tokens", "token", "token_id", dim=dim)
+    return build_bridge(p, "p_partkey", "tokens", "token", "token_id", dim=dim, broadcast="runtime")
 
 
 @register("top_tokens", """
@@ -282,7 +282,8 @@ def _fact(spark, d, method):
             dim.table = build_dimension(src, dim.natural, dim.key_col)
     return build_fact(base, dims, {"DateID": "DateID", "quantity": "l_quantity",
                                    "extendedprice": "l_extendedprice"},
-                      id_col="line_id", id_from=["l_orderkey", "l_linenumber"], method=method)
+                      id_col="line_id", id_from=["l_orderkey", "l_linenumber"], method=method,
+                      broadcast="runtime")
 
 
 @register("fact_star", _FACT_SQL)
@@ -1259,7 +1260,8 @@ GROUP BY SkillName ORDER BY n_postings DESC, SkillName ASC LIMIT 10
 def q_gold_top_skills(spark, d):
     """G8 dashboard: bridge joined to the skill dimension, top 10 skills."""
     g = _union_gold(spark, d)
-    named = lookup(g["fact_jobskill"], g["dim_skills"], [("SkillID", "SkillID")], ["SkillName"])
+    named = lookup(g["fact_jobskill"], g["dim_skills"], [("SkillID", "SkillID")], ["SkillName"],
+                   broadcast="runtime")
     return top_n(named, ["SkillName"], 10, count_distinct="JobPostingID", out="n_postings")
 
 
@@ -1270,7 +1272,8 @@ GROUP BY company_name ORDER BY n_postings DESC, CompanyName ASC LIMIT 10
 def q_gold_top_companies(spark, d):
     """G9 dashboard: most active companies (fact joined to company names)."""
     g = _union_gold(spark, d)
-    named = lookup(g["fact_job"], g["dim_company"], [("CompanyID", "CompanyID")], ["CompanyName"])
+    named = lookup(g["fact_job"], g["dim_company"], [("CompanyID", "CompanyID")], ["CompanyName"],
+                   broadcast="runtime")
     return top_n(named, ["CompanyName"], 10, out="n_postings")
 
 
@@ -1281,8 +1284,9 @@ FROM view GROUP BY 1, 2
 def q_gold_distribution(spark, d):
     """G10 dashboard: postings per work form and year (fact x dimensions)."""
     g = _union_gold(spark, d)
-    f = lookup(g["fact_job"], g["dim_workform"], [("WorkFormID", "WorkFormID")], ["WorkForm"])
-    f = lookup(f, g["dim_date"], [("DateID", "DateID")], ["Year"])
+    f = lookup(g["fact_job"], g["dim_workform"], [("WorkFormID", "WorkFormID")], ["WorkForm"],
+               broadcast="runtime")
+    f = lookup(f, g["dim_date"], [("DateID", "DateID")], ["Year"], broadcast="runtime")
     return distribution(f, ["WorkForm", "Year"], out="n_postings")
 
 
