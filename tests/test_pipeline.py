@@ -275,3 +275,14 @@ def test_gold_options(spark, tmp_root):
     assert "Python" in names and "python" not in names and "SQL" in names
     assert fk_violations(folded["fact_jobskill"], folded["dim_skills"], [("SkillID", "SkillID")]).count() == 0
     assert pk_violations(folded["dim_skills"], ["SkillID"]).count() == 0
+
+
+def test_cli_stages(spark, tmp_root):
+    from jobstar.__main__ import main
+    ra, rb = _fixtures(tmp_root)
+    root = os.path.join(tmp_root, "cli-lake")
+    assert set(main(["bronze", "--raw-a", ra, "--raw-b", rb, "--root", root])) == {"topcv", "vietnamworks"}
+    main(["silver", "--root", root, "--mode", "fixed"])
+    out = main(["gold", "--root", root])
+    assert set(out) == set(pipeline.GOLD_NAMES)
+    assert read_layer(spark, root, "gold", "fact_job").count() == 4
