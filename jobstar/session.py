@@ -88,3 +88,25 @@ def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool | None =
         ssl = endpoint.startswith("https://")
     conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] = str(ssl).lower()
     return conf
+
+
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
+                 target_partition_bytes: int = 200 * 1024 * 1024) -> dict[str, str]:
+    """Starting settings for a large run, from the input size and the cores.
+
+    Scan splits of 256 MB; the initial shuffle partition count is the
+    expected shuffle volume (``shuffle_fraction`` of the input, e.g. the
+    silver/gold columns that cross a shuffle) over ~200 MB, at least two
+    waves of tasks; AQE then coalesces small partitions and splits skewed
+    ones at runtime.
+    """
+    shuffle_parts = max(2 * total_cores, int(input_bytes * shuffle_fraction // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    }

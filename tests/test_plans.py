@@ -66,3 +66,10 @@ def test_runtime_broadcast_decided_by_aqe(spark):
     out.write.format("noop").mode("overwrite").save()
     plan = plan_text(out, mode="extended")
     assert "BroadcastHashJoin" in plan and "strategy=broadcast" not in plan   # Spark's own choice
+
+
+def test_cluster_conf_scales_with_input():
+    from jobstar.session import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, total_cores=8000)
+    small = cluster_conf(10 * 1024 ** 3, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) > 100_000 > 16_000 == int(small["spark.sql.shuffle.partitions"])
