@@ -7,6 +7,7 @@ spanning stages). Each stage function returns the paths it wrote.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from jobstar import schemas
@@ -20,13 +21,23 @@ GOLD_NAMES = ["dim_company", "dim_jobposition", "dim_date", "dim_workform", "dim
               "fact_job", "fact_jobskill", "view"]
 
 
+def _read_raw(spark: SparkSession, path: str | None, schema):
+    """Raw JSON with a bronze schema; None when the path is unset or absent
+    (A4: a missing source is skipped with a warning, not an error)."""
+    if not path:
+        return None
+    try:
+        return with_ingest_time(read_json_records(spark, path, schema))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+
+
 def run_bronze(spark: SparkSession, raw_a: str | None, raw_b: str | None, root: str) -> dict[str, str]:
     """Raw JSON files -> bronze Parquet (one dataset per board)."""
-    srcs = {}
-    if raw_a:
-        srcs[SOURCE_A] = with_ingest_time(read_json_records(spark, raw_a, schemas.BRONZE_A))
-    if raw_b:
-        srcs[SOURCE_B] = with_ingest_time(read_json_records(spark, raw_b, schemas.BRONZE_B))
+    srcs = {SOURCE_A: _read_raw(spark, raw_a, schemas.BRONZE_A),
+            SOURCE_B: _read_raw(spark, raw_b, schemas.BRONZE_B)}
     return land_bronze(srcs, root)
 
 

@@ -286,3 +286,9 @@ def test_cli_stages(spark, tmp_root):
     out = main(["gold", "--root", root])
     assert set(out) == set(pipeline.GOLD_NAMES)
     assert read_layer(spark, root, "gold", "fact_job").count() == 4
+
+
+def test_bronze_skips_missing_source(spark, tmp_root):
+    ra, _ = _fixtures(tmp_root)
+    out = pipeline.run_bronze(spark, ra, os.path.join(tmp_root, "does-not-exist"), os.path.join(tmp_root, "lk"))
+    assert list(out) == ["topcv"]
