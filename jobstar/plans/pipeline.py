@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from jobstar import schemas
 from jobstar.plans.gold import gold_tables, gold_view
 from jobstar.plans.silver import SOURCE_A, SOURCE_B, silver_board_a, silver_board_b
-from jobstar.sources.readers import read_json_records, read_layer
+from jobstar.sources.readers import CORRUPT_COL, read_json_records, read_layer
 from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer, write_tables
 from jobstar.operators.conform import with_ingest_time
 
@@ -27,7 +27,7 @@ def _read_raw(spark: SparkSession, path: str | None, schema):
     if not path:
         return None
     try:
-        return with_ingest_time(read_json_records(spark, path, schema))
+        return with_ingest_time(read_json_records(spark, path, schema, corrupt_col=CORRUPT_COL))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None

@@ -23,6 +23,7 @@ from jobstar.functions.tagging import keyword_tags, keyword_tags_automaton
 from jobstar.functions.text import nfc, trim_lower
 from jobstar.operators.conform import rename, required_filter, to_schema
 from jobstar.operators.dedup import latest_per_key
+from jobstar.sources.readers import CORRUPT_COL
 
 # ---- fixed values: source tags of the two boards ------------------------
 SOURCE_A = "topcv"
@@ -35,6 +36,14 @@ TEXT_FIELDS_B = ["jobTitle", "companyName", "companySize"]
 DEDUP_KEYS = ["job_position", "company_name"]
 
 
+def _valid_records(bronze: DataFrame) -> DataFrame:
+    """Bronze keeps malformed raw records (text in ``_corrupt_record``);
+    silver reads only the parsed ones."""
+    if CORRUPT_COL in bronze.columns:
+        return bronze.filter(F.col(CORRUPT_COL).isNull())
+    return bronze
+
+
 def silver_board_a(bronze: DataFrame, mode: str = "reference",
                    required: list[str] | None = REQUIRED_A, dedup: bool = True,
                    tagger: str = "expr", normalize: bool = False) -> DataFrame:
@@ -43,6 +52,7 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
     (same result, see ``functions.tagging``); ``normalize=True`` brings the
     parsed text fields to NFC first."""
     tags = keyword_tags_automaton if tagger == "automaton" else keyword_tags
+    bronze = _valid_records(bronze)
     if normalize:
         bronze = bronze.withColumns({c: nfc(c) for c in TEXT_FIELDS_A})
     lo, hi = salary_range("salary", mode)
@@ -75,6 +85,7 @@ def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = Tru
     """API board. In ``mode="fixed"`` the dedup keys are case-folded and
     trimmed like board A's, and the district parser is Unicode-aware;
     ``normalize=True`` brings the parsed text fields to NFC first."""
+    bronze = _valid_records(bronze)
     if normalize:
         bronze = bronze.withColumns({c: nfc(c) for c in TEXT_FIELDS_B})
     size = size_range_struct("companySize")

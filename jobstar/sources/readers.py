@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def layer_path(root: str, layer: str, source: str, prefix: str = "") -> str:
@@ -18,16 +18,26 @@ def layer_path(root: str, layer: str, source: str, prefix: str = "") -> str:
     return f"{root.rstrip('/')}/{layer}/{prefix}{source}/{source}_jobs.parquet"
 
 
+CORRUPT_COL = "_corrupt_record"
+
+
 def read_json_records(spark: SparkSession, path: str, schema: StructType,
-                      multiline: bool = True, with_file: bool = False) -> DataFrame:
+                      multiline: bool = True, with_file: bool = False,
+                      corrupt_col: str | None = None) -> DataFrame:
     """A1/A2: JSON records with an explicit schema (no inference pass).
 
     ``multiline=True`` reads files holding one JSON array of objects (the
     crawlers' output). Such a file is not splittable, so parallelism comes
     from many files; JSON-lines input (``multiline=False``) splits.
+    With ``corrupt_col`` a malformed record keeps its raw text in that
+    column (null for good rows) instead of becoming an all-null row.
     """
-    df = (spark.read.schema(schema).option("multiLine", multiline)
-          .option("mode", "PERMISSIVE").json(path))
+    if corrupt_col:
+        schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
+    r = spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    if corrupt_col:
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
+    df = r.json(path)
     if with_file:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df

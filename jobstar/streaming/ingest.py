@@ -13,13 +13,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def land_stream(spark: SparkSession, src_dir: str, schema: StructType, out_path: str,
                 checkpoint: str, multiline: bool = True, source: str | None = None,
-                max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
+                max_files_per_trigger: int | None = None, wait: bool = True,
+                corrupt_col: str | None = None) -> StreamingQuery:
+    """Land the files of ``src_dir`` not landed yet; ``corrupt_col`` keeps
+    malformed records' raw text instead of all-null rows."""
+    if corrupt_col:
+        schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
     reader = spark.readStream.schema(schema).option("multiLine", multiline)
+    if corrupt_col:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = (reader.json(src_dir)

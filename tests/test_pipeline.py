@@ -292,3 +292,15 @@ def test_bronze_skips_missing_source(spark, tmp_root):
     ra, _ = _fixtures(tmp_root)
     out = pipeline.run_bronze(spark, ra, os.path.join(tmp_root, "does-not-exist"), os.path.join(tmp_root, "lk"))
     assert list(out) == ["topcv"]
+
+
+def test_malformed_raw_kept_in_bronze_excluded_from_silver(spark, tmp_root):
+    ra, rb = _fixtures(tmp_root)
+    with open(os.path.join(ra, "broken.json"), "w") as f:
+        f.write('[{"id": "9", "title": "x", ')                     # truncated file
+    root = os.path.join(tmp_root, "lake-bad")
+    pipeline.run_bronze(spark, ra, rb, root)
+    bronze = read_layer(spark, root, "bronze", "topcv")
+    assert bronze.filter(F.col("_corrupt_record").isNotNull()).count() == 1
+    pipeline.run_silver(spark, root)
+    assert read_layer(spark, root, "silver", "topcv").count() == 2   # as without the broken file
