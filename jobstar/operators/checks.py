@@ -31,7 +31,8 @@ def fk_violations(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
 
 
 def parse_failures(df: DataFrame, pairs: dict[str, tuple[str, str]],
-                   excused: dict[str, str] | None = None) -> DataFrame:
+                   excused: dict[str, str] | None = None,
+                   flags: dict[str, str] | None = None) -> DataFrame:
     """Quality report for dirty text: per check, the rows whose raw text is
     present but whose parsed value is null (the source job aborted on such
     rows under ANSI; here they become null and are counted).
@@ -42,15 +43,17 @@ def parse_failures(df: DataFrame, pairs: dict[str, tuple[str, str]],
     check.
     """
     excused = excused or {}
-    aggs = []
+    flags = flags or {}      # check name -> column that is non-null on a failing row
+    aggs = [F.sum(F.when(F.col(c).isNotNull(), 1).otherwise(0)).alias(n) for n, c in flags.items()]
     for name, (raw, parsed) in pairs.items():
         bad = F.col(raw).isNotNull() & F.col(parsed).isNull()
         if name in excused:
             bad = bad & ~F.coalesce(F.col(excused[name]), F.lit(False))
         aggs.append(F.sum(F.when(bad, 1).otherwise(0)).alias(name))
     wide = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
-    stack = ", ".join(f"'{n}', `{n}`" for n in pairs)
-    return wide.selectExpr("rows", f"stack({len(pairs)}, {stack}) AS (check, failures)")
+    names = list(flags) + list(pairs)
+    stack = ", ".join(f"'{n}', `{n}`" for n in names)
+    return wide.selectExpr("rows", f"stack({len(names)}, {stack}) AS (check, failures)")
 
 
 def key_report(checks: dict[str, DataFrame]) -> DataFrame:

@@ -122,7 +122,9 @@ def silver_quality_a(bronze: DataFrame, mode: str = "reference") -> DataFrame:
     from jobstar.functions.parse import NEGOTIABLE
     lo, _ = salary_range("salary", mode)
     size_lo, _ = size_range("company_size", mode)
+    corrupt = [CORRUPT_COL] if CORRUPT_COL in bronze.columns else []
     x = bronze.select(
+        *corrupt,
         "salary", lo.alias("min_salary"), F.lower("salary").contains(NEGOTIABLE).alias("negotiable"),
         "yoe", experience_years("yoe").alias("yoe_years"),
         "deadline_submit", deadline_to_date("deadline_submit").alias("posting_date"),
@@ -132,4 +134,5 @@ def silver_quality_a(bronze: DataFrame, mode: str = "reference") -> DataFrame:
                               "deadline": ("deadline_submit", "posting_date"),
                               "company_size": ("company_size", "size_min"),
                               "headcount": ("num_of_recruit", "recruits")},
-                          excused={"salary": "negotiable"})
+                          excused={"salary": "negotiable"},
+                          flags={"malformed": CORRUPT_COL} if corrupt else None)

@@ -304,3 +304,6 @@ def test_malformed_raw_kept_in_bronze_excluded_from_silver(spark, tmp_root):
     assert bronze.filter(F.col("_corrupt_record").isNotNull()).count() == 1
     pipeline.run_silver(spark, root)
     assert read_layer(spark, root, "silver", "topcv").count() == 2   # as without the broken file
+    from jobstar.plans.silver import silver_quality_a
+    rep = {r.check: r.failures for r in silver_quality_a(bronze).collect()}
+    assert rep["malformed"] == 1
