@@ -1300,3 +1300,28 @@ def q_stream_landing(spark, d):
     for _ in range(2):
         land_stream(spark, src, o.schema, out, ckpt, multiline=False, source="orders")
     return spark.read.parquet(out).select(*o.columns)
+
+
+def _silver_b_fixed_sql() -> str:
+    """Board-B silver SQL in fixed mode: the reference-mode SQL with the two
+    documented differences (folded dedup keys, trimmed Unicode district)."""
+    sql = _SILVER_B_SQL
+    ref_keys = "SELECT jobTitle AS job_position, companyName AS company_name,"
+    ref_district = (r"regexp_extract(workingLocations[1].address, '(?i)(Quận|Q\.)\s*([^\.,\d]+)', 2)"
+                    " AS district,")
+    assert ref_keys in sql and ref_district in sql
+    sql = sql.replace(ref_keys, "SELECT trim(lower(jobTitle)) AS job_position, trim(companyName) AS company_name,")
+    return sql.replace(ref_district, "nullif(trim(" + ref_district.removesuffix(" AS district,")
+                       + "), '') AS district,")
+
+
+@register("silver_api_postings_fixed", _silver_b_fixed_sql() + """
+SELECT * REPLACE (array_to_string(relation_fields, ',') AS relation_fields,
+                  array_to_string(skills_extracted, ',') AS skills_extracted)
+FROM silver_b
+""")
+def q_silver_api_postings_fixed(spark, d):
+    """E2 board B, fixed rules: case-folded dedup keys, district trimmed/null."""
+    s = silver_board_b(api_bronze(spark, d), mode="fixed")
+    return s.withColumns({"relation_fields": F.array_join("relation_fields", ","),
+                          "skills_extracted": F.array_join("skills_extracted", ",")})
