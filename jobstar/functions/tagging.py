@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobstar.functions.text import as_col
@@ -43,15 +43,17 @@ SKILL_KEYWORDS = [
 # -------------------------------------------------------------------------
 
 
-def keyword_tags(text, vocab: list[str] | None = None, word_boundary: bool = False) -> Column:
+def keyword_tags(text, vocab: list[str] | None = None, word_boundary: bool = False,
+                 lowered: bool = False) -> Column:
     """Vocabulary words found in ``text`` -> array<string>.
 
     Substring match by default, as in the source ("java" is found in
     "javascript"); null or '' text -> []. ``word_boundary=True`` only
-    accepts matches not glued to letters or digits.
+    accepts matches not glued to letters or digits. ``lowered=True`` when
+    ``text`` is already lower-cased (see ``with_keyword_tags``).
     """
     vocab = [k.lower() for k in (vocab or SKILL_KEYWORDS)]
-    low = F.lower(as_col(text))
+    low = as_col(text) if lowered else F.lower(as_col(text))
     if word_boundary:
         tests = [low.rlike(r"(?<![\p{L}\p{N}])" + re.escape(k) + r"(?![\p{L}\p{N}])") for k in vocab]
     else:
@@ -60,6 +62,23 @@ def keyword_tags(text, vocab: list[str] | None = None, word_boundary: bool = Fal
     return F.concat(*[F.when(t, F.array(F.lit(k))).otherwise(none) for t, k in zip(tests, vocab)])
 
 
+def with_keyword_tags(df: DataFrame, text_col: str, out: str, vocab: list[str] | None = None,
+                      word_boundary: bool = False) -> DataFrame:
+    """``df`` plus ``out`` = ``keyword_tags(text_col)``, with ``lower(text)``
+    computed in its own projection.
+
+    Catalyst does not merge a projection whose expensive alias is used many
+    times into the next one, so the lower-cased text is computed once per
+    row even when a large stage falls back from whole-stage codegen to
+    interpreted evaluation (where ``keyword_tags`` alone would lower the
+    text once per keyword).
+    """
+    tmp = f"__{out}_lower"
+    x = df.withColumn(tmp, F.lower(F.col(text_col)))
+    x = x.withColumn(out, keyword_tags(F.col(tmp), vocab, word_boundary, lowered=True))
+    return x.drop(tmp)
+
+
 _AUTOMATA: dict[tuple[str, ...], object] = {}
 
 

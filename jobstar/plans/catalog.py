@@ -25,7 +25,7 @@ from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
-from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags, keyword_tags_automaton
+from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags_automaton, with_keyword_tags
 from jobstar.operators.checks import fk_violations, key_report, pk_violations
 from jobstar.operators.conform import (
     required_filter, to_schema, union_sources, with_row_key, with_source,
@@ -112,7 +112,7 @@ GROUP BY tag ORDER BY n_docs DESC, tag ASC LIMIT 10
 """)
 def q_top_skills(spark, d):
     """C8 tags -> S3 explode -> G8 top skills by distinct documents."""
-    docs = table(spark, d, "documents").select("doc_id", keyword_tags("text").alias("tags"))
+    docs = with_keyword_tags(table(spark, d, "documents").select("doc_id", "text"), "text", "tags")
     return top_n(explode_items(docs, ["doc_id"], "tags", "tag"), ["tag"], 10,
                  count_distinct="doc_id", out="n_docs")
 
@@ -124,7 +124,7 @@ FROM (SELECT doc_id, list_filter({SQL_VOCAB}, lambda k: contains(lower(text), k)
 """)
 def q_keyword_tags(spark, d):
     """Vocabulary tags of every document, vocabulary order."""
-    t = table(spark, d, "documents").select("doc_id", keyword_tags("text").alias("tags"))
+    t = with_keyword_tags(table(spark, d, "documents").select("doc_id", "text"), "text", "tags")
     return t.select("doc_id", F.array_join("tags", ",").alias("tags"),
                     F.size("tags").alias("n_tags"))
 

@@ -19,7 +19,7 @@ from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
-from jobstar.functions.tagging import keyword_tags, keyword_tags_automaton
+from jobstar.functions.tagging import keyword_tags_automaton, with_keyword_tags
 from jobstar.functions.text import nfc, trim_lower
 from jobstar.operators.conform import rename, required_filter, to_schema
 from jobstar.operators.dedup import latest_per_key
@@ -51,10 +51,13 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
     ``tagger="automaton"`` tags long requirement texts in one pass per text
     (same result, see ``functions.tagging``); ``normalize=True`` brings the
     parsed text fields to NFC first."""
-    tags = keyword_tags_automaton if tagger == "automaton" else keyword_tags
     bronze = _valid_records(bronze)
     if normalize:
         bronze = bronze.withColumns({c: nfc(c) for c in TEXT_FIELDS_A})
+    if tagger == "automaton":
+        bronze = bronze.withColumn("__skills", keyword_tags_automaton("requirements"))
+    else:
+        bronze = with_keyword_tags(bronze, "requirements", "__skills")
     lo, hi = salary_range("salary", mode)
     size_lo, size_hi = size_range("company_size", mode)
     city, district = city_district("area")
@@ -69,7 +72,7 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
         headcount("num_of_recruit").alias("num_of_recruit"),
         "work_form",
         clean_list("relation_fields").alias("relation_fields"),
-        tags("requirements").alias("skills_extracted"),
+        F.col("__skills").alias("skills_extracted"),
         city.alias("city"), district.alias("district"),
         F.lit(SOURCE_A).alias("source"),
         "requirements", "description",
