@@ -73,3 +73,12 @@ def test_cluster_conf_scales_with_input():
     big = cluster_conf(100 * 1024 ** 4, total_cores=8000)
     small = cluster_conf(10 * 1024 ** 3, total_cores=8000)
     assert int(big["spark.sql.shuffle.partitions"]) > 100_000 > 16_000 == int(small["spark.sql.shuffle.partitions"])
+
+
+def test_silver_tagger_lowers_once(spark):
+    import re
+    from jobstar.plans.catalog import postings_bronze
+    from jobstar.plans.silver import silver_board_a
+    plan = plan_text(silver_board_a(postings_bronze(spark, SF)), mode="simple")
+    assert len(re.findall(r"lower\([a-z_]+#\d+\) AS _*skills_lower", plan)) == 1   # lowered once
+    assert len(re.findall(r"Contains\(_*skills_lower", plan)) >= 60
