@@ -36,3 +36,96 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from jobstar.llm.exact import exact_dedup
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op2_warc")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: every page written to WARC archives and read back."""
+    from jobstar.llm.warc import warc_roundtrip
+    return warc_roundtrip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: quality rules of every document."""
+    from jobstar.llm.quality import RESULT, quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", *RESULT)
+
+
+@register("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: all documents packed into sequences of 4096 ids."""
+    import public_tokenizers
+
+    from jobstar.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: every document encoded to byte-level BPE ids and decoded."""
+    import public_tokenizers
+
+    from jobstar.llm.bpe import roundtrip_digests
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return roundtrip_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).drop("text")
+
+
+@register("op7_minhash")
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: near-duplicate groups of all documents, three-word shingles, similarity 0.85."""
+    from jobstar.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: toxicity of every document."""
+    from jobstar.llm.toxicity import RESULT, score_toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", *RESULT)
+
+
+@register("op9_langid")
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: language of every document."""
+    from jobstar.llm.langid import RESULT, identify_languages
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_languages(docs).select("doc_id", *RESULT)
+
+
+@register("op10_suffix_array")
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: every byte of a repeated 200-byte string removed."""
+    from pyspark.sql import functions as F
+
+    from jobstar.llm.suffix_array import suffix_dedup
+    out = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_fm_index", """
+    WITH d AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50),
+    k AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h FROM s),
+    f AS (SELECT h, min(doc_id) AS least FROM k GROUP BY h),
+    r AS (SELECT doc_id, p FROM k JOIN f USING (h) WHERE doc_id > least),
+    c AS (SELECT DISTINCT doc_id, p + o AS p FROM r, (SELECT unnest(range(0, 50)) AS o)),
+    g AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(array_to_string(list_filter(list_transform(w, lambda x, i: CASE WHEN list_contains(coalesce(gone, []), i)
+            THEN NULL ELSE x END), lambda x: x IS NOT NULL), ' '), '')) AS kept_sha256
+    FROM d LEFT JOIN g USING (doc_id)
+""")
+def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: words of every 50-word window that an earlier document has, removed."""
+    from pyspark.sql import functions as F
+
+    from jobstar.llm.fm_index import fm_dedup
+    out = fm_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
