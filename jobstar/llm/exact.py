@@ -99,13 +99,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     single = (rows.join(state.where("_n = 1").select("_digest"), "_digest")
               .select(*columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                       F.lit(True).alias("kept"), F.col("_digest").alias("text_sha256")))
-    # hits: the full text is part of the key
-    hit = (rows.withColumn("_norm", norm)
-           .join(state.where("_n > 1").select("_digest"), "_digest"))
+    # hits, stored once: from here on the full text is part of the key
+    hit = materialize(rows.join(state.where("_n > 1").select("_digest"), "_digest"), "dedup-hits")
+    hit = hit.withColumn("_norm", norm)
     groups = hit.groupBy("_digest", "_norm").agg(
         F.max(F.struct(F.col(id_col).alias("_id"))).alias("_keep"), F.count(F.lit(1)).alias("_size"))
     hit = (hit.join(groups, ["_digest", "_norm"])
-           .withColumn("_key", F.xxhash64("_norm")).drop("_norm")
+           .withColumn("_key", F.xxhash64("_norm"))
            .withColumn("_best", F.col(id_col).eqNullSafe(F.col("_keep._id")))
            .withColumn("_order", F.xxhash64(*[F.col(c) for c in columns])))
     first = F.row_number().over(Window.partitionBy("_digest", "_key", id_col).orderBy("_order"))
