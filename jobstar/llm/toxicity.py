@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network (operator 8).
 
 Each word enters as a hashed word feature and as features of its characters
-(hashed byte trigrams). A gated recurrent unit reads a window of words
+(hashed grams of four bytes). A gated recurrent unit reads a window of words
 forwards, another backwards; attention pools their states into one score. The
 network is trained in numpy on the driver, on a bounded sample of labelled
 rows; every task scores all overlapping windows of its whole texts, and a
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstar.llm.langid import held_out, learned_fold
-from jobstar.llm.text import IS_SPACE, Rolling, batches_of_texts, joined, lower_ascii, ranges, word_spans
+from jobstar.llm.text import Rolling, batches_of_texts, joined, lower_ascii, ranges, word_spans
 
-WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 14
+WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 16
 WIDTH, STRIDE, HIDDEN, ATTENTION = 64, 32, 8, 8
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1200, 2400, 20_000  # labelled rows, and their length, that are trained on
 THRESHOLD = 0.3
@@ -31,7 +31,7 @@ _IS_WORD_CHAR[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
 class Words:
-    """The words of some texts as arrays: bucket of each word, buckets of its trigrams, and the words of each text.
+    """The words of some texts as arrays: bucket of each word, buckets of its grams, and the words of each text.
 
     Punctuation at a word's ends is not part of it; a word of punctuation alone stays as it is.
     """
@@ -51,17 +51,18 @@ class Words:
             inside = inner_begin < inner_end
             begin, end = np.where(inside, inner_begin, begin), np.where(inside, inner_end, end)
         self.word = (Rolling(data).of(begin, end) >> np.uint64(48)).astype(np.int64)
-        # trigrams of the word between two blanks: one for each of its bytes
-        padded = np.where(IS_SPACE[data], 32, data).astype(np.uint32)
-        gram = padded << np.uint32(8)
-        gram[1:] += padded[:-1] << np.uint32(16)
-        gram[:-1] += padded[1:]
+        # grams of four bytes of the word between blanks: one for each of its bytes, from the one before it
+        padded = np.where(_IS_WORD_CHAR[data], data, 32).astype(np.uint32)
+        gram = padded << np.uint32(16)
+        gram[1:] += padded[:-1] << np.uint32(24)
+        gram[:-1] += padded[1:] << np.uint32(8)
+        gram[:-2] += padded[2:]
         self.size = end - begin
-        self.gram = ((gram * np.uint32(2654435769)) >> np.uint32(18)).astype(np.int64)[ranges(begin, self.size)]
+        self.gram = ((gram * np.uint32(2654435769)) >> np.uint32(16)).astype(np.int64)[ranges(begin, self.size)]
         self.gram_first = np.cumsum(self.size) - self.size
 
     def inputs(self, word_weight: np.ndarray, char_weight: np.ndarray) -> np.ndarray:
-        """Inputs of every word: its own weight, mean and largest weight of its trigrams, and a constant."""
+        """Inputs of every word: its own weight, mean and largest weight of its grams, and a constant."""
         out = np.zeros((self.word.size, INPUTS), np.float32)
         if self.word.size:
             c = char_weight[self.gram]
@@ -200,31 +201,47 @@ def _log_odds(bucket: np.ndarray, text: np.ndarray, toxic: np.ndarray, buckets:
 
 
 class ToxicityModel:
-    """Weights of words and trigrams from one half of the sample, the network trained on the other half."""
+    """Weights of words and grams, and the network over them.
+
+    The network learns from inputs that were weighed without the text at
+    hand: each half of the sample is read with the weights of the other half.
+    The final weights come from the whole sample.
+    """
 
     def __init__(self, texts: list[bytes], toxic: list[int]):
         label = np.array(toxic, np.float32)
         half = np.arange(len(texts)) % 2 == 0
-        words = Words([t for t, h in zip(texts, half) if h])
-        of_word = np.repeat(np.arange(half.sum()), words.count)
-        self.word = _log_odds(words.word, of_word, label[half], WORD_BUCKETS, 8.0)
-        self.char = _log_odds(words.gram, np.repeat(of_word, words.size), label[half], CHAR_BUCKETS, 30.0)
-        words = Words([t for t, h in zip(texts, half) if not h])
+        self.weigh(texts, label, half)
+        parts = [self.telling_windows(texts, label, ~half)]
+        self.weigh(texts, label, ~half)
+        parts.append(self.telling_windows(texts, label, half))
+        self.weigh(texts, label, half | ~half)
+        x, there, target = (np.concatenate(p, axis=-1 if p[0].ndim < 3 else 1) for p in zip(*parts))
+        share = target.mean() if target.size else 0
+        self.net = Network()
+        if 0 < share < 1:
+            weight = np.where(target > 0, 0.3 / share, 0.7 / (1 - share)).astype(np.float32)
+            self.net.train(x, there, target, weight, epochs=max(12, 400 * 256 // target.size))
+
+    def weigh(self, texts: list[bytes], label: np.ndarray, rows: np.ndarray) -> None:
+        """Weights of words and grams by the texts in ``rows``."""
+        words = Words([t for t, r in zip(texts, rows) if r])
+        of_word = np.repeat(np.arange(rows.sum()), words.count)
+        self.word = _log_odds(words.word, of_word, label[rows], WORD_BUCKETS, 8.0)
+        self.char = _log_odds(words.gram, np.repeat(of_word, words.size), label[rows], CHAR_BUCKETS, 8.0)
+
+    def telling_windows(self, texts: list[bytes], label: np.ndarray, rows: np.ndarray):
+        """Inputs, steps and labels: of a toxic text its most telling window, of a clean one that and one more."""
+        words = Words([t for t, r in zip(texts, rows) if r])
         inputs = words.inputs(self.word, self.char)
         first, count, text = words.windows()
-        sums = np.concatenate(([0], np.cumsum(np.maximum(inputs[:, 0], 0), dtype=np.float64)))
-        weight = sums[first + count] - sums[first]
-        # of a toxic text its most telling window, of a clean one that and one more
-        best = np.lexsort((-weight, text))
+        sums = np.concatenate(([0], np.cumsum(np.maximum(inputs[:, 0], 0) + np.maximum(inputs[:, 2], 0), dtype=np.float64)))
+        best = np.lexsort((-(sums[first + count] - sums[first]), text))
         place = np.arange(text.size) - np.searchsorted(text[best], text[best])
-        own = label[~half][text[best]]
+        own = label[rows][text[best]]
         chosen = best[(place == 0) | ((own == 0) & (place == 1))]
-        target = label[~half][text[chosen]]
         x, there = _gathered(inputs, first[chosen], count[chosen])
-        share = target.mean() if target.size else 0
-        self.net = Network()
-        if 0 < share < 1:
-            self.net.train(x, there, target, np.where(target > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32))
+        return x, there, label[rows][text[chosen]]
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Score of each text: the highest of its windows; 0 without words."""
