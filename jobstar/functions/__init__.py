@@ -17,4 +17,4 @@ from jobstar.functions.arrays import (  # noqa: F401
     pick, city_district, clean_list, field_of_first, project_field, district_from_address,
 )
 from jobstar.functions.tagging import keyword_tags, SKILL_KEYWORDS  # noqa: F401
-from jobstar.functions.keys import stable_key, key_text  # noqa: F401
+from jobstar.functions.keys import row_key, stable_key, key_text  # noqa: F401

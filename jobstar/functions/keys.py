@@ -1,11 +1,13 @@
 """Deterministic surrogate keys (replaces B23 ``hash`` and B27
 ``monotonically_increasing_id``).
 
-A key is the first 60 bits of md5 over the natural key text, so it is the
-same on every rerun, for any partitioning, and in any engine with md5
-(DuckDB: ``('0x' || substr(md5(k), 1, 15))::BIGINT``). No global sort or
-single-task numbering is needed. Uniqueness is checked with
-``operators.checks.pk_violations``.
+A key is taken from the md5 of the natural key's text, so it is the same on
+every rerun, for any partitioning, and in any engine with md5. Dimensions get
+its first 60 bits as a bigint; rows of a fact, which can be many more, get all 128
+bits as hex text. No global sort or single-task numbering is needed.
+
+The text of a key is injective: every part and every array item is written
+with its length before it, null as a mark that no length can be.
 """
 
 from __future__ import annotations
@@ -14,30 +16,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-# Fixed separators of the key text: unit separator between columns,
-# record separator between array items, \N for null.
-COL_SEP = "\x1f"
-ITEM_SEP = "\x1e"
-NULL_TEXT = "\\N"
+NULL_MARK = "N"
+
+
+def _measured(c: Column) -> Column:
+    txt = c.cast("string")
+    return F.coalesce(F.concat(F.length(txt).cast("string"), F.lit(":"), txt), F.lit(NULL_MARK))
 
 
-def key_text(df: DataFrame | None, cols) -> Column:
-    """Natural key -> one string. Nulls are kept as ``\\N`` (``concat_ws``
-    alone would skip them, making ('a', null) equal (null, 'a')); arrays
-    are bracketed and joined item by item, so [] , [null] and null differ."""
+def key_text(df: DataFrame, cols) -> Column:
+    """Natural key -> one string, different for different keys: nulls,
+    empty texts, empty arrays and arrays of either all differ. ``cols`` are names or
+    columns; their types come from ``df``."""
     parts = []
-    for c in cols:
+    for c, field in zip(cols, df.select(*cols).schema.fields):
         col = F.col(c) if isinstance(c, str) else c
-        dtype = df.schema[c].dataType if (df is not None and isinstance(c, str)) else None
-        if isinstance(dtype, ArrayType):
-            items = F.array_join(col.cast("array<string>"), ITEM_SEP, NULL_TEXT)
-            txt = F.concat(F.lit("["), items, F.lit("]"))
+        if isinstance(field.dataType, ArrayType):
+            items = F.array_join(F.transform(col, _measured), "")
+            parts.append(F.coalesce(F.concat(F.size(col).cast("string"), F.lit("["), items, F.lit("]")),
+                                    F.lit(NULL_MARK)))
         else:
-            txt = col.cast("string")
-        parts.append(F.coalesce(txt, F.lit(NULL_TEXT)))
-    return F.concat_ws(COL_SEP, *parts)
+            parts.append(_measured(col))
+    return F.concat(*parts)
 
 
-def stable_key(df: DataFrame | None, cols) -> Column:
-    """60-bit non-negative bigint from md5 of the natural key text."""
+def stable_key(df: DataFrame, cols) -> Column:
+    """60-bit non-negative bigint from md5 of the natural key text, for dimensions."""
     return F.conv(F.substring(F.md5(key_text(df, cols)), 1, 15), 16, 10).cast("bigint")
+
+
+def row_key(df: DataFrame, cols) -> Column:
+    """All 128 bits of that md5 as hex text, for rows of a fact."""
+    return F.md5(key_text(df, cols))

@@ -23,9 +23,14 @@ FULL_TIME = "Toàn thời gian"
 PART_TIME = "Bán thời gian"
 FULL_TIME_CODE = 1
 HEADCOUNT_LABEL = " người"
+FIRST_NUMBER = r"(\d+)"               # first digit run
+NUMBER_AFTER_DASH = r"\d+\s*-\s*(\d+)"  # second number of "n - m"
+SIZE_AFTER_DASH = r"-(\d+)"          # upper company size
 # Extra words recognised only by mode="fixed".
 NEGOTIABLE_FIXED = ["thỏa thuận", "thoả thuận", "negotiable", "negotiation"]
 UP_TO_FIXED = ["tới", "đến", "up to"]
+MILLION_UNITS = r"triệu|\dtr\b|\str\b"
+MILLIONS_BELOW = 1000                # a VND amount without a unit below this is in millions
 # -------------------------------------------------------------------------
 
 
@@ -41,17 +46,19 @@ def salary_range(text, mode: str = "reference", unit: int = MILLION,
     reference: negotiable -> nulls; min = first digit run x unit; max = the
     number after ``n - `` x unit, else null. So "tới 30 triệu" gives
     (30M, null) and "12.5 - 20" gives 12M.
-    fixed: thousands separators and decimals are read as numbers, "up to"
-    fills max only, USD amounts are converted with ``usd_rate``.
+    fixed: grouped digits and decimals are read as numbers, however long; two
+    numbers with a dash or "đến"/"tới" between them are a range, "up to"
+    before one fills max only; USD amounts are converted with ``usd_rate``, and
+    the million unit applies where the text says so or the amount is too small to be VND.
     """
     s = F.lower(as_col(text))
     if mode == "reference":
         neg = s.contains(NEGOTIABLE)
         lo = F.when(neg, F.lit(None)).when(
-            s.rlike(r"\d+"), _times(to_long(F.regexp_extract(s, r"(\d+)", 1)), unit))
+            s.rlike(FIRST_NUMBER), _times(to_long(F.regexp_extract(s, FIRST_NUMBER, 1)), unit))
         hi = F.when(neg, F.lit(None)).when(
-            s.rlike(r"\d+\s*-\s*(\d+)"),
-            _times(to_long(F.regexp_extract(s, r"\d+\s*-\s*(\d+)", 1)), unit))
+            s.rlike(NUMBER_AFTER_DASH),
+            _times(to_long(F.regexp_extract(s, NUMBER_AFTER_DASH, 1)), unit))
         return lo, hi
     if mode != "fixed":
         raise ValueError(f"unknown mode {mode!r}")
@@ -61,18 +68,21 @@ def salary_range(text, mode: str = "reference", unit: int = MILLION,
     upto = F.lit(False)
     for w in UP_TO_FIXED:
         upto = upto | F.coalesce(s.contains(w), F.lit(False))
-    # 1,000,000 / 1.000.000 -> 1000000 (two passes cover up to 10^12)
-    grouped = r"(\d)[,.](\d{3})(\D|$)"
-    s2 = F.regexp_replace(F.regexp_replace(s, grouped, "$1$2$3"), grouped, "$1$2$3")
-    s2 = F.regexp_replace(s2, r"(\d),(\d)", "$1.$2")        # decimal comma
+    # 1,000,000 / 1.000.000 -> 1000000: a separator between a digit and exactly three digits
+    s2 = F.regexp_replace(s, r"(?<=\d)[,.](?=\d{3}(?!\d))", "")
+    s2 = F.regexp_replace(s2, r"(?<=\d),(?=\d)", ".")       # decimal comma
     nums = F.regexp_extract_all(s2, F.lit(r"(\d+(?:\.\d+)?)"), F.lit(1))
     usd = s.contains("usd") | s.contains("$")
-    mult = F.when(usd, F.lit(float(usd_rate))).otherwise(F.lit(float(unit)))
-    n1 = F.get(nums, 0).try_cast("double") * mult
-    n2 = F.get(nums, 1).try_cast("double") * mult
-    ranged = s2.rlike(r"\d\s*-\s*\d")
-    lo = F.when(neg, F.lit(None)).when(upto & ~ranged, F.lit(None)).otherwise(n1)
-    hi = F.when(neg, F.lit(None)).when(ranged, n2).when(upto, n1)
+
+    def amount(i: int) -> Column:
+        n = F.get(nums, i).try_cast("decimal(24,6)")
+        factor = (F.when(usd, F.lit(usd_rate)).when(s2.rlike(MILLION_UNITS) | (n < MILLIONS_BELOW), F.lit(unit))
+                   .otherwise(F.lit(1)))
+        return F.try_multiply(n, factor.cast("decimal(10,0)"))
+
+    ranged = s2.rlike(r"\d[^\d]*?(?:-|–|đến|tới)[^\d]*\d")
+    lo = F.when(neg, F.lit(None)).when(upto & ~ranged, F.lit(None)).otherwise(amount(0))
+    hi = F.when(neg, F.lit(None)).when(ranged, amount(1)).when(upto, amount(0))
     return F.round(lo).try_cast("bigint"), F.round(hi).try_cast("bigint")
 
 
@@ -96,10 +106,10 @@ def size_range(text, mode: str = "reference") -> tuple[Column, Column]:
     """
     s = trim_lower(text)
     if mode == "reference":
-        lo = to_int(F.regexp_extract(s, r"(\d+)", 1))
+        lo = to_int(F.regexp_extract(s, FIRST_NUMBER, 1))
         hi = (F.when(s.contains("+"), lo)
                .when(~s.contains("-"), lo)
-               .otherwise(to_int(F.regexp_extract(s, r"-(\d+)", 1))))
+               .otherwise(to_int(F.regexp_extract(s, SIZE_AFTER_DASH, 1))))
         return lo, hi
     if mode != "fixed":
         raise ValueError(f"unknown mode {mode!r}")

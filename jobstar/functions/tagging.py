@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,50 +76,3 @@ def with_keyword_tags(df: DataFrame, text_col: str, out: str, vocab: list[str] |
     x = df.withColumn(tmp, F.lower(F.col(text_col)))
     x = x.withColumn(out, keyword_tags(F.col(tmp), vocab, word_boundary, lowered=True))
     return x.drop(tmp)
-
-
-_AUTOMATA: dict[tuple[str, ...], object] = {}
-
-
-def _automaton(vocab: tuple[str, ...]):
-    """Aho-Corasick automaton over ``vocab``, built once per Python worker."""
-    a = _AUTOMATA.get(vocab)
-    if a is None:
-        import ahocorasick
-        a = ahocorasick.Automaton()
-        for i, k in enumerate(vocab):
-            a.add_word(k, i)
-        a.make_automaton()
-        _AUTOMATA[vocab] = a
-    return a
-
-
-def keyword_tags_automaton(text, vocab: list[str] | None = None) -> Column:
-    """C8 as one pass per text: an Aho-Corasick automaton in an Arrow-batched
-    pandas UDF. Same result as ``keyword_tags`` (substring match on the
-    lower-cased text, vocabulary order, null -> []).
-
-    ``keyword_tags`` scans the text once per keyword, so its cost grows with
-    the vocabulary; the automaton's does not. On long texts it is ~3x faster
-    already at the 67-word vocabulary (1.8 s vs 5.1 s for sf0.1 documents),
-    and it is the only practical choice for vocabularies of thousands of
-    words. The vocabulary travels in the UDF closure (a few KB per task).
-    """
-    from pyspark.sql.functions import pandas_udf
-    from pyspark.sql.types import ArrayType, StringType
-
-    words = tuple(k.lower() for k in (vocab or SKILL_KEYWORDS))
-
-    @pandas_udf(ArrayType(StringType()))
-    def _tags(s: pd.Series) -> pd.Series:
-        a = _automaton(words)
-        out = []
-        for t in s:
-            if t is None:
-                out.append([])
-                continue
-            hit = {i for _, i in a.iter(t.lower())}
-            out.append([words[i] for i in sorted(hit)])
-        return pd.Series(out, dtype=object)
-
-    return _tags(as_col(text))

@@ -5,7 +5,7 @@ from jobstar.operators.dedup import latest_per_key  # noqa: F401
 from jobstar.operators.conform import (  # noqa: F401
     rename, to_schema, union_sources, required_filter, with_source, with_ingest_time, with_row_key,
 )
-from jobstar.operators.joins import sized_broadcast, lookup  # noqa: F401
+from jobstar.operators.joins import lookup  # noqa: F401
 from jobstar.operators.star import (  # noqa: F401
     build_dimension, build_date_dimension, explode_items, build_bridge, build_fact,
 )

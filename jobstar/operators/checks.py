@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstar.operators.joins import sized_broadcast
-
 
 def pk_violations(df: DataFrame, keys: list[str], out: str = "n") -> DataFrame:
     """Key values that occur more than once, with their count.
@@ -20,8 +18,7 @@ def fk_violations(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
                   null_is_violation: bool = False) -> DataFrame:
     """Fact rows whose foreign key has no dimension row. A null key part is
     no violation (SQL FK rule) unless ``null_is_violation``."""
-    keys = dim.select(*[F.col(dc).alias(f"__k{i}") for i, (_, dc) in enumerate(on)]).dropDuplicates()
-    keys, _ = sized_broadcast(keys)
+    keys = dim.select(*[F.col(dc).alias(f"__k{i}") for i, (_, dc) in enumerate(on)])
     cond = reduce(lambda a, b: a & b,
                   [fact[fc] == keys[f"__k{i}"] for i, (fc, _) in enumerate(on)])
     bad = fact.join(keys, cond, "left_anti")
@@ -58,7 +55,6 @@ def parse_failures(df: DataFrame, pairs: dict[str, tuple[str, str]],
 
 def key_report(checks: dict[str, DataFrame]) -> DataFrame:
     """Union of named violation frames -> (check, violations) counts."""
-    from functools import reduce as _reduce
     parts = [v.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(k).alias("check"), "violations")
              for k, v in checks.items()]
-    return _reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from jobstar.functions.keys import stable_key
+from jobstar.functions.keys import row_key
 from jobstar.functions.text import non_blank
 
 
@@ -37,9 +37,10 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
-def union_sources(dfs: list[DataFrame], allow_missing: bool = True) -> DataFrame:
+def union_sources(dfs: list[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Bag union by column name (no dedup across sources). Spark widens
-    int/bigint -> bigint and bigint/double -> double."""
+    int/bigint -> bigint and bigint/double -> double. A column that a source lacks
+    raises; with ``allow_missing`` it is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
 
@@ -63,4 +64,4 @@ def with_row_key(df: DataFrame, cols: list[str], out: str = "id") -> DataFrame:
     """A landing row id that is the same on every rerun (md5 of e.g.
     the posting link), instead of a per-run sequential counter, which would
     need one task to number all rows."""
-    return df.withColumn(out, stable_key(df, cols))
+    return df.withColumn(out, row_key(df, cols))

@@ -1,4 +1,10 @@
-"""Lookup joins with a size-checked broadcast."""
+"""Lookup joins.
+
+No broadcast hint is given. A stored dimension's file size decides at
+planning time, and where the dimension comes out of a shuffle AQE measures that shuffle's
+output at run time; both switch to a broadcast join only below Spark's
+thresholds, and AQE splits skewed keys of the shuffle join otherwise.
+"""
 
 from __future__ import annotations
 
@@ -7,55 +13,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it is proven to have at most this many rows
-# AND at most this many bytes (as JSON text, a proxy for its in-memory
-# size); beyond either bound the join stays a shuffle join (AQE may still
-# convert it at runtime from measured sizes, and splits skewed keys).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` is proven small, else ``(df, False)``.
-
-    One bounded action: it reads at most ``max_rows + 1`` rows (``limit``
-    stops the scan early) and sums their serialized size, so the check
-    costs the same whatever the table's size. Pass a materialised
-    dimension so the check does not recompute it.
-    """
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[df[f"`{c}`"] for c in df.columns])))),
-                   F.lit(0)).alias("bytes")).first()
-    if probe["n"] <= max_rows and probe["bytes"] <= max_bytes:
-        return F.broadcast(df), True
-    return df, False
-
 
 def lookup(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], take: list[str],
-           how: str = "left", null_safe: bool = True,
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS, broadcast: str = "probe") -> DataFrame:
+           how: str = "left", null_safe: bool = True) -> DataFrame:
     """Attach ``take`` columns of ``dim`` to ``fact`` by the FULL
     natural key ``on = [(fact_col, dim_col), ...]``.
 
     Joining on the whole key of a dimension that is unique on it means the
     fact can never fan out (the source joined on part of the key). With
     ``null_safe`` a null key part matches a null dimension key part.
-
-    ``broadcast="probe"`` checks the dimension's size up front
-    (``sized_broadcast``), right for stored dimensions. ``"runtime"`` adds
-    no hint: when the dimension comes out of a shuffle (e.g. a distinct
-    over the fact), AQE measures that shuffle's exact output and switches
-    to a broadcast join only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
-    without computing the dimension twice.
     """
     d = dim.select(*[F.col(dc).alias(f"__d{i}") for i, (_, dc) in enumerate(on)],
                    *[F.col(t) for t in take])
-    if broadcast == "probe":
-        d, _ = sized_broadcast(d, max_broadcast_rows)
-    elif broadcast != "runtime":
-        raise ValueError(f"unknown broadcast mode {broadcast!r}")
     conds = [(fact[fc].eqNullSafe(d[f"__d{i}"]) if null_safe else fact[fc] == d[f"__d{i}"])
              for i, (fc, _) in enumerate(on)]
     out = fact.join(d, reduce(lambda a, b: a & b, conds), how)

@@ -3,8 +3,7 @@
 Surrogate keys are md5-derived from the natural key (``functions.keys``),
 so a fact row can compute every foreign key from its own columns: the
 fact needs no join at all (``method="derive"``). ``method="join"`` looks
-the keys up in the dimension tables instead (null-safe, full natural key,
-size-checked broadcast) and gives the same rows; keep it as a cross-check
+the keys up in the dimension tables instead (null-safe, full natural key) and gives the same rows; keep it as a cross-check
 or for dimensions whose keys are not derived.
 """
 
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobstar.functions.dates import calendar_parts
-from jobstar.functions.keys import stable_key
+from jobstar.functions.keys import row_key, stable_key
 from jobstar.functions.text import as_col
 from jobstar.operators.joins import lookup
 
@@ -67,14 +66,14 @@ class DimRef:
 
 def build_fact(df: DataFrame, dims: list[DimRef], columns: dict[str, str | Column],
                id_col: str | None = None, id_from: list[str] | None = None,
-               method: str = "derive", broadcast: str = "probe") -> DataFrame:
+               method: str = "derive") -> DataFrame:
     """Fact rows with one key per dimension plus measures.
 
     ``id_col``/``id_from`` add the fact's own key (G7/B23 replacement).
     """
     f = df
     if id_col:
-        f = f.withColumn(id_col, stable_key(f, id_from))
+        f = f.withColumn(id_col, row_key(f, id_from))
     for dim in dims:
         if method == "derive":
             f = f.withColumn(dim.key_col, stable_key(f, list(dim.natural.values())))
@@ -82,7 +81,7 @@ def build_fact(df: DataFrame, dims: list[DimRef], columns: dict[str, str | Colum
             if dim.table is None:
                 raise ValueError(f"method='join' needs the table of {dim.key_col}")
             on = [(fc, dc) for dc, fc in dim.natural.items()]
-            f = lookup(f, dim.table, on, [dim.key_col], broadcast=broadcast)
+            f = lookup(f, dim.table, on, [dim.key_col])
         else:
             raise ValueError(f"unknown method {method!r}")
     out = ([F.col(id_col)] if id_col else []) + [F.col(d.key_col) for d in dims]
@@ -91,7 +90,7 @@ def build_fact(df: DataFrame, dims: list[DimRef], columns: dict[str, str | Colum
 
 
 def build_bridge(df: DataFrame, id_col: str, array_col: str, item_col: str, key_col: str,
-                 dim: DataFrame | None = None, broadcast: str = "probe") -> DataFrame:
+                 dim: DataFrame | None = None) -> DataFrame:
     """G6 (+ D5 when ``dim`` is given): distinct (row id, item key) pairs
     from an array column. Without ``dim`` the item key is derived, which
     equals the key of the item's row in ``build_dimension``."""
@@ -99,5 +98,5 @@ def build_bridge(df: DataFrame, id_col: str, array_col: str, item_col: str, key_
     if dim is None:
         items = items.withColumn(key_col, stable_key(items, [item_col]))
     else:
-        items = lookup(items, dim, [(item_col, item_col)], [key_col], broadcast=broadcast)
+        items = lookup(items, dim, [(item_col, item_col)], [key_col])
     return items.select(id_col, key_col).dropDuplicates()

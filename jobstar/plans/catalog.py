@@ -11,9 +11,11 @@ same scalar.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from jobstar import schemas
 from jobstar.functions import html as H
@@ -21,11 +23,12 @@ from jobstar.functions.arrays import (
     city_district, clean_list, district_from_address, field_of_first, pick, project_field,
 )
 from jobstar.functions.dates import DEADLINE_LABEL, deadline_to_date, parse_iso_date
+from jobstar.functions.keys import row_key, stable_key
 from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
-from jobstar.functions.tagging import SKILL_KEYWORDS, keyword_tags_automaton, with_keyword_tags
+from jobstar.functions.tagging import SKILL_KEYWORDS, with_keyword_tags
 from jobstar.operators.checks import fk_violations, key_report, pk_violations
 from jobstar.operators.conform import (
     required_filter, to_schema, union_sources, with_row_key, with_source,
@@ -43,8 +46,8 @@ from jobstar.operators.star import (
 from jobstar.plans.gold import gold_tables, gold_view
 from jobstar.plans.silver import silver_board_a, silver_board_b, silver_quality_a
 from jobstar.session import materialize, scratch_path
-from jobstar.sources.readers import read_json_records, read_layer
-from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer
+from jobstar.sources.readers import read_json_records, read_layer, read_raw_records
+from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer, write_tables
 from jobstar.streaming.ingest import land_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,18 +72,25 @@ def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def sql_key(*parts: str, arrays: tuple[int, ...] = ()) -> str:
-    """DuckDB text of ``functions.keys.stable_key`` over SQL expressions."""
+def _sql_measured(x: str) -> str:
+    return f"coalesce(length(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), 'N')"
+
+
+def sql_row_key(*parts: str, arrays: tuple[int, ...] = ()) -> str:
+    """DuckDB text of ``functions.keys.row_key`` over SQL expressions."""
     items = []
     for i, p in enumerate(parts):
         if i in arrays:
-            txt = ("('[' || array_to_string(list_transform(" + p +
-                   ", lambda x: coalesce(CAST(x AS VARCHAR), '\\N')), chr(30)) || ']')")
+            inner = f"coalesce(array_to_string(list_transform({p}, lambda x: {_sql_measured('x')}), ''), '')"
+            items.append(f"coalesce(len({p}) || '[' || {inner} || ']', 'N')")
         else:
-            txt = f"CAST({p} AS VARCHAR)"
-        items.append(f"coalesce({txt}, '\\N')")
-    return ("('0x' || substr(md5(concat_ws(chr(31), " + ", ".join(items) +
-            ")), 1, 15))::BIGINT")
+            items.append(_sql_measured(p))
+    return f"md5({' || '.join(items)})"
+
+
+def sql_key(*parts: str, arrays: tuple[int, ...] = ()) -> str:
+    """DuckDB text of ``functions.keys.stable_key``."""
+    return f"('0x' || substr({sql_row_key(*parts, arrays=arrays)}, 1, 15))::BIGINT"
 
 
 def sql_html_text(x: str) -> str:
@@ -129,17 +139,6 @@ def q_keyword_tags(spark, d):
                     F.size("tags").alias("n_tags"))
 
 
-_KEYWORD_TAGS_SQL = ORACLE["keyword_tags"]
-
-
-@register("keyword_tags_automaton", _KEYWORD_TAGS_SQL)
-def q_keyword_tags_automaton(spark, d):
-    """C8 with the one-pass automaton (same rows as ``keyword_tags``)."""
-    t = table(spark, d, "documents").select("doc_id", keyword_tags_automaton("text").alias("tags"))
-    return t.select("doc_id", F.array_join("tags", ",").alias("tags"),
-                    F.size("tags").alias("n_tags"))
-
-
 # ============================================================ dedup
 @register("dedup_latest", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
@@ -198,6 +197,30 @@ def q_dim_multi_array(spark, d):
     return dim.withColumn("tokens", F.array_join("tokens", " "))
 
 
+@register("key_edges", f"""
+SELECT n, {sql_row_key('part')} AS part_key, {sql_row_key('items', arrays=(0,))} AS items_key,
+       {sql_row_key('part', 'items', arrays=(1,))} AS both_key, {sql_key('items', arrays=(0,))} AS items_id
+FROM (SELECT DISTINCT n, CASE n WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'N' WHEN 3 THEN '\\N' ELSE '1:a' END AS part,
+        CASE n WHEN 0 THEN NULL WHEN 1 THEN CAST([] AS VARCHAR[]) WHEN 2 THEN [''] WHEN 3 THEN [NULL]
+               WHEN 4 THEN ['\\N'] WHEN 5 THEN ['a, b'] WHEN 6 THEN ['a', 'b'] WHEN 7 THEN ['a', NULL]
+               ELSE ['', p_brand] END AS items
+      FROM (SELECT p_partkey % 9 AS n, p_brand FROM part))
+""")
+def q_key_edges(spark, d):
+    """Keys of nulls, empty texts and empty arrays all differ."""
+    n = F.col("n")
+    none = F.lit(None).cast("string")
+    part = F.when(n == 1, "").when(n == 2, "N").when(n == 3, "\\N").when(n > 3, "1:a")
+    items = (F.when(n == 1, F.array().cast("array<string>")).when(n == 2, F.array(F.lit("")))
+              .when(n == 3, F.array(none)).when(n == 4, F.array(F.lit("\\N"))).when(n == 5, F.array(F.lit("a, b")))
+              .when(n == 6, F.array(F.lit("a"), F.lit("b"))).when(n == 7, F.array(F.lit("a"), none))
+              .when(n == 8, F.array(F.lit(""), F.col("p_brand"))))
+    x = (table(spark, d, "part").select((F.col("p_partkey") % 9).alias("n"), "p_brand")
+         .select("n", part.alias("part"), items.alias("items")).dropDuplicates())
+    return x.select("n", row_key(x, ["part"]).alias("part_key"), row_key(x, ["items"]).alias("items_key"),
+                    row_key(x, ["part", "items"]).alias("both_key"), stable_key(x, ["items"]).alias("items_id"))
+
+
 @register("dim_status", f"""
 SELECT o_orderstatus, {sql_key('o_orderstatus')} AS status_id
 FROM (SELECT DISTINCT o_orderstatus FROM orders)
@@ -235,7 +258,7 @@ def q_bridge_lookup(spark, d):
     """D5 + G6: item -> key through a join with the token dimension."""
     p = table(spark, d, "part").withColumn("tokens", F.split("p_name", " "))
     dim = build_dimension(explode_items(p, [], "tokens", "token"), {"token": "token"}, "token_id")
-    return build_bridge(p, "p_partkey", "tokens", "token", "token_id", dim=dim, broadcast="runtime")
+    return build_bridge(p, "p_partkey", "tokens", "token", "token_id", dim=dim)
 
 
 @register("top_tokens", """
@@ -251,7 +274,7 @@ def q_top_tokens(spark, d):
 
 # ============================================================ fact
 _FACT_SQL = f"""
-SELECT {sql_key('l.l_orderkey', 'l.l_linenumber')} AS line_id,
+SELECT {sql_row_key('l.l_orderkey', 'l.l_linenumber')} AS line_id,
        {sql_key('p.p_brand', 'p.p_type')} AS brand_type_id,
        {sql_key('o.o_orderstatus')} AS status_id,
        {sql_key('l.l_returnflag', 'l.l_linestatus')} AS flag_id,
@@ -282,8 +305,7 @@ def _fact(spark, d, method):
             dim.table = build_dimension(src, dim.natural, dim.key_col)
     return build_fact(base, dims, {"DateID": "DateID", "quantity": "l_quantity",
                                    "extendedprice": "l_extendedprice"},
-                      id_col="line_id", id_from=["l_orderkey", "l_linenumber"], method=method,
-                      broadcast="runtime")
+                      id_col="line_id", id_from=["l_orderkey", "l_linenumber"], method=method)
 
 
 @register("fact_star", _FACT_SQL)
@@ -356,7 +378,7 @@ def q_union_by_name(spark, d):
     s = table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name"),
         F.col("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nationkey"))
-    return union_sources([with_source(c, "customer"), with_source(s, "supplier")])
+    return union_sources([with_source(c, "customer"), with_source(s, "supplier")], allow_missing=True)
 
 
 # ============================================================ nested fields
@@ -393,15 +415,18 @@ def q_struct_project(spark, d):
 
 @register("envelope_explode", """
 SELECT conv_id, turn, role, CAST(length(text) AS INTEGER) AS n_chars,
-       coalesce(CASE WHEN role = 'user' THEN turn END, 0) AS nb_pages
-FROM conversations
+       CAST(CASE WHEN conv_id % 3 = 0 THEN 0 ELSE max(turn) OVER (PARTITION BY conv_id, turn // 4) END AS BIGINT) AS nb_pages
+FROM conversations WHERE conv_id % 5 <> 0
 """)
 def q_envelope_explode(spark, d):
-    """Envelopes {data: [item], meta: {nbPages}} -> rows + page count."""
+    """Envelopes {data: [item, ...], meta: {nbPages}} -> rows + page
+    count. Each envelope holds up to four turns; some lack ``data``, some ``meta``."""
     c = table(spark, d, "conversations")
-    env = c.select(
-        F.array(F.struct("conv_id", "turn", "role", "text")).alias("data"),
-        F.when(F.col("role") == "user", F.struct(F.col("turn").alias("nbPages"))).alias("meta"))
+    env = (c.groupBy("conv_id", F.expr("turn div 4").alias("page"))
+            .agg(F.collect_list(F.struct("conv_id", "turn", "role", "text")).alias("data"), F.max("turn").alias("nb")))
+    env = env.select(
+        F.when(F.col("conv_id") % 5 != 0, F.col("data")).alias("data"),
+        F.when(F.col("conv_id") % 3 != 0, F.struct(F.col("nb").alias("nbPages"))).alias("meta"))
     rows = envelope_rows(env)
     return rows.select("conv_id", "turn", "role", F.length("text").alias("n_chars"),
                        rows.nb_pages.cast("bigint").alias("nb_pages"))
@@ -449,33 +474,41 @@ def q_salary_range(spark, d):
     return p.select("p_partkey", "salary", lo.alias("min_salary"), hi.alias("max_salary"))
 
 
+# Salary texts and what they mean: (text, min, max), with n = p_size and m = p_size + 5.
+_SALARY_CASES = [
+    ("Thỏa thuận", "NULL", "NULL"), ("thoả thuận", "NULL", "NULL"), ("Negotiable", "NULL", "NULL"),
+    ("{n} - {m} triệu", "n * 1000000", "m * 1000000"), ("Tới {n} triệu", "NULL", "n * 1000000"),
+    ("đến {n} triệu", "NULL", "n * 1000000"), ("Trên {n} triệu", "n * 1000000", "NULL"),
+    ("{n}.5 - {m} triệu", "n * 1000000 + 500000", "m * 1000000"), ("{n},5 triệu", "n * 1000000 + 500000", "NULL"),
+    ("{n},000 - {m},000 USD", "n * 24000000", "m * 24000000"), ("${n}00 - ${m}00", "n * 2400000", "m * 2400000"),
+    ("{n}00 USD - {m}00 USD", "n * 2400000", "m * 2400000"), ("up to ${m}00", "NULL", "m * 2400000"),
+    ("từ {n} đến {m} triệu", "n * 1000000", "m * 1000000"), ("{n}tr đến {m}tr", "n * 1000000", "m * 1000000"),
+    ("{n},000,000 - {m},000,000 VND", "n * 1000000", "m * 1000000"), ("{n}.000.000.000 VND", "n * 1000000000", "NULL"),
+    ("{n},000,000,000,000 VND", "n * 1000000000000", "NULL"), ("15,000,000 - 20,000,000 VND", "15000000", "20000000"),
+    ("1,000,000,000 VND", "1000000000", "NULL"), ("$1000 - $2000", "24000000", "48000000"),
+    ("1000 USD - 2000 USD", "24000000", "48000000"), ("từ 10 đến 15 triệu", "10000000", "15000000"),
+    ("10tr đến 15tr", "10000000", "15000000"), ("{n} – {m}", "n * 1000000", "m * 1000000"),
+    ("cạnh tranh", "NULL", "NULL"),
+]
+
+
+def _salary_case(i: int) -> str:
+    values = [_sq(c[i]) if i == 0 else f"CAST({c[i]} AS BIGINT)" for c in _SALARY_CASES]
+    return "CASE k " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+
+
 @register("salary_range_fixed", f"""
-WITH b AS (SELECT p_partkey, {_SALARY_TEXT_SQL} AS salary FROM part),
-s AS (SELECT p_partkey, salary, lower(salary) AS s FROM b),
-f AS (
-  SELECT p_partkey, salary,
-    (contains(s, 'thỏa thuận') OR contains(s, 'thoả thuận') OR contains(s, 'negotiable')
-     OR contains(s, 'negotiation')) AS neg,
-    (contains(s, 'tới') OR contains(s, 'đến') OR contains(s, 'up to')) AS upto,
-    (contains(s, 'usd') OR contains(s, '$')) AS usd,
-    regexp_replace(regexp_replace(regexp_replace(s, '(\\d)[,.](\\d{{3}})(\\D|$)', '\\1\\2\\3', 'g'),
-                   '(\\d)[,.](\\d{{3}})(\\D|$)', '\\1\\2\\3', 'g'), '(\\d),(\\d)', '\\1.\\2', 'g') AS s2
-  FROM s),
-n AS (
-  SELECT *, regexp_extract_all(s2, '(\\d+(?:\\.\\d+)?)', 1) AS nums,
-         regexp_matches(s2, '\\d\\s*-\\s*\\d') AS ranged,
-         CASE WHEN usd THEN 24000.0 ELSE 1000000.0 END AS mult
-  FROM f)
-SELECT p_partkey, salary,
-  TRY_CAST(round(CASE WHEN neg THEN NULL WHEN upto AND NOT ranged THEN NULL
-                      ELSE TRY_CAST(nums[1] AS DOUBLE) * mult END) AS BIGINT) AS min_salary,
-  TRY_CAST(round(CASE WHEN neg THEN NULL WHEN ranged THEN TRY_CAST(nums[2] AS DOUBLE) * mult
-                      WHEN upto THEN TRY_CAST(nums[1] AS DOUBLE) * mult END) AS BIGINT) AS max_salary
-FROM n
+SELECT p_partkey, replace(replace({_salary_case(0)}, '{{n}}', CAST(n AS VARCHAR)), '{{m}}', CAST(m AS VARCHAR)) AS salary,
+       {_salary_case(1)} AS min_salary, {_salary_case(2)} AS max_salary
+FROM (SELECT p_partkey, p_partkey % {len(_SALARY_CASES)} AS k, CAST(p_size AS BIGINT) AS n,
+             CAST(p_size AS BIGINT) + 5 AS m FROM part)
 """)
 def q_salary_range_fixed(spark, d):
-    """C1 fixed rules: separators, decimals, up-to, USD (C4 rate)."""
-    p = table(spark, d, "part").select("p_partkey", _salary_text().alias("salary"))
+    """C1 fixed rules against a table of expected values."""
+    text = F.get(F.array(*[F.lit(c[0]) for c in _SALARY_CASES]), (F.col("p_partkey") % len(_SALARY_CASES)).cast("int"))
+    text = F.replace(F.replace(text, F.lit("{n}"), F.col("p_size").cast("string")), F.lit("{m}"),
+                     (F.col("p_size") + 5).cast("string"))
+    p = table(spark, d, "part").select("p_partkey", text.alias("salary"))
     lo, hi = salary_range("salary", mode="fixed")
     return p.select("p_partkey", "salary", lo.alias("min_salary"), hi.alias("max_salary"))
 
@@ -711,7 +744,7 @@ def q_address_district(spark, d):
 
 
 @register("landing_key", f"""
-SELECT page_id, url, {sql_key('url')} AS id FROM pages
+SELECT page_id, url, {sql_row_key('url')} AS id FROM pages
 """)
 def q_landing_key(spark, d):
     """Rerun-stable landing id from the page link."""
@@ -720,13 +753,18 @@ def q_landing_key(spark, d):
 
 # ============================================================ filter
 @register("required_filter", """
-SELECT doc_id, lang, source, n_chars FROM documents
-WHERE text IS NOT NULL AND text <> '' AND lang IS NOT NULL AND lang <> ''
-  AND source IS NOT NULL AND source <> ''
+SELECT doc_id, lang, source FROM (
+  SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN '  ' ELSE text END AS text,
+         CASE WHEN doc_id % 11 = 0 THEN NULL ELSE lang END AS lang, source FROM documents)
+WHERE text IS NOT NULL AND text <> '' AND lang IS NOT NULL AND lang <> '' AND source IS NOT NULL AND source <> ''
 """)
 def q_required_filter(spark, d):
-    docs = required_filter(table(spark, d, "documents"), ["text", "lang", "source"])
-    return docs.select("doc_id", "lang", "source", "n_chars")
+    """B28/B29 with empty and null fields planted; a text of blanks stays, as in the source."""
+    i = F.col("doc_id")
+    docs = table(spark, d, "documents").select(
+        "doc_id", F.when(i % 7 == 0, "").when(i % 7 == 1, "  ").otherwise(F.col("text")).alias("text"),
+        F.when(i % 11 != 0, F.col("lang")).alias("lang"), "source")
+    return required_filter(docs, ["text", "lang", "source"]).select("doc_id", "lang", "source")
 
 
 # ============================================================ pages
@@ -890,6 +928,45 @@ def q_roundtrip_json(spark, d):
     return read_json_records(spark, path, o.schema, multiline=False)
 
 
+_RAW_ORDERS = StructType([StructField(n, t) for n, t in (
+    ("o_orderkey", LongType()), ("o_custkey", LongType()), ("o_totalprice", DoubleType()),
+    ("o_orderpriority", StringType()), ("o_shippriority", LongType()))])
+
+
+@register("bronze_array_files", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       o_orderpriority, CASE WHEN o_orderkey % 6 <> 1 THEN CAST(2 * (o_orderkey % 5) + 1 AS BIGINT) END AS o_shippriority,
+       CASE WHEN o_orderkey % 10 = 3 AND o_orderkey % 6 = 1 THEN 'o_totalprice,o_shippriority'
+            WHEN o_orderkey % 10 = 3 THEN 'o_totalprice' WHEN o_orderkey % 6 = 1 THEN 'o_shippriority' ELSE '' END AS bad_fields,
+       o_orderstatus AS raw_status, CAST(1 AS BIGINT) AS n_files_of_month
+FROM orders
+""")
+def q_bronze_array_files(spark, d):
+    """A1/A2/A3: one JSON array file per order month, with values that do not
+    fit their type, landed record by record. Only those values are null, and
+    the raw record keeps fields that no column reads."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    price = F.when(k % 10 == 3, F.lit('"n/a"')).otherwise(F.to_json(F.struct(F.col("o_totalprice").alias("v"))).substr(
+        F.lit(6), F.length(F.to_json(F.struct(F.col("o_totalprice").alias("v")))) - 6))
+    ship = F.when(k % 6 == 1, F.lit("{}")).otherwise(F.concat((k % 5 * 2).cast("string"), F.lit(".75")))
+    record = F.concat(F.lit('{"o_orderkey":'), k.cast("string"), F.lit(',"o_custkey":'), F.col("o_custkey").cast("string"),
+                      F.lit(',"o_totalprice":'), price, F.lit(',"o_orderpriority":"'), F.col("o_orderpriority"),
+                      F.lit('","o_shippriority":'), ship, F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"}'))
+    files = (o.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), record.alias("r")).groupBy("month")
+              .agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value")))
+    root = scratch_path(spark, "raw")
+    files.write.partitionBy("month").text(f"{root}/orders")
+    land_bronze({"orders": read_raw_records(spark, f"{root}/orders", _RAW_ORDERS)}, root)
+    bronze = read_layer(spark, root, "bronze", "orders")
+    per_month = (bronze.select(F.regexp_extract("source_file", "month=([0-9-]+)", 1).alias("m"), "source_file").distinct()
+                 .groupBy("m").agg(F.count(F.lit(1)).alias("n_files_of_month")))
+    rows = bronze.withColumn("m", F.regexp_extract("source_file", "month=([0-9-]+)", 1)).join(per_month, "m")
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_shippriority",
+                       F.array_join("_bad_fields", ",").alias("bad_fields"),
+                       F.get_json_object("raw", "$.status").alias("raw_status"), "n_files_of_month")
+
+
 @register("roundtrip_table", "SELECT * FROM supplier")
 def q_roundtrip_table(spark, d):
     """Create-or-replace a warehouse table, then read it."""
@@ -913,8 +990,8 @@ def q_layered_write(spark, d):
 # text. Silver, the fact and the bridge then run unchanged.
 _BRONZE_A_SQL = f"""
 SELECT CAST(doc_id AS VARCHAR) AS id,
-  CASE lang WHEN 'en' THEN ' Data Engineer ' WHEN 'fr' THEN 'Ingénieur Données'
-            WHEN 'de' THEN 'DATEN Ingenieur' ELSE 'Ingeniero de Datos' END AS title,
+  CASE lang WHEN 'en' THEN ' Data Engineer ' WHEN 'fr' THEN 'Ingénieur Données '
+            WHEN 'de' THEN 'DATEN Ingenieur ' ELSE 'Ingeniero de Datos ' END || ((doc_id // 20) % 25) AS title,
   ' ' || source || ' ' AS company_name,
   CASE WHEN n_chars < 500 THEN 'Thỏa thuận'
        WHEN n_chars < 2000 THEN (n_chars // 100) || ' - ' || (n_chars // 50) || ' triệu'
@@ -929,7 +1006,7 @@ SELECT CAST(doc_id AS VARCHAR) AS id,
   (n_chars // 10) || '-' || (n_chars // 5) || ' nhân viên' AS company_size,
   lang AS major_field, 'Nhân viên' AS level,
   CASE WHEN lang = 'de' THEN 'Nhiều' ELSE length(source) || ' người' END AS num_of_recruit,
-  'Toàn thời gian' AS work_form,
+  CASE WHEN doc_id % 4 <> 3 THEN 'Toàn thời gian' END AS work_form,
   ['Việc làm IT', lang, source] AS relation_fields, ['Hà Nội', source] AS area
 FROM documents"""
 
@@ -942,8 +1019,9 @@ def postings_bronze(spark, d) -> DataFrame:
     def div(k):
         return F.expr(f"n_chars div {k}").cast("string")
 
-    title = (F.when(lang == "en", " Data Engineer ").when(lang == "fr", "Ingénieur Données")
-              .when(lang == "de", "DATEN Ingenieur").otherwise("Ingeniero de Datos"))
+    title = F.concat(F.when(lang == "en", " Data Engineer ").when(lang == "fr", "Ingénieur Données ")
+                      .when(lang == "de", "DATEN Ingenieur ").otherwise("Ingeniero de Datos "),
+                     F.expr("(doc_id div 20) % 25").cast("string"))
     salary = (F.when(n < 500, F.lit("Thỏa thuận"))
                .when(n < 2000, F.concat(div(100), F.lit(" - "), div(50), F.lit(" triệu")))
                .otherwise(F.concat(F.lit("Tới "), div(100), F.lit(" triệu"))))
@@ -964,7 +1042,7 @@ def postings_bronze(spark, d) -> DataFrame:
         F.concat(div(10), F.lit("-"), div(5), F.lit(" nhân viên")).alias("company_size"),
         lang.alias("major_field"), F.lit("Nhân viên").alias("level"),
         recruits.alias("num_of_recruit"),
-        F.lit("Toàn thời gian").alias("work_form"),
+        F.when(F.col("doc_id") % 4 != 3, "Toàn thời gian").alias("work_form"),
         F.array(F.lit("Việc làm IT"), lang, src).alias("relation_fields"),
         F.array(F.lit("Hà Nội"), src).alias("area"))
     return to_schema(bronze, schemas.BRONZE_A, allow_missing=True)
@@ -973,7 +1051,7 @@ def postings_bronze(spark, d) -> DataFrame:
 _SILVER_A_SQL = f"""
 WITH bronze AS ({_BRONZE_A_SQL}),
 s AS (
-  SELECT trim(lower(title)) AS job_position, trim(company_name) AS company_name,
+  SELECT id, trim(lower(title)) AS job_position, trim(company_name) AS company_name,
     CASE WHEN contains(y, 'không yêu cầu') THEN 0.0 WHEN contains(y, 'trên') THEN 5.5
          WHEN regexp_matches(y, '\\d+') THEN CAST(TRY_CAST(regexp_extract(y, '(\\d+)', 1) AS INTEGER) AS DOUBLE)
     END AS yoe,
@@ -1000,11 +1078,9 @@ f AS (SELECT * FROM s WHERE job_position IS NOT NULL AND job_position <> ''
         AND requirements IS NOT NULL AND requirements <> ''
         AND description IS NOT NULL AND description <> ''),
 silver AS (
-  SELECT * EXCLUDE (rn, requirements, description) FROM (
+  SELECT * EXCLUDE (rn, id, requirements, description) FROM (
     SELECT *, row_number() OVER (PARTITION BY job_position, company_name
-      ORDER BY job_posting_date DESC NULLS LAST, yoe, min_salary, max_salary, company_size_min,
-               company_size_max, major_field, level, num_of_recruit, work_form, relation_fields,
-               skills_extracted, city, district, source) AS rn FROM f)
+      ORDER BY job_posting_date DESC NULLS LAST, id) AS rn FROM f)
   WHERE rn = 1)"""
 
 
@@ -1022,7 +1098,7 @@ def q_silver_postings(spark, d):
 
 _VIEW_SQL = _SILVER_A_SQL + f""",
 view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
-                {sql_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
+                {sql_row_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
                 job_posting_date AS DateID FROM silver)"""
 
 
@@ -1151,7 +1227,7 @@ def q_silver_api_postings(spark, d):
 
 @register("gold_union_fact", _SILVER_A_SQL + "," + _SILVER_B_SQL.removeprefix("\nWITH ") + f""",
 view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
-                {sql_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
+                {sql_row_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
                 job_posting_date AS DateID
          FROM (SELECT * FROM silver UNION ALL BY NAME SELECT * FROM silver_b))
 SELECT JobPostingID, {sql_key('company_name', 'major_field')} AS CompanyID,
@@ -1200,58 +1276,108 @@ def q_silver_quality(spark, d):
     return silver_quality_a(postings_bronze(spark, d))
 
 
-@register("gold_key_checks", _VIEW_SQL + f""",
-keyed AS (
-  SELECT *, {sql_key('company_name', 'major_field')} AS CompanyID,
-         {sql_key('job_position', 'level', 'relation_fields', arrays=(2,))} AS JobPositionID,
-         {sql_key('work_form')} AS WorkFormID FROM view),
-dim_company AS (SELECT DISTINCT company_name, major_field, CompanyID FROM keyed),
-dim_position AS (SELECT DISTINCT job_position, level, relation_fields, JobPositionID FROM keyed),
-dim_workform AS (SELECT DISTINCT work_form, WorkFormID FROM keyed),
-dim_skills AS (SELECT DISTINCT SkillName, {sql_key('SkillName')} AS SkillID
-               FROM (SELECT trim(unnest(skills_extracted)) AS SkillName FROM view)),
-bridge AS (SELECT DISTINCT JobPostingID, {sql_key('SkillName')} AS SkillID
-           FROM (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view))
-SELECT 'pk_fact_job' AS "check", (SELECT count(*) FROM (SELECT JobPostingID FROM keyed GROUP BY 1 HAVING count(*) > 1)) AS violations
-UNION ALL SELECT 'pk_dim_company', (SELECT count(*) FROM (SELECT CompanyID FROM dim_company GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'pk_dim_jobposition', (SELECT count(*) FROM (SELECT JobPositionID FROM dim_position GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'pk_dim_skills', (SELECT count(*) FROM (SELECT SkillID FROM dim_skills GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'fk_company', (SELECT count(*) FROM keyed WHERE CompanyID NOT IN (SELECT CompanyID FROM dim_company))
-UNION ALL SELECT 'fk_jobposition', (SELECT count(*) FROM keyed WHERE JobPositionID NOT IN (SELECT JobPositionID FROM dim_position))
-UNION ALL SELECT 'fk_workform', (SELECT count(*) FROM keyed WHERE WorkFormID NOT IN (SELECT WorkFormID FROM dim_workform))
-UNION ALL SELECT 'fk_skill', (SELECT count(*) FROM bridge WHERE SkillID NOT IN (SELECT SkillID FROM dim_skills))
-""")
-def q_gold_key_checks(spark, d):
-    """D8 on the built star schema: PK uniqueness and FK resolution."""
-    view = materialize(gold_view([silver_board_a(postings_bronze(spark, d))]))
-    t = gold_tables(view)
-    return key_report({
-        "pk_fact_job": pk_violations(t["fact_job"], ["JobPostingID"]),
-        "pk_dim_company": pk_violations(t["dim_company"], ["CompanyID"]),
-        "pk_dim_jobposition": pk_violations(t["dim_jobposition"], ["JobPositionID"]),
-        "pk_dim_skills": pk_violations(t["dim_skills"], ["SkillID"]),
-        "fk_company": fk_violations(t["fact_job"], t["dim_company"], [("CompanyID", "CompanyID")]),
-        "fk_jobposition": fk_violations(t["fact_job"], t["dim_jobposition"], [("JobPositionID", "JobPositionID")]),
-        "fk_workform": fk_violations(t["fact_job"], t["dim_workform"], [("WorkFormID", "WorkFormID")]),
-        "fk_skill": fk_violations(t["fact_jobskill"], t["dim_skills"], [("SkillID", "SkillID")]),
-    })
-
-
 _UNION_VIEW_SQL = _SILVER_A_SQL + "," + _SILVER_B_SQL.removeprefix("\nWITH ") + f""",
 view AS (SELECT * REPLACE (coalesce(work_form, '') AS work_form),
-                {sql_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
+                {sql_row_key('company_name', 'job_position', 'job_posting_date')} AS JobPostingID,
                 job_posting_date AS DateID
          FROM (SELECT * FROM silver UNION ALL BY NAME SELECT * FROM silver_b))"""
 
 
 def _union_gold(spark, d) -> dict[str, DataFrame]:
-    # the view is stored once (as ``run_gold`` writes it) so the dimension
-    # size checks and the report read it instead of recomputing silver
-    view = materialize(gold_view([silver_board_a(postings_bronze(spark, d)),
-                                  silver_board_b(api_bronze(spark, d))]))
+    # left lazy, so that each report reads only the columns it needs
+    view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
     return {"view": view, **gold_tables(view)}
 
 
+_GOLD_SQL = _UNION_VIEW_SQL + f""",
+keyed AS (
+  SELECT *, {sql_key('company_name', 'major_field')} AS CompanyID,
+         {sql_key('job_position', 'level', 'relation_fields', arrays=(2,))} AS JobPositionID,
+         {sql_key('work_form')} AS WorkFormID FROM view),
+dim_company AS (SELECT DISTINCT company_name, major_field, CompanyID FROM keyed),
+dim_jobposition AS (SELECT DISTINCT job_position, level, relation_fields, JobPositionID FROM keyed),
+dim_date AS (SELECT DISTINCT DateID FROM view),
+dim_workform AS (SELECT DISTINCT work_form, WorkFormID FROM keyed),
+skill AS (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view),
+dim_skills AS (SELECT DISTINCT SkillName, {sql_key('SkillName')} AS SkillID FROM skill),
+fact_job AS (SELECT JobPostingID, CompanyID, JobPositionID, DateID, WorkFormID, yoe FROM keyed),
+fact_jobskill AS (SELECT DISTINCT JobPostingID, {sql_key('SkillName')} AS SkillID FROM skill)"""
+
+_GOLD_PKS = {"fact_job": "JobPostingID", "dim_company": "CompanyID", "dim_jobposition": "JobPositionID",
+             "dim_date": "DateID", "dim_workform": "WorkFormID", "dim_skills": "SkillID"}
+_GOLD_FKS = [("fact_job", "dim_company", "CompanyID"), ("fact_job", "dim_jobposition", "JobPositionID"),
+             ("fact_job", "dim_date", "DateID"), ("fact_job", "dim_workform", "WorkFormID"),
+             ("fact_jobskill", "fact_job", "JobPostingID"), ("fact_jobskill", "dim_skills", "SkillID")]
+
+
+@register("gold_key_checks", _GOLD_SQL + """,
+p_fact_job AS (SELECT JobPostingID, CompanyID, JobPositionID, DateID, WorkFormID FROM fact_job UNION ALL
+  SELECT JobPostingID, CompanyID + 1, JobPositionID + 1, DateID + 20000, WorkFormID + 1 FROM fact_job WHERE yoe = 5.5),
+p_dim_company AS (SELECT CompanyID FROM dim_company UNION ALL SELECT CompanyID FROM dim_company WHERE major_field = 'en'),
+p_dim_jobposition AS (SELECT JobPositionID FROM dim_jobposition UNION ALL
+  SELECT JobPositionID FROM dim_jobposition WHERE JobPositionID % 3 = 0),
+p_dim_date AS (SELECT DateID FROM dim_date UNION ALL SELECT DateID FROM dim_date WHERE month(DateID) = 1),
+p_dim_workform AS (SELECT WorkFormID FROM dim_workform UNION ALL SELECT WorkFormID FROM dim_workform),
+p_dim_skills AS (SELECT SkillID FROM dim_skills UNION ALL SELECT SkillID FROM dim_skills WHERE SkillName = 'BUILDING'),
+p_fact_jobskill AS (SELECT JobPostingID, SkillID FROM fact_jobskill UNION ALL
+  SELECT md5(JobPostingID), SkillID + 1 FROM fact_jobskill WHERE SkillID % 7 = 0)
+""" + " UNION ALL ".join(
+    [f"SELECT 'pk_{t}' AS \"check\", (SELECT count(*) FROM (SELECT {k} FROM p_{t} GROUP BY 1 HAVING count(*) > 1)) AS violations"
+     for t, k in _GOLD_PKS.items()] +
+    [f"SELECT 'fk_{t}_{k}', (SELECT count(*) FROM p_{t} f WHERE f.{k} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p_{u} d WHERE d.{k} = f.{k}))"
+     for t, u, k in _GOLD_FKS]))
+def q_gold_key_checks(spark, d):
+    """The twelve declared keys on the star schema of both boards, with
+    violations planted in every table. Boards share a JobPostingID when both
+    list the same company, position and date: the union keeps both rows, and the
+    key check reports them."""
+    view = materialize(gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))]))
+    t = gold_tables(view)
+    f, s = t["fact_job"], t["fact_jobskill"]
+    moved = f.where("YOE = 5.5").withColumns({
+        "CompanyID": F.col("CompanyID") + 1, "JobPositionID": F.col("JobPositionID") + 1,
+        "DateID": F.date_add("DateID", 20000), "WorkFormID": F.col("WorkFormID") + 1})
+    strays = s.where("SkillID % 7 = 0").select(F.md5("JobPostingID").alias("JobPostingID"),
+                                               (F.col("SkillID") + 1).alias("SkillID"))
+    twice = {"dim_company": "MajorField = 'en'", "dim_jobposition": "JobPositionID % 3 = 0", "dim_date": "Month = 1",
+             "dim_workform": "true", "dim_skills": "SkillName = 'BUILDING'"}
+    t |= {n: t[n].unionByName(t[n].where(c)) for n, c in twice.items()}
+    t |= {"fact_job": f.unionByName(moved), "fact_jobskill": s.unionByName(strays)}
+    checks = {f"pk_{n}": pk_violations(t[n], [k]) for n, k in _GOLD_PKS.items()}
+    checks |= {f"fk_{a}_{k}": fk_violations(t[a], t[b], [(k, k)]) for a, b, k in _GOLD_FKS}
+    return key_report(checks)
+
+
+@register("gold_roundtrip", _GOLD_SQL + "\n" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+    for t in ("view", "dim_company", "dim_jobposition", "dim_date", "dim_workform", "dim_skills", "fact_job", "fact_jobskill")))
+def q_gold_roundtrip(spark, d):
+    """The eight gold tables of both boards written, published as tables and read back."""
+    root = scratch_path(spark, "gold")
+    view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
+    write_layer(view, root, "gold", "view")
+    view = read_layer(spark, root, "gold", "view")
+    names = list(write_tables(gold_tables(view), root)) + ["view"]
+    stored = {f"jobstar_{n}": read_layer(spark, root, "gold", n) for n in names}
+    load_warehouse(spark, stored, path_root=f"{root}/warehouse")
+    counts = [spark.table(f"jobstar_{n}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+              for n in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@register("gold_breakdowns", _UNION_VIEW_SQL + """
+SELECT kind, name, count(*) AS n_postings FROM (
+  SELECT 'city' AS kind, city AS name FROM view UNION ALL SELECT 'level', level FROM view
+  UNION ALL SELECT 'source', source FROM view)
+GROUP BY 1, 2
+""")
+def q_gold_breakdowns(spark, d):
+    """G10 dashboard: postings by city, level and source in one pass over the view."""
+    view = gold_view([silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))])
+    kinds = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("name")) for c in ("city", "level", "source")])
+    return distribution(view.select(F.inline(kinds)), ["kind", "name"], out="n_postings")
+
+
 @register("gold_top_skills", _UNION_VIEW_SQL + """
 SELECT SkillName, count(DISTINCT JobPostingID) AS n_postings
 FROM (SELECT JobPostingID, trim(unnest(skills_extracted)) AS SkillName FROM view)
@@ -1260,8 +1386,7 @@ GROUP BY SkillName ORDER BY n_postings DESC, SkillName ASC LIMIT 10
 def q_gold_top_skills(spark, d):
     """G8 dashboard: bridge joined to the skill dimension, top 10 skills."""
     g = _union_gold(spark, d)
-    named = lookup(g["fact_jobskill"], g["dim_skills"], [("SkillID", "SkillID")], ["SkillName"],
-                   broadcast="runtime")
+    named = lookup(g["fact_jobskill"], g["dim_skills"], [("SkillID", "SkillID")], ["SkillName"])
     return top_n(named, ["SkillName"], 10, count_distinct="JobPostingID", out="n_postings")
 
 
@@ -1272,8 +1397,7 @@ GROUP BY company_name ORDER BY n_postings DESC, CompanyName ASC LIMIT 10
 def q_gold_top_companies(spark, d):
     """G9 dashboard: most active companies (fact joined to company names)."""
     g = _union_gold(spark, d)
-    named = lookup(g["fact_job"], g["dim_company"], [("CompanyID", "CompanyID")], ["CompanyName"],
-                   broadcast="runtime")
+    named = lookup(g["fact_job"], g["dim_company"], [("CompanyID", "CompanyID")], ["CompanyName"])
     return top_n(named, ["CompanyName"], 10, out="n_postings")
 
 
@@ -1284,9 +1408,8 @@ FROM view GROUP BY 1, 2
 def q_gold_distribution(spark, d):
     """G10 dashboard: postings per work form and year (fact x dimensions)."""
     g = _union_gold(spark, d)
-    f = lookup(g["fact_job"], g["dim_workform"], [("WorkFormID", "WorkFormID")], ["WorkForm"],
-               broadcast="runtime")
-    f = lookup(f, g["dim_date"], [("DateID", "DateID")], ["Year"], broadcast="runtime")
+    f = lookup(g["fact_job"], g["dim_workform"], [("WorkFormID", "WorkFormID")], ["WorkForm"])
+    f = lookup(f, g["dim_date"], [("DateID", "DateID")], ["Year"])
     return distribution(f, ["WorkForm", "Year"], out="n_postings")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstar import schemas
-from jobstar.functions.keys import stable_key
+from jobstar.functions.keys import row_key, stable_key
 from jobstar.operators.conform import to_schema, union_sources
 from jobstar.operators.dedup import latest_per_key
 from jobstar.operators.star import (
@@ -33,7 +33,7 @@ def gold_view(silvers: list[DataFrame], posting_key: str = "md5", date_kind: boo
 
     ``posting_key="murmur3"`` reproduces the source's 32-bit ``hash`` ids
     exactly (nulls are skipped, so ('a', null, d) and (null, 'a', d)
-    collide); the default md5 key keeps nulls apart and has 60 bits.
+    collide); the default md5 key keeps nulls apart and has 128 bits.
     ``date_kind`` adds what ``job_posting_date`` means per source;
     ``latest_across_sources`` keeps one row per (position, company) over
     both boards instead of one per board.
@@ -47,8 +47,7 @@ def gold_view(silvers: list[DataFrame], posting_key: str = "md5", date_kind: boo
             cond = F.col("source") == F.lit(src)
             kind = F.when(cond, F.lit(k)) if kind is None else kind.when(cond, F.lit(k))
         df = df.withColumn("date_kind", kind)
-    key = (F.hash(*POSTING_KEY).cast("bigint") if posting_key == "murmur3"
-           else stable_key(df, POSTING_KEY))
+    key = F.hash(*POSTING_KEY).cast("string") if posting_key == "murmur3" else row_key(df, POSTING_KEY)
     return (df.withColumn("JobPostingID", key)
               .withColumn("DateID", F.to_date("job_posting_date"))
               .withColumn("work_form", F.coalesce(F.col("work_form").cast("string"), F.lit(""))))
@@ -92,10 +91,9 @@ def gold_tables(view: DataFrame, method: str = "derive", fold_skills: bool = Fal
 def _with_folded_skills(tables: dict[str, DataFrame], view: DataFrame) -> dict[str, DataFrame]:
     items = explode_items(view, ["JobPostingID"], "skills_extracted", "SkillName")
     items = items.withColumn("SkillKey", F.lower("SkillName"))
-    dim = (items.groupBy("SkillKey").agg(F.min("SkillName").alias("SkillName"))
-                .withColumn("SkillID", stable_key(None, [F.col("SkillKey")])))
-    bridge = (items.withColumn("SkillID", stable_key(None, [F.col("SkillKey")]))
-                   .select("JobPostingID", "SkillID").dropDuplicates())
+    items = items.withColumn("SkillID", stable_key(items, ["SkillKey"]))
+    dim = items.groupBy("SkillID").agg(F.min("SkillName").alias("SkillName"))
+    bridge = items.select("JobPostingID", "SkillID").dropDuplicates()
     return {**tables,
             "dim_skills": to_schema(dim, schemas.GOLD["dim_skills"]),
             "fact_jobskill": to_schema(bridge, schemas.GOLD["fact_jobskill"])}

@@ -7,16 +7,20 @@ spanning stages). Each stage function returns the paths it wrote.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from jobstar import schemas
 from jobstar.plans.gold import gold_tables, gold_view
 from jobstar.plans.silver import SOURCE_A, SOURCE_B, silver_board_a, silver_board_b
-from jobstar.sources.readers import CORRUPT_COL, read_json_records, read_layer
+from jobstar.sources.readers import read_layer, read_layer_if_there, read_raw_records
 from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer, write_tables
 from jobstar.operators.conform import with_ingest_time
 
+log = logging.getLogger(__name__)
+
 GOLD_NAMES = ["dim_company", "dim_jobposition", "dim_date", "dim_workform", "dim_skills",
               "fact_job", "fact_jobskill", "view"]
 
@@ -27,9 +31,9 @@ def _read_raw(spark: SparkSession, path: str | None, schema):
     if not path:
         return None
     try:
-        return with_ingest_time(read_json_records(spark, path, schema, corrupt_col=CORRUPT_COL))
+        return with_ingest_time(read_raw_records(spark, path, schema))
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
@@ -42,18 +46,26 @@ def run_bronze(spark: SparkSession, raw_a: str | None, raw_b: str | None, root:
 
 
 def run_silver(spark: SparkSession, root: str, mode: str = "reference") -> dict[str, str]:
-    """Bronze -> silver for both boards."""
-    a = silver_board_a(read_layer(spark, root, "bronze", SOURCE_A), mode=mode)
-    b = silver_board_b(read_layer(spark, root, "bronze", SOURCE_B), mode=mode)
-    return {SOURCE_A: write_layer(a, root, "silver", SOURCE_A),
-            SOURCE_B: write_layer(b, root, "silver", SOURCE_B)}
+    """Bronze -> silver for the boards that were landed."""
+    out = {}
+    for source, build in ((SOURCE_A, silver_board_a), (SOURCE_B, silver_board_b)):
+        bronze = read_layer_if_there(spark, root, "bronze", source)
+        if bronze is None:
+            log.warning("no bronze of %r; skipped", source)
+            continue
+        out[source] = write_layer(build(bronze, mode=mode), root, "silver", source)
+    return out
 
 
 def run_gold(spark: SparkSession, root: str, method: str = "derive") -> dict[str, str]:
-    """Silver -> gold. The unioned ``view`` is written first and the
-    other seven tables are built from the written copy, so silver is
-    scanned once instead of once per output table."""
-    silvers = [read_layer(spark, root, "silver", s) for s in (SOURCE_A, SOURCE_B)]
+    """Silver -> gold, from the boards that have a silver dataset. The
+    unioned ``view`` is written first and the other seven tables are built
+    from the written copy, so silver is scanned once instead of once per
+    output table."""
+    silvers = [s for s in (read_layer_if_there(spark, root, "silver", x) for x in (SOURCE_A, SOURCE_B)) if s is not None]
+    if not silvers:
+        log.warning("no silver dataset under %r; gold skipped", root)
+        return {}
     out = {"view": write_layer(gold_view(silvers), root, "gold", "view")}
     view = read_layer(spark, root, "gold", "view")
     out.update(write_tables(gold_tables(view, method=method), root, "gold"))
@@ -67,7 +79,7 @@ def publish(spark: SparkSession, root: str, database: str | None = None,
     return load_warehouse(spark, tables, database=database, path_root=path_root)
 
 
-def run_all(spark: SparkSession, raw_a: str, raw_b: str, root: str, mode: str = "reference",
+def run_all(spark: SparkSession, raw_a: str | None, raw_b: str | None, root: str, mode: str = "reference",
             database: str | None = None) -> dict[str, object]:
     return {"bronze": run_bronze(spark, raw_a, raw_b, root),
             "silver": run_silver(spark, root, mode),

@@ -19,9 +19,9 @@ from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
-from jobstar.functions.tagging import keyword_tags_automaton, with_keyword_tags
+from jobstar.functions.tagging import with_keyword_tags
 from jobstar.functions.text import nfc, trim_lower
-from jobstar.operators.conform import rename, required_filter, to_schema
+from jobstar.operators.conform import required_filter, to_schema
 from jobstar.operators.dedup import latest_per_key
 from jobstar.sources.readers import CORRUPT_COL
 
@@ -46,26 +46,34 @@ def _valid_records(bronze: DataFrame) -> DataFrame:
 
 def silver_board_a(bronze: DataFrame, mode: str = "reference",
                    required: list[str] | None = REQUIRED_A, dedup: bool = True,
-                   tagger: str = "expr", normalize: bool = False) -> DataFrame:
+                   normalize: bool = False) -> DataFrame:
     """Scraped board. ``mode`` selects the parsers' reference or fixed rules;
-    ``tagger="automaton"`` tags long requirement texts in one pass per text
-    (same result, see ``functions.tagging``); ``normalize=True`` brings the
-    parsed text fields to NFC first."""
+    ``normalize=True`` brings the parsed text fields to NFC first.
+
+    Only the keys and the date are computed before the filter and the
+    keep-latest step; salaries are parsed and texts tagged on the rows that stay.
+    Ties on the date go to the smallest raw ``id``, then to a hash of the raw row.
+    """
     bronze = _valid_records(bronze)
     if normalize:
         bronze = bronze.withColumns({c: nfc(c) for c in TEXT_FIELDS_A})
-    if tagger == "automaton":
-        bronze = bronze.withColumn("__skills", keyword_tags_automaton("requirements"))
-    else:
-        bronze = with_keyword_tags(bronze, "requirements", "__skills")
+    raw = bronze.columns
+    df = bronze.withColumns({"job_position": trim_lower("title"), "__company": F.trim("company_name"),
+                             "job_posting_date": deadline_to_date("deadline_submit")})
+    if required:
+        df = required_filter(df, ["__company" if c == "company_name" else c for c in required])
+    if dedup:
+        df = latest_per_key(df, ["job_position", "__company"], ["job_posting_date"],
+                            tie_break=[F.col("id").asc_nulls_last(), F.xxhash64(*raw)])
+    df = with_keyword_tags(df, "requirements", "__skills")
     lo, hi = salary_range("salary", mode)
     size_lo, size_hi = size_range("company_size", mode)
     city, district = city_district("area")
-    df = rename(bronze, {"title": "job_position", "work_address": "job_location"}).select(
-        trim_lower("job_position").alias("job_position"),
-        F.trim("company_name").alias("company_name"),
+    df = df.select(
+        "job_position",
+        F.col("__company").alias("company_name"),
         experience_years("yoe").alias("yoe"),
-        deadline_to_date("deadline_submit").alias("job_posting_date"),
+        "job_posting_date",
         lo.alias("min_salary"), hi.alias("max_salary"),
         size_lo.alias("company_size_min"), size_hi.alias("company_size_max"),
         "major_field", "level",
@@ -75,12 +83,8 @@ def silver_board_a(bronze: DataFrame, mode: str = "reference",
         F.col("__skills").alias("skills_extracted"),
         city.alias("city"), district.alias("district"),
         F.lit(SOURCE_A).alias("source"),
-        "requirements", "description",
     )
-    if required:
-        df = required_filter(df, required)
-    df = to_schema(df, schemas.SILVER)
-    return latest_per_key(df, DEDUP_KEYS, ["job_posting_date"]) if dedup else df
+    return to_schema(df, schemas.SILVER)
 
 
 def silver_board_b(bronze: DataFrame, mode: str = "reference", dedup: bool = True,

@@ -67,12 +67,12 @@ GOLD = {
                         ("Quarter", IntegerType()), ("Year", IntegerType())),
     "dim_workform": _struct(("WorkForm", S), ("WorkFormID", LongType())),
     "dim_skills": _struct(("SkillName", S), ("SkillID", LongType())),
-    "fact_job": _struct(("JobPostingID", LongType()), ("CompanyID", LongType()),
+    "fact_job": _struct(("JobPostingID", S), ("CompanyID", LongType()),
                         ("JobPositionID", LongType()), ("DateID", DateType()),
                         ("WorkFormID", LongType()), ("MinSalary", LongType()),
                         ("MaxSalary", LongType()), ("YOE", DoubleType()),
                         ("NumOfRecruit", LongType())),
-    "fact_jobskill": _struct(("JobPostingID", LongType()), ("SkillID", LongType())),
+    "fact_jobskill": _struct(("JobPostingID", S), ("SkillID", LongType())),
 }
 
 INGEST_TIME = StructField("ingest_time", TimestampType(), True)

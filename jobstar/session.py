@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -36,18 +37,17 @@ def get_spark(app: str = "jobstar", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder
-    created and registered, so later ``checkpoint()`` calls work too.
+    Only a local session without one (tests) gets a private folder; on a
+    cluster a missing setting is an error, since each executor would write to a disk of its own.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no SparkContext handle
-        sc = None
-    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="jobstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -68,9 +68,26 @@ def materialize(df, name: str = "materialized"):
     return spark.read.parquet(path)
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, removed when the Python process ends."""
+    if not _scratch:
+        atexit.register(clear_scratch)
+    _scratch.append(f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def clear_scratch() -> None:
+    """Remove all scratch paths of this process; results that still read them are lost."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool | None = None) -> dict[str, str]:

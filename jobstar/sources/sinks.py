@@ -80,8 +80,8 @@ def load_jdbc(spark: SparkSession, tables: dict[str, DataFrame], url: str,
               mode: str = "overwrite", arrays_as_json: bool = True) -> list[str]:
     """A9 into a JDBC warehouse, written by the executors.
 
-    ``coalesce(max_connections)`` bounds concurrent connections without a
-    shuffle; ``batchsize`` rows go per round trip. Array and struct columns
+    ``repartition(max_connections)`` bounds concurrent connections and leaves the
+    plan above its own parallelism; ``batchsize`` rows go per round trip. Array and struct columns
     become JSON text when the warehouse has no such types.
     """
     from pyspark.sql import functions as F
@@ -94,7 +94,7 @@ def load_jdbc(spark: SparkSession, tables: dict[str, DataFrame], url: str,
             df = df.select(*[F.to_json(F.col(f.name)).alias(f.name)
                              if isinstance(f.dataType, (ArrayType, MapType, StructType)) else F.col(f.name)
                              for f in df.schema.fields])
-        (df.coalesce(max_connections).write.format("jdbc").mode(mode)
+        (df.repartition(max_connections).write.format("jdbc").mode(mode)
            .option("url", url).option("dbtable", name).options(**opts).save())
         names.append(name)
     return names

@@ -185,14 +185,6 @@ def test_to_schema_strict_and_try_cast(spark):
         to_schema(df, StructType([StructField("m", IntegerType())]))
 
 
-def test_silver_automaton_tagger_same(spark, tmp_root):
-    ra, _ = _fixtures(tmp_root)
-    b = read_json_records(spark, ra, schemas.BRONZE_A)
-    x = sorted(silver_board_a(b).collect(), key=repr)
-    y = sorted(silver_board_a(b, tagger="automaton").collect(), key=repr)
-    assert x == y
-
-
 def test_load_jdbc_embedded(spark, tmp_root):
     """A9 over JDBC into an in-process Derby database (no server, no port)."""
     from jobstar.sources.sinks import load_jdbc
