@@ -1,0 +1,95 @@
+"""A small element tree for stored pages (X1-X5), where elements nest and regular expressions cannot follow.
+
+Built by the standard library's HTML parser in one pass per page, inside
+Arrow-batched tasks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+HIDDEN = {"script", "style", "template", "noscript"}
+
+
+class Element:
+    """An element with its attributes, its children (elements and texts) and its parent."""
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None = None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.children: list[Element | str] = []
+
+    @property
+    def elements(self) -> list[Element]:
+        return [c for c in self.children if isinstance(c, Element)]
+
+    @property
+    def own_text(self) -> str:
+        return "".join(c for c in self.children if isinstance(c, str))
+
+    def classed(self, name: str) -> bool:
+        """Whether the class attribute is exactly ``name``."""
+        return self.attrs.get("class", "").strip() == name
+
+    def walk(self) -> Iterator[Element]:
+        """Elements below this one in document order, at any depth."""
+        stack = self.elements[::-1]
+        while stack:
+            e = stack.pop()
+            yield e
+            stack += e.elements[::-1]
+
+    def find(self, tag: str, cls: str | None = None) -> list[Element]:
+        return [e for e in self.walk() if e.tag == tag and (cls is None or e.classed(cls))]
+
+    def following(self, tag: str) -> list[Element]:
+        """Later siblings of a tag."""
+        around = self.parent.elements if self.parent else []
+        return [e for e in around[around.index(self) + 1:] if e.tag == tag] if around else []
+
+    def text(self) -> str:
+        """Visible text, white space squeezed."""
+        parts, stack = [], [self]
+        while stack:
+            e = stack.pop()
+            if isinstance(e, str):
+                parts.append(e)
+            elif e.tag not in HIDDEN:
+                parts.append(" ")
+                stack.append(" ")
+                stack += e.children[::-1]
+        return " ".join("".join(parts).split())
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = Element("", {})
+
+    def handle_starttag(self, tag, attrs):
+        e = Element(tag, {k: v or "" for k, v in attrs}, self.at)
+        self.at.children.append(e)
+        if tag not in VOID:
+            self.at = e
+
+    def handle_startendtag(self, tag, attrs):
+        self.at.children.append(Element(tag, {k: v or "" for k, v in attrs}, self.at))
+
+    def handle_endtag(self, tag):
+        e = self.at
+        while e.parent is not None and e.tag != tag:
+            e = e.parent
+        if e.parent is not None:  # an end without a begin is skipped
+            self.at = e.parent
+
+    def handle_data(self, data):
+        self.at.children.append(data)
+
+
+def parse(html: str | None) -> Element:
+    """The tree of a page; a null page is an empty tree."""
+    builder = _Builder()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root

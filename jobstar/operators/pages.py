@@ -16,6 +16,7 @@ from jobstar.functions import html as H
 from jobstar.functions.text import as_col
 
 # ---- fixed values: class names and headings of the scraped board --------
+SECTIONS_CLASS = "job-detail__info--sections"
 DETAIL_VALUE_CLASS = "job-detail__info--section-content-value"  # salary, city, yoe
 DEADLINE_CLASS = "job-detail__info--deadline"
 DESCRIPTION_HEADING = "Mô tả công việc"
@@ -23,46 +24,16 @@ REQUIREMENTS_HEADING = "Yêu cầu ứng viên"
 ADDRESS_HEADING = "Địa điểm làm việc"
 SIZE_LABEL = "Quy mô"
 FIELD_CLASS = "company-field"
+VALUE_CLASS = "company-value"
+GENERAL_CLASS = "box-general-content"
 GENERAL_VALUE_CLASS = "box-general-group-info-value"  # level, _, recruits, form, gender
 TAGS_CLASS = "job-tags"
+CATEGORY_CLASS = "box-category"
 CATEGORY_TAGS_CLASS = "box-category-tags"
+HEADER_CLASS = "box-header"
 # -------------------------------------------------------------------------
 
 
-def _after_heading(html: Column, heading: str) -> Column:
-    inner = F.regexp_extract(
-        html, rf"(?is)<h3[^>]*>\s*{heading}\s*</h3>\s*<div[^>]*>(.*?)</div>", 1)
-    return F.nullif(H.html_text(inner), F.lit(""))
-
-
-def _class_texts(html: Column, tag: str, cls: str) -> Column:
-    inner = F.regexp_extract_all(
-        html, F.lit(rf'(?is)<{tag}\b[^>]*class="[^"]*\b{cls}\b[^"]*"[^>]*>(.*?)</{tag}>'), F.lit(1))
-    return F.transform(inner, H.html_text)
-
-
-def job_detail_fields(html) -> dict[str, Column]:
-    """X1 on the scraped board's detail page: the 9 typed text fields.
-    Missing element -> null (the source's ``safe_get_text``)."""
-    h = H.strip_noise(html)
-    values = _class_texts(h, "div", DETAIL_VALUE_CLASS)
-    size = F.regexp_extract(
-        h, rf'(?is){SIZE_LABEL}.*?</div>\s*<div[^>]*class="[^"]*company-value[^"]*"[^>]*>(.*?)</div>', 1)
-    field_ = F.regexp_extract(
-        h, rf'(?is)class="[^"]*{FIELD_CLASS}[^"]*".*?<div class="company-value">(.*?)</div>', 1)
-    return {
-        "salary": F.get(values, 0),
-        "city": F.get(values, 1),
-        "yoe": F.get(values, 2),
-        "deadline_submit": F.get(_class_texts(h, "div", DEADLINE_CLASS), 0),
-        "description": _after_heading(h, DESCRIPTION_HEADING),
-        "requirements": _after_heading(h, REQUIREMENTS_HEADING),
-        "work_address": _after_heading(h, ADDRESS_HEADING),
-        "company_size": F.nullif(H.html_text(size), F.lit("")),
-        "major_field": F.nullif(H.html_text(field_), F.lit("")),
-    }
-
-
 def extract_fields(df: DataFrame, html_col: str, fields: dict[str, Column],
                    keep: list[str] | None = None) -> DataFrame:
     """One typed row per page from ``{name: expression}``."""

@@ -29,6 +29,7 @@ from jobstar.functions.parse import (
     size_range_struct,
 )
 from jobstar.functions.tagging import SKILL_KEYWORDS, with_keyword_tags
+from jobstar.operators.board import board_bronze, board_cards, board_detail
 from jobstar.operators.checks import fk_violations, key_report, pk_violations
 from jobstar.operators.conform import (
     required_filter, to_schema, union_sources, with_row_key, with_source,
@@ -871,13 +872,115 @@ def q_page_list_split(spark, d):
 
 
 @register("count_text", """
-SELECT page_id, url, TRY_CAST(regexp_extract(replace(url, '.', ''), '\\d+', 0) AS INTEGER) AS n
-FROM pages
+SELECT page_id, CAST(n AS INTEGER) AS n FROM (SELECT page_id, CAST(length(html) AS BIGINT) * 1000 + page_id % 1000 AS n FROM pages)
 """)
 def q_count_text(spark, d):
-    """X6."""
-    p = table(spark, d, "pages")
-    return p.select("page_id", "url", H.count_from_text("url").alias("n"))
+    """The count in a listing page's heading, digits grouped by dots."""
+    count = F.replace(F.format_number(F.length("html").cast("long") * 1000 + F.col("page_id") % 1000, 0), F.lit(","), F.lit("."))
+    head = F.concat(F.lit('<h1 class="job-found">Tìm thấy '), count, F.lit(" việc làm</h1>"))
+    p = table(spark, d, "pages").select("page_id", F.concat(head, "html").alias("html"))
+    found = H.element_text(H.strip_noise(F.col("html")), "h1")
+    return p.select("page_id", H.count_from_text(found).alias("n"))
+
+
+# Listing and detail pages of the scraped board, rendered from ``part``: nested
+# elements, entities, single quotes, sections and lists that are missing, cards that
+# lack a field, and links without a detail page.
+def _joined(*parts) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+def _board_pages(spark, d) -> DataFrame:
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    value = '<div class="job-detail__info--section-content-value">'
+
+    def section(there: Column, *text) -> Column:
+        inner = F.when(there, _joined(value, *text, "</div>")).otherwise("")
+        return _joined("<div class='s'><div class='icon'></div><div class='c'><div>x</div>", inner, "</div></div>")
+
+    def box(there: Column, *text) -> Column:
+        return F.when(there, _joined(*text)).otherwise("")
+
+    general = '<div class="box-general-group-info-value">'
+    always = F.lit(True)
+    detail = _joined(
+        '<html><head><script>var a = "<div class=job-tags>";</script></head><body>',
+        '<div class="job-detail__info--sections">', section(k % 5 != 0, size, " &#8211; triệu &amp; hơn"),
+        section(always, "\n  ", F.col("p_brand"), "  "), section(k % 7 != 0, size, " năm"), "</div>",
+        '<div class="job-detail__info--deadline">Hạn nộp hồ sơ: 01/02/2025</div>',
+        "<section><h3>Mô tả công việc</h3><p>skip</p><div><div>", F.col("p_name"), "</div><div>a &lt; b &eacute;<br/>c</div></div><div>not</div></section>",
+        box(k % 3 != 0, "<section><h3>Yêu cầu ứng viên</h3><div><ul><li>", F.col("p_type"), "<li>", size, "</ul></div></section>"),
+        "<section><h3>Địa điểm làm việc</h3><div>", F.col("p_brand"), "</div></section>",
+        "<div><div>Quy mô</div><div class='x company-value'>", size, "-", size, "0 nhân viên</div></div>",
+        '<div class="w company-field"><div>Lĩnh vực</div><div class="company-value">', F.col("p_type"), "</div></div>",
+        '<div class="job-tags-x"><span>no</span></div>', box(k % 4 != 0, '<div class="job-tags"><span><b>', F.col("p_type"), "</b></span> <span>IT</span></div>"),
+        '<div class="box-general-content">', general, "Nhân viên</div>", general, "y</div>", general, size, " người</div>",
+        box(k % 6 != 0, general, "Toàn thời gian</div>", general, "Nam</div>"), "</div>",
+        '<div class="box-category-tags"><a>', F.col("p_brand"), "</a><a>Data</a></div>",
+        box(k % 4 != 1, '<div class="box-category"><div class="box-category-tags"><span><a>Hà Nội</a></span><span><a>', F.col("p_brand"), "</a></span></div></div>"),
+        "</body></html>")
+    card = _joined(
+        '<div class="box-header"><div><h3 class="t"><a data-href="no" href=\'https://x/', k.cast("string"), "?a=1&amp;b=2'><span>", F.col("p_name"),
+        "</span></a></h3>", box(k % 9 != 0, '<a class="company">Cty &quot;', F.col("p_brand"), "&quot;</a>"),
+        '<label class="deadline">', size, ' ngày</label><div class="label-content"><label class="address">Hà Nội</label>',
+        '<label class="time">Còn ', size, " ngày</label></div></div></div>")
+    return table(spark, d, "part").select("p_partkey", "p_size", detail.alias("detail"), card.alias("card"),
+                                          _joined("https://x/", k.cast("string"), "?a=1&b=2").alias("href"))
+
+
+_BOARD_SQL = """
+SELECT p_partkey, 'https://x/' || p_partkey || '?a=1&b=2' AS href,
+  CASE WHEN p_partkey % 5 <> 0 THEN p_size || ' – triệu & hơn' END AS salary, p_brand AS city,
+  CASE WHEN p_partkey % 7 <> 0 THEN p_size || ' năm' END AS yoe, 'Hạn nộp hồ sơ: 01/02/2025' AS deadline_submit,
+  p_name || ' a < b é c' AS description, CASE WHEN p_partkey % 3 <> 0 THEN p_type || ' ' || p_size END AS requirements,
+  p_brand AS work_address, p_size || '-' || p_size || '0 nhân viên' AS company_size, p_type AS major_field,
+  'Nhân viên' AS level, p_size || ' người' AS num_of_recruit,
+  CASE WHEN p_partkey % 6 <> 0 THEN 'Toàn thời gian' END AS work_form, CASE WHEN p_partkey % 6 <> 0 THEN 'Nam' END AS gender_require,
+  CASE WHEN p_partkey % 4 <> 0 THEN p_type || ',IT' ELSE '' END AS main_industry,
+  p_brand || ',Data' || CASE WHEN p_partkey % 4 <> 1 THEN ',Hà Nội,' || p_brand ELSE '' END AS skills,
+  CASE WHEN p_partkey % 4 <> 1 THEN 'Hà Nội,' || p_brand ELSE '' END AS area, p_brand || ',Data' AS relation_fields
+FROM part"""
+_CARDS_SQL = """
+SELECT (p_partkey // 8) AS page, CAST(row_number() OVER (PARTITION BY p_partkey // 8 ORDER BY p_partkey) - 1 AS INTEGER) AS card_idx,
+  'https://x/' || p_partkey || '?a=1&b=2' AS href, p_name AS title, 'Cty "' || p_brand || '"' AS company_name,
+  p_size || ' ngày' AS update_time, 'Hà Nội' AS city, 'Còn ' || p_size || ' ngày' AS remain_time
+FROM part WHERE p_partkey % 9 <> 0"""
+_BOARD_LISTS = ("main_industry", "skills", "area", "relation_fields")
+
+
+def _flat_lists(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.array_join(c, ",") for c in _BOARD_LISTS})
+
+
+def _listing_cards(pages: DataFrame) -> DataFrame:
+    listing = (pages.groupBy(F.expr("p_partkey div 8").alias("page"))
+               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda x: x["card"]), "\n").alias("html")))
+    return board_cards(listing, ["page"])
+
+
+@register("board_detail", _BOARD_SQL)
+def q_board_detail(spark, d):
+    """X1-X4 on detail pages with nested elements and missing parts."""
+    return _flat_lists(board_detail(_board_pages(spark, d), ["p_partkey", "href"], "detail"))
+
+
+@register("board_cards", _CARDS_SQL)
+def q_board_cards(spark, d):
+    """Listing pages of eight cards; a card without a company is skipped."""
+    return _listing_cards(_board_pages(spark, d))
+
+
+@register("board_bronze", f"""
+SELECT {sql_row_key('d.href')} AS id, c.title, c.company_name, d.salary, d.city, d.yoe, d.deadline_submit, d.main_industry,
+  d.description, d.requirements, d.work_address, d.company_size, d.major_field, d.level, d.num_of_recruit, d.work_form,
+  d.gender_require, d.relation_fields, d.skills, d.area, c.update_time, c.remain_time
+FROM ({_CARDS_SQL}) c JOIN ({_BOARD_SQL} WHERE p_partkey % 10 <> 4) d ON c.href = d.href
+""")
+def q_board_bronze(spark, d):
+    """Listing cards merged with their detail pages into bronze A records; one detail page in ten is missing."""
+    pages = _board_pages(spark, d)
+    detail = board_detail(pages.where("p_partkey % 10 <> 4"), ["href"], "detail")
+    return _flat_lists(board_bronze(_listing_cards(pages), detail))
 
 
 @register("page_defaults", f"""

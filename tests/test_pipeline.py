@@ -1,8 +1,10 @@
 """Stage tests: bronze fixtures -> silver -> gold, schemas and invariants."""
 
 import datetime as dt
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobstar import schemas
@@ -286,6 +288,46 @@ def test_bronze_skips_missing_source(spark, tmp_root):
     assert list(out) == ["topcv"]
 
 
+@pytest.mark.parametrize("missing", ["a", "b", "a-empty"])
+def test_one_board_alone(spark, tmp_root, missing):
+    ra, rb = _fixtures(tmp_root)
+    if missing == "a-empty":
+        write_json_array(os.path.join(ra, "a1.json"), [])
+    raw = (None if missing == "a" else ra, None if missing == "b" else rb)
+    out = pipeline.run_all(spark, *raw, os.path.join(tmp_root, "lake-one"))
+    assert list(out["silver"]) == (["topcv"] if missing == "b" else ["vietnamworks"])
+    assert set(out["gold"]) == set(pipeline.GOLD_NAMES)
+
+
+def test_badly_typed_values_lose_nothing_else(spark, tmp_root):
+    from jobstar.sources.readers import raw_quality
+    records = [posting_b(jobTitle=f"J{i}", jobId=i, benefits=["x"]) for i in range(4)]
+    records[1]["salaryMin"] = 1500.5
+    records[2]["yearsOfExperience"] = "3"
+    records[3]["salaryMax"] = "a lot"
+    path = write_json_array(os.path.join(tmp_root, "raw", "b.json"), records)
+    root = os.path.join(tmp_root, "lake-typed")
+    pipeline.run_bronze(spark, None, os.path.dirname(path), root)
+    bronze = read_layer(spark, root, "bronze", "vietnamworks")
+    rows = {r.jobTitle: r for r in bronze.collect()}
+    assert (rows["J1"].salaryMin, rows["J2"].yearsOfExperience, rows["J3"].salaryMax) == (1501, 3, None)
+    assert rows["J3"]._bad_fields == ["salaryMax"] and rows["J0"]._bad_fields == []
+    assert json.loads(rows["J2"].raw)["jobId"] == 2 and json.loads(rows["J2"].raw)["benefits"] == ["x"]
+    assert [(r.check, r.failures) for r in raw_quality(bronze).collect()] == [("salaryMax", 1)]
+    pipeline.run_silver(spark, root)
+    assert read_layer(spark, root, "silver", "vietnamworks").count() == 4
+
+
+def test_raw_records_from_lines(spark, tmp_root):
+    from jobstar.sources.readers import read_raw_records
+    os.makedirs(os.path.join(tmp_root, "lines"))
+    with open(os.path.join(tmp_root, "lines", "x.json"), "w") as f:
+        f.write(json.dumps(posting_b(jobTitle="J")) + "\n\n{broken\n" + json.dumps({"jobTitle": 5}) + "\n")
+    rows = read_raw_records(spark, os.path.join(tmp_root, "lines"), schemas.BRONZE_B, lines=True).collect()
+    assert [r.jobTitle for r in rows] == ["J", None, "5"]
+    assert [r._corrupt_record is None for r in rows] == [True, False, True]
+
+
 def test_malformed_raw_kept_in_bronze_excluded_from_silver(spark, tmp_root):
     ra, rb = _fixtures(tmp_root)
     with open(os.path.join(ra, "broken.json"), "w") as f:

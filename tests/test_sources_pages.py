@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from jobstar import schemas
 from jobstar.functions import html as H
-from jobstar.operators.pages import (
-    cards, envelope_rows, extract_fields, job_detail_fields, links_indexed, split_head,
-)
+from jobstar.operators.board import board_cards, board_detail
+from jobstar.operators.pages import cards, envelope_rows, links_indexed, split_head
 from jobstar.sources.readers import read_envelopes, read_json_records
 from jobstar.streaming.ingest import land_stream
 from tests.helpers import posting_a, posting_b, write_json_array
@@ -27,9 +26,15 @@ DETAIL = """<html><head><script>var t="</div>";</script></head><body>
 </body></html>"""
 
 
-def test_job_detail_fields(spark):
-    df = spark.createDataFrame([(1, DETAIL), (2, "<html></html>")], "id int, html string")
-    rows = {r.id: r for r in extract_fields(df, "html", job_detail_fields(F.col("html"))).collect()}
+def test_board_detail(spark):
+    shifted = DETAIL.replace('<div class="job-detail__info--section-content-value">10 - 20 triệu</div>', "")
+    nested = DETAIL.replace("<p>Python</p>", "<div><div>Python</div></div></i>")
+    df = spark.createDataFrame([(1, DETAIL), (2, "<html></html>"), (3, shifted), (4, nested), (5, None), (6, "<div <p")],
+                               "id int, html string")
+    rows = {r.id: r for r in board_detail(df, ["id"]).collect()}
+    assert (rows[3].salary, rows[3].city, rows[3].yoe) == (None, "Hà Nội", "3 năm")
+    assert rows[4].requirements == "Python SQL"
+    assert all(rows[i].skills == [] and rows[i].salary is None for i in (2, 5, 6))
     r = rows[1]
     assert (r.salary, r.city, r.yoe) == ("10 - 20 triệu", "Hà Nội", "3 năm")
     assert r.deadline_submit == "Hạn nộp hồ sơ: 30/08/2025"
@@ -39,6 +44,15 @@ def test_job_detail_fields(spark):
     assert all(empty[c] is None for c in ["salary", "city", "yoe", "description", "company_size"])
 
 
+def test_board_cards_skip_incomplete(spark):
+    card = ('<div class="box-header"><h3><a href="/{0}"><span>T{0}</span></a></h3><a class="company">C</a>'
+            '<label class="deadline">d</label><div class="label-content"><label class="address">HN</label>{1}</div></div>')
+    html = card.format(1, '<label class="time">t</label>') + card.format(2, "") + card.format(3, '<label class="time">u</label>')
+    df = spark.createDataFrame([(7, html), (8, None)], "id int, html string")
+    assert [tuple(r) for r in board_cards(df, ["id"]).collect()] == [
+        (7, 0, "/1", "T1", "C", "d", "HN", "t"), (7, 1, "/3", "T3", "C", "d", "HN", "u")]
+
+
 def test_cards_links_and_split(spark):
     html = ('<ul><li><a href="/a">A</a></li><li><a href="">B</a></li><li><span>x</span></li>'
             '<li><a href="/c">C &amp; D</a></li></ul><a>no target</a>')
