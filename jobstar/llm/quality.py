@@ -93,12 +93,13 @@ def ngram_table(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                   F.col("_b").isNotNull(), bucket(F.xxhash64("_a", "_b"))))).alias("_bucket"))
               .where("_bucket IS NOT NULL")
               .groupBy("_bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_t").alias("target")))
-    raw, target = [smoothing] * buckets, [smoothing] * buckets
+    raw, target = [smoothing] * buckets, [0.0] * buckets
     for r in counts.collect():  # one row per bucket at most
         raw[r["_bucket"]] += r["raw"]
         target[r["_bucket"]] += r["target"]
-    a, b = math.log(sum(raw)), math.log(sum(target))
-    return [round(math.log(t) - b - math.log(r) + a, 9) for t, r in zip(target, raw)]
+    # the target's counts are drawn towards the corpus by as much as one count for each bucket
+    n, total, prior = sum(raw), sum(target), smoothing * buckets
+    return [round(math.log((t + prior * r / n) / (total + prior) * n / r), 9) for t, r in zip(target, raw)]
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
