@@ -118,12 +118,13 @@ def _contexts(rows: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
                     row = [e["_g"], e["_c"], ident, left, None, None, None, None]
                     if e["_hot"]:
                         of = lambda a, b: int(s.rolling.of(np.array([a]), np.array([b])).view(np.int64)[0])
-                        # offsets whose windows lie within the row, and the ranges cut to them
+                        # offsets whose windows lie within the row
                         ok = lambda d: d <= left and kind.window - d <= right
                         row[5], row[6] = [], []
                         for lo, hi in spans:
                             d = [x for x in range(lo, hi + 1) if ok(x)]
-                            row[5].append(of(at - d[0], at + kind.window - d[-1]) ^ lo if d else None)
+                            # what all windows of the whole range share lies within the row if any of them does
+                            row[5].append(of(at - lo, at + kind.window - hi) ^ lo if d else None)
                             row[6].append(of(at - d[-1], at + kind.window - d[0]) ^ len(d) ^ (d[0] << 32) if d else None)
                         row[7] = [of(at - d, at - d + kind.window) ^ d if ok(d) else None for d in range(kind.left + 1)]
                     else:
