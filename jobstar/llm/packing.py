@@ -11,6 +11,7 @@ pieces of each length and gives each its place.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobstar.llm.text import batches_of_texts, split_words
+from jobstar.llm.text import batches_of_texts
 from jobstar.session import materialize
 
 CAPACITY, END_ID = 4096, 1
-CACHE_WORDS = 400_000  # words a Python worker keeps the ids of
+CACHE_WORDS = 600_000  # words a generation of a Python worker's cache holds
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 _ADDED = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "_part", "_rank", "_before")
@@ -34,15 +35,23 @@ class WordTokenizer:
 
     The tokenizer drops white space and never joins what it separates, so a
     text's ids are those of its words in order. Each worker keeps the ids of
-    the words it has met, up to a number of words, as packed integers.
+    the words it meets, in two generations of bounded size. Of a new word of
+    plain letters, with or without a full stop or the like after it, the letters are one
+    pre-token; many of these are encoded in one call and told apart by the
+    tokens that end a word.
     """
 
     _loaded: dict[str, WordTokenizer] = {}
+    _plain = re.compile(rb"([a-z]+)([.,!?;:]*)").fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.old: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -50,15 +59,52 @@ class WordTokenizer:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [split_words(t) for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        known = self.cache
-        new = [w for w in set().union(*split) if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, words: list[bytes]) -> None:
+        """Learn words that are not known."""
+        known, old = self.known, self.old
+        plain, other, shape = [], [], []
+        for w in words:
+            found = old.get(w)
+            if found is not None:
+                known[w] = found
+                continue
+            match = self._plain(w)
+            if match is None:
+                other.append(w)
+            elif match[2]:
+                shape.append((w, match[1], match[2]))
+                plain.append(match[1])
+                other.append(match[2])
+            else:
+                plain.append(w)
+        plain = [w for w in set(plain) if w not in known]
+        for at in range(0, len(plain), 2000):
+            part = plain[at:at + 2000]
+            (ids,) = self._encoded([b" ".join(part).decode()])
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if ends.size != len(part):
+                raise ValueError(f"{len(part)} words gave {ends.size} word ends")
+            raw = ids.tobytes()
+            known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
+        other = [w for w in set(other) if w not in known]
+        known.update(zip(other, [ids.tobytes() for ids in self._encoded([w.decode("utf-8", "replace") for w in other])]))
+        for w, core, tail in shape:
+            known[w] = known[core] + known[tail]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text.
+
+        ``bytes.split`` splits at ASCII white space. A text of ASCII alone is
+        lower-cased first, as the tokenizer does after looking for special tokens.
+        """
+        split = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.old = {b"": b""}, self.known
+        known = self.known
+        self._add([w for w in set().union(*split) if w not in known])
         return [b"".join([known[w] for w in words]) for words in split]
 
 
@@ -72,7 +118,7 @@ def tokenised_pieces(docs: DataFrame, path: str, text_col: str, capacity: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         coder = WordTokenizer.of(path)
-        for other, texts in batches_of_texts(batches, text_col):
+        for other, texts in batches_of_texts(batches, text_col, raw=True):
             rows, out = [], ([], [], [], [])
             for i, ids in enumerate(coder.ids(texts)):
                 ids = memoryview(ids + end)
@@ -227,7 +273,7 @@ def pack_documents(docs: DataFrame, path: str, text_col: str = "text", capacity:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     # by range, so that a very common length spans tasks and (task, length) has few combinations
-    spread = pieces.repartitionByRange(F.col("length"), F.col("ids_crc32"))
+    spread = pieces.repartitionByRange(F.col("length"), F.xxhash64(*pieces.columns))
     numbered = materialize(spread.mapInArrow(number, f"{fields}, _part int, _rank bigint"), "packing-ranks")
     per_task = numbered.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = per_task.withColumn("_before", F.sum("_n").over(

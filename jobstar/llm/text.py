@@ -12,15 +12,6 @@ CHUNK_BYTES = 1 << 20  # text that is worked on at a time; a longer text is work
 _SPACE = " \t\n\x0b\x0c\r"  # separators of words, fixed by the word pattern [^\x20\x09-\x0D]+
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[ord(c) for c in _SPACE]] = True
-_TO_SPACE = str.maketrans(_SPACE, " " * len(_SPACE))
-
-
-def split_words(text: str) -> list[str]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a text. ``str.split`` also splits at other characters, so it
-    serves only where the text is free of them."""
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return text.split()
-    return [w for w in text.translate(_TO_SPACE).split(" ") if w]
 
 
 def batches_of_texts(batches: Iterator[pa.RecordBatch], column: str, raw: bool = False,
