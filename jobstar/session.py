@@ -79,15 +79,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _scratch[-1]
 
 
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        _scratch.remove(p)
+
+
+def discard(df) -> None:
+    """Remove the stored copy behind a ``materialize``d frame that nothing reads any more."""
+    names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+    _remove(df.sparkSession, [p for p in _scratch if p.rsplit("/", 1)[-1] in names])
+
+
 def clear_scratch() -> None:
     """Remove all scratch paths of this process; results that still read them are lost."""
     spark = SparkSession.getActiveSession()
-    if spark is None or spark.sparkContext._jsc is None:
-        return
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(conf).delete(path, True)
+    if spark is not None and spark.sparkContext._jsc is not None:
+        _remove(spark, list(_scratch))
 
 
 def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool | None = None) -> dict[str, str]:
