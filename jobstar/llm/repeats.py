@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstar.llm.text import Rolling, anchors, batches_of_texts, joined, mix, word_spans
-from jobstar.session import materialize
+from jobstar.session import discard, materialize
 
 NO_ID = -(1 << 63)
 _ADDED = ("_id", "_k", "_g", "_c", "_at", "_list", "_text")
@@ -214,10 +214,14 @@ def _split(contexts: DataFrame, kind: Kind) -> DataFrame:
 def repeated_spans(rows: DataFrame, kind: Kind, solve: Solver) -> DataFrame:
     """(_id, _k, _list): for each row of ``keyed`` with repeated windows, the spans of symbols these cover."""
     found = materialize(_anchor_rows(rows, kind), "repeats-anchors")
+    first = F.min("_id") if kind.earlier else F.max(F.lit(NO_ID))  # who has a gram first matters to one kind only
     grams = found.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_c").alias("_a"), F.max("_c").alias("_b"),
-                                    F.min("_id").alias("_first")).where("_n > 1")
+                                    first.alias("_first")).where("_n > 1")
+    # stored, so that the join's sides come straight from shuffles, whose hot keys can be split
+    grams = materialize(grams, "repeats-grams")
     twice = materialize(found.join(grams.select("_g", "_first", (F.col("_a") != F.col("_b")).alias("_mixed")), "_g"),
                         "repeats-candidates")
+    discard(found)
     # one context each of those grams that have several
     mixed = twice.where("_mixed")
     least = mixed.groupBy("_g", "_c").agg(F.count(F.lit(1)).alias("_m"), F.min(F.struct("_id", "_k", "_at")).alias("_rep"))
