@@ -22,7 +22,7 @@ from jobstar.llm.text import Rolling, batches_of_texts, joined, lower_ascii, ran
 
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 16
 WIDTH, STRIDE, HIDDEN, ATTENTION = 64, 32, 8, 8
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1200, 2400, 20_000  # labelled rows, and their length, that are trained on
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1200, 2400, 8_000  # labelled rows, and their length, that are trained on
 THRESHOLD = 0.3
 INPUTS = 4
 RESULT = ("held_out", "score", "predicted")
@@ -58,7 +58,7 @@ class Words:
         gram[:-1] += padded[1:] << np.uint32(8)
         gram[:-2] += padded[2:]
         self.size = end - begin
-        self.gram = ((gram * np.uint32(2654435769)) >> np.uint32(16)).astype(np.int64)[ranges(begin, self.size)]
+        self.gram = ((gram * np.uint32(2654435769)) >> np.uint32(16)).astype(np.int32)[ranges(begin, self.size)]
         self.gram_first = np.cumsum(self.size) - self.size
 
     def inputs(self, word_weight: np.ndarray, char_weight: np.ndarray) -> np.ndarray:
