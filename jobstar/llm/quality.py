@@ -124,6 +124,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     rows = rows.withColumn("score", F.round(
         F.when(F.col("n_words") > 0, F.col("_total") / (2 * F.col("n_words") - 1)).otherwise(0.0), 9))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return (rows.withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-            .select(*columns, *RESULT))
+    rows = rows.withColumn("base_failed", failed)
+    # out of a generator: a filter on a plain ``kept`` would be pushed down with all that it is computed
+    # from, which is then evaluated once more for every level of lambdas
+    kept = F.explode(F.array(~F.col("base_failed") & (F.col("score") >= threshold)))
+    return rows.select(*columns, *RESULT[:-1], kept.alias("kept"))
