@@ -19,8 +19,18 @@ from pyspark.sql import functions as F
 from jobstar.session import materialize, scratch_path
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+#: state in RocksDB; changes go to the checkpoint as a log, an executor closes each store after its
+#: commit, and all stores of an executor share bounded buffers
+_STATE_CONF = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.unloadOnCommit": "true",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
+    f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
+    f"{_STORE}.rocksdb.maxWriteBufferNumber": "2",
+}
 _ADDED = ("_norm", "_digest", "_id", "_best", "_n", "_keep", "_size", "_order", "_key")
 
 
@@ -33,13 +43,15 @@ def ascii_lower(text: Column) -> Column:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, conf: dict[str, str]):
+    old = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _locator(docs: DataFrame) -> Column:
@@ -67,7 +79,7 @@ def digest_state(facts: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
               .option("maxFilesPerTrigger", files_per_batch).parquet(source))
     state = stream.groupBy("_digest").agg(
         F.max(F.struct("_id", "_locator")).alias("_best"), F.count(F.lit(1)).alias("_n"))
-    with _setting(spark, _PROVIDER, _ROCKSDB):
+    with _settings(spark, _STATE_CONF):
         (state.writeStream.outputMode("update").trigger(availableNow=True)
          .option("checkpointLocation", scratch_path(spark, "dedup-stream"))
          .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
