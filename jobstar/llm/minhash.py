@@ -7,10 +7,10 @@ bucket every member is linked to one centre only (a star), and every such
 candidate is confirmed on the full shingle sets.
 
 A star alone could miss a link between two members that are both unlike the
-centre. So, while a bucket has members in different components, further
-centres are taken (twice as many each round) and compared with the members of other
-components, until every two members of a bucket are in one component or
-have been compared.
+centre. So, while a bucket has members in different components, further rounds
+take a few more centres of it, those with most links first, and compare them
+with the members of other components, until a round finds no link. Comparisons
+grow with the members of buckets, not with the square of a bucket.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from jobstar.llm.text import Rolling, batches_of_texts, joined, lower_ascii, mix
 from jobstar.session import materialize
 
 BANDS, ROWS = 40, 6
+CENTRES = 3  # of a bucket in each further round
 _ADDED = ("n_shingles", "component_id", "kept")
 
 
@@ -151,32 +152,24 @@ def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     links = materialize(_confirmed(done, sets, percent), "minhash-links")
     comps = components(ids, links)
 
-    taken = 1
+    members = members.drop("_comp")
     while True:
-        now = members.drop("_comp").join(comps, "_id")
+        now = members.join(comps, "_id")
         mixed = (now.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"),
                                          F.max("_size").alias("_m")).where("_lo <> _hi AND _m > 2").select("_key"))
         now = materialize(now.join(mixed, "_key", "left_semi"), "minhash-mixed")
-        if now.isEmpty():
-            return comps
-        taken *= 2
         degree = links.select(F.explode(F.array("x", "y")).alias("_id")).groupBy("_id").agg(
             F.count(F.lit(1)).alias("_degree"))
-        # further centres: members with most links, then smallest; WindowGroupLimit cuts before the shuffle
+        # members with most links, then smallest; a partial group limit cuts before the shuffle
         best = Window.partitionBy("_key").orderBy(F.coalesce("_degree", F.lit(0)).desc(), "_id")
         centres = (now.join(degree, "_id", "left").withColumn("_place", F.row_number().over(best))
-                   .where(F.col("_place") <= taken))
-        fresh = _pairs(now, centres, percent).join(done, ["x", "y"], "left_anti")
-        fresh = materialize(fresh, "minhash-pairs")
+                   .where(F.col("_place") <= CENTRES))
+        fresh = materialize(_pairs(now, centres, percent).join(done, ["x", "y"], "left_anti"), "minhash-pairs")
         more = materialize(_confirmed(fresh, sets, percent), "minhash-links")
-        done, links = done.unionByName(fresh), links.unionByName(more)
-        if not more.isEmpty():
-            comps = components(ids, links)
-        members = now.drop("_comp")
-        # buckets all of whose members have been centres are compared in full
-        members = members.where(F.col("_size") > taken)
-        if members.isEmpty():
+        if more.isEmpty():
             return comps
+        done, links, members = done.unionByName(fresh), links.unionByName(more), now.drop("_comp")
+        comps = components(ids, links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
