@@ -104,8 +104,8 @@ class WordTokenizer:
         if len(self.known) > CACHE_WORDS:
             self.known, self.old = {b"": b""}, self.known
         known = self.known
-        self._add([w for w in set().union(*split) if w not in known])
-        return [b"".join([known[w] for w in words]) for words in split]
+        self._add(list(set().union(*split).difference(known)))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def tokenised_pieces(docs: DataFrame, path: str, text_col: str, capacity: int = CAPACITY,
