@@ -60,7 +60,9 @@ def read_raw_records(spark: SparkSession, path: str, schema: StructType, lines:
     if lines:
         text = text.where(F.trim("value") != "").withColumn("__r", F.try_parse_json("value"))
     else:
-        text = text.withColumn("__r", F.explode_outer(F.from_json("value", "array<variant>")))
+        # an empty array has no record; a file that is no JSON has one null row, to be counted
+        text = text.withColumn("__all", F.from_json("value", "array<variant>"))
+        text = text.where("__all IS NULL OR size(__all) > 0").withColumn("__r", F.explode_outer("__all"))
     cols, bad = [], []
     for f in schema.fields:
         if isinstance(f.dataType, (IntegerType, LongType)):

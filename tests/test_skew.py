@@ -57,7 +57,7 @@ def test_dimension_and_top_n_hot(hot):
 
 def test_lookup_hot_key_shuffle_join(spark, hot, skew_conf):
     dim = build_dimension(hot, {"key": "key"}, "kid")
-    out = lookup(hot, dim, [("key", "key")], ["kid"], max_broadcast_rows=0)
+    out = lookup(hot, dim.hint("merge"), [("key", "key")], ["kid"])
     assert "BroadcastHashJoin" not in plan_text(out)
     assert out.count() == N and out.filter(F.col("kid").isNull()).count() == 0
     per_key = {r.key: r.n for r in out.groupBy("key").agg(F.count("*").alias("n")).collect()}
