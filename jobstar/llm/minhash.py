@@ -9,8 +9,10 @@ candidate is confirmed on the full shingle sets.
 A star alone could miss a link between two members that are both unlike the
 centre. So, while a bucket has members in different components, further rounds
 take a few more centres of it, those with most links first, and compare them
-with the members of other components, until a round finds no link. Comparisons
-grow with the members of buckets, not with the square of a bucket.
+with the members of other components, until a round finds no link. What is
+then still mixed is settled exactly: its members that were no centre are
+joined by the rarest of their shingles (prefix, size and position filter),
+which leaves out no pair that is similar enough.
 """
 
 from __future__ import annotations
@@ -135,6 +137,30 @@ def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     return rows.select(F.least("_id", "_c").alias("x"), F.greatest("_id", "_c").alias("y")).distinct()
 
 
+def _alike(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct (x, y), x < y, of ``docs`` (_id, _n, _comp) of unlike components; every link between them is among these.
+
+    Shingles of a document are ordered by rarity. Of two sets that overlap enough the first common shingle stands
+    so early in both that those from there on suffice for the overlap, so only these places are joined. A shingle
+    of one document alone takes a place and is not joined.
+    """
+    grams = docs.join(sets, "_id").select("_id", "_n", "_comp", F.explode("_set").alias("_g"))
+    common = grams.groupBy("_g").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
+    ordered = grams.join(common, "_g").groupBy("_id", "_n", "_comp").agg(
+        F.sort_array(F.collect_list(F.struct("_f", "_g"))).alias("_s"))
+    # _rest: shingles of the document from this place on
+    placed = (ordered.select("_id", "_n", "_comp", F.size("_s").alias("_k"), F.posexplode("_s").alias("_at", "_s"))
+              .select("_id", "_n", "_comp", (F.col("_k") - F.col("_at")).cast("long").alias("_rest"), F.col("_s._g").alias("_g")))
+    large = materialize(placed.where(100 * F.col("_rest") >= percent * F.col("_n")), "minhash-prefixes")
+    small = (large.where((100 + percent) * F.col("_rest") >= 2 * percent * F.col("_n"))
+             .select("_g", F.col("_id").alias("_c"), F.col("_n").alias("_m"), F.col("_comp").alias("_other"),
+                     F.col("_rest").alias("_left")))
+    rows = (large.join(small, "_g").where("_comp <> _other AND (_m < _n OR _m = _n AND _c < _id)")
+            .where(100 * F.col("_m") >= percent * F.col("_n"))
+            .where((100 + percent) * F.least("_rest", "_left") >= percent * (F.col("_n") + F.col("_m"))))
+    return rows.select(F.least("_id", "_c").alias("x"), F.greatest("_id", "_c").alias("y")).distinct()
+
+
 def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """Components (_id, _comp) of the documents in ``nodes`` (_id, _n, _keys) that share a bucket with another."""
     keyed = nodes.select("_id", "_n", F.explode("_keys").alias("_key"))
@@ -152,25 +178,46 @@ def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     links = materialize(_confirmed(done, sets, percent), "minhash-links")
     comps = components(ids, links)
 
-    members = members.drop("_comp")
+    first = centres.select("_key", F.col("_id").alias("_first"))
+    members = members.drop("_comp").join(first, "_key").withColumn("_used", F.col("_id") == F.col("_first")).drop("_first")
     while True:
         now = members.join(comps, "_id")
+        # with one member at most that was no centre, all pairs of a bucket have been compared
         mixed = (now.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"),
-                                         F.max("_size").alias("_m")).where("_lo <> _hi AND _m > 2").select("_key"))
+                                         F.count_if(~F.col("_used")).alias("_unused"))
+                 .where("_lo <> _hi AND _unused > 1").select("_key"))
         now = materialize(now.join(mixed, "_key", "left_semi"), "minhash-mixed")
+        if now.isEmpty():
+            return comps
         degree = links.select(F.explode(F.array("x", "y")).alias("_id")).groupBy("_id").agg(
             F.count(F.lit(1)).alias("_degree"))
         # members with most links, then smallest; a partial group limit cuts before the shuffle
         best = Window.partitionBy("_key").orderBy(F.coalesce("_degree", F.lit(0)).desc(), "_id")
-        centres = (now.join(degree, "_id", "left").withColumn("_place", F.row_number().over(best))
-                   .where(F.col("_place") <= CENTRES))
+        centres = materialize(now.where("NOT _used").join(degree, "_id", "left")
+                              .withColumn("_place", F.row_number().over(best))
+                              .where(F.col("_place") <= CENTRES), "minhash-centres")
         fresh = materialize(_pairs(now, centres, percent).join(done, ["x", "y"], "left_anti"), "minhash-pairs")
         more = materialize(_confirmed(fresh, sets, percent), "minhash-links")
+        done = done.unionByName(fresh)
+        taken = centres.select("_key", "_id", F.lit(True).alias("_taken"))
+        now = (now.join(taken, ["_key", "_id"], "left")
+               .withColumn("_used", F.col("_used") | F.col("_taken").isNotNull()).drop("_taken"))
         if more.isEmpty():
-            return comps
-        done, links, members = done.unionByName(fresh), links.unionByName(more), now.drop("_comp")
+            break
+        links, members = links.unionByName(more), now.drop("_comp")
         comps = components(ids, links)
 
+    # the rest exactly: members that were no centre, of buckets where these are of several components
+    unused = now.where("NOT _used")
+    mixed = (unused.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"))
+             .where("_lo <> _hi").select("_key"))
+    rest = materialize(unused.join(mixed, "_key", "left_semi").select("_id", "_n", "_comp").distinct(), "minhash-rest")
+    if rest.isEmpty():
+        return comps
+    fresh = materialize(_alike(rest, sets, percent).join(done, ["x", "y"], "left_anti"), "minhash-pairs")
+    more = materialize(_confirmed(fresh, sets, percent), "minhash-links")
+    return comps if more.isEmpty() else components(ids, links.unionByName(more))
+
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from jobstar.llm.exact import exact_dedup
 from jobstar.llm.fm_index import FMIndex, fm_dedup
 from jobstar.llm.graph import components
-from jobstar.llm.minhash import near_duplicates
+from jobstar.llm.minhash import _alike, near_duplicates
 from jobstar.llm.suffix_array import COVER, PERIOD, BlockwiseSuffixes, cleaned, difference_cover, suffix_dedup
 from tests.llm import brute
 
@@ -101,6 +101,41 @@ def test_near_link_that_no_first_centre_sees(spark):
     assert got == expected
 
 
+def test_near_links_far_from_all_centres(spark):
+    """Pairs around one passage: alike in themselves, unlike all others of their bucket, far more than centres."""
+    r = random.Random(12)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(24):
+        own = [f"o{i}x{j}" for j in range(30)]
+        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + ["other"]))]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for k, percent in ((3, 85), (2, 90)):
+        expected = brute.near(rows, k, percent)
+        assert len({c for _, c, _ in expected.values()}) == 24
+        got = near_duplicates(docs, k=k, percent=percent, bands=2, rows=1)
+        assert {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in got.collect()} == expected
+
+
+def test_near_rest_leaves_out_no_link(spark):
+    """The exact step alone, over random sets of unlike sizes with common and rare items, against all pairs."""
+    r = random.Random(13)
+    sets = []
+    for i in range(160):
+        s = set(sets[r.randrange(i)]) if i and r.random() < 0.6 else set(range(r.randrange(40)))
+        s = {x for x in s if r.random() < 0.93} | {r.randrange(30, 400) for _ in range(r.randrange(1, 8))}
+        sets.append(s)
+    frame = spark.createDataFrame(list(enumerate(map(list, sets))), "_id bigint, _set array<bigint>")
+    docs = spark.createDataFrame([(i, len(s), i % 90) for i, s in enumerate(sets)], "_id bigint, _n bigint, _comp bigint")
+    for percent in (60, 80, 100):
+        alike = {(x, y) for y in range(160) for x in range(y) if x % 90 != y % 90
+                 and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])}
+        got = {(p.x, p.y) for p in _alike(docs, frame, percent).collect()}
+        assert alike <= got and all(x % 90 != y % 90 and x < y for x, y in got)
+        assert percent == 100 or alike
+
+
 def test_near_edges(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (3, "a b c d"), (3, "e f g h"), (4, "E f g h"), (5, None), (6, " ")],
                                  SCHEMA)
