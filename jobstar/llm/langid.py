@@ -1,15 +1,16 @@
 """Language identification in two steps (operator 9).
 
 Hashed byte n-grams of the lower-cased text feed linear support vector
-machines, one against the rest: a first set tells the language family, then a
-set of its own tells the closely related languages within that family. The
-machines are fitted on a bounded sample of labelled rows on the driver;
+machines: a first set, one against the rest, tells the language family, then
+one machine for each pair of its languages tells the closely related languages
+within that family by votes. The machines are fitted on a bounded sample of labelled rows on the driver;
 every whole text is scored in the tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, steps: int = 150, c: float = 20.0) ->
 
 
 class LanguageModel:
-    """Machines for families, and for the languages within each family of several."""
+    """Machines for families, and for every pair of languages within a family."""
 
     def __init__(self, texts: list[str], langs: list[str]):
         x = features(texts)
@@ -100,41 +101,54 @@ class LanguageModel:
         self.langs = sorted(set(langs))
         lang, family = np.array(langs), np.array([family_of(v) for v in langs])
         columns = [fit_svm(x, np.where(family == f, 1.0, -1.0).astype(np.float32)) for f in self.families]
-        for v in self.langs:
-            own = family == family_of(v)
-            columns.append(fit_svm(x[own], np.where(lang[own] == v, 1.0, -1.0).astype(np.float32)))
+        self.inside = [[v for v in self.langs if family_of(v) == f] for f in self.families]
+        self.pairs = [p for inside in self.inside for p in combinations(inside, 2)]
+        for a, b in self.pairs:
+            own = (lang == a) | (lang == b)
+            columns.append(fit_svm(x[own], np.where(lang[own] == a, 1.0, -1.0).astype(np.float32)))
         self.weights = np.stack([w for w, _ in columns], axis=1) / scale[:, None] / np.sqrt(BUCKETS) * 8
         self.bias = np.array([b for _, b in columns])
 
-    def margins(self, texts: list[str]) -> np.ndarray:
-        """Margin of every machine for every text: the mean weight of its grams, and the bias."""
-        grams, starts = _grams(texts)
-        size = np.diff(np.append(starts, grams.shape[1])) * len(grams)
-        out = np.empty((len(texts), self.bias.size))
-        for j in range(self.bias.size):
+    def _margins(self, grams: np.ndarray, size: np.ndarray, columns: Iterable[int]) -> np.ndarray:
+        """Margins of some machines for texts of so many places each: the mean weight of their grams, and the bias."""
+        starts = np.cumsum(size) - size
+        out = []
+        for j in columns:
             w = self.weights[:, j].astype(np.float32)
             at = w[grams[0]]
             for g in grams[1:]:
                 at += w[g]
-            out[:, j] = np.add.reduceat(at, starts, dtype=np.float64) / size + self.bias[j]
-        return out
+            out.append(np.add.reduceat(at, starts, dtype=np.float64) / (size * len(grams)) + self.bias[j])
+        return np.stack(out, axis=1)
+
+    def _elected(self, inside: list[str], margins: dict[tuple[str, str], float]) -> tuple[str, float]:
+        """The language of most votes over all pairs, then of the largest sum of margins, and its least margin."""
+        own = {v: [m if v == a else -m for (a, b), m in margins.items() if v in (a, b)] for v in inside}
+        best = max(inside, key=lambda v: (sum(m > 0 for m in own[v]), sum(own[v])))
+        return best, min(own[best], default=20.0)
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        """(language, score) of each text: the family of the largest margin, then the language in it."""
+        """(language, score) of each text: the family of the largest margin, then the language elected in it."""
         if not texts:
             return []
-        m = self.margins(texts)
+        grams, starts = _grams(texts)
+        size = np.diff(np.append(starts, grams.shape[1]))
         n = len(self.families)
-        out = []
-        for text, row in zip(texts, m):
-            if not any(c.isalpha() for c in text):
-                out.append((UNKNOWN, 0.0))
+        m = self._margins(grams, size, range(n))
+        family = np.argmax(m, axis=1)
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        for f, inside in enumerate(self.inside):
+            rows = np.flatnonzero(family == f)
+            pairs = [p for p in self.pairs if p[0] in inside]
+            if not rows.size:
                 continue
-            family = int(np.argmax(row[:n]))
-            inside = [j for j, v in enumerate(self.langs) if family_of(v) == self.families[family]]
-            best = max(inside, key=lambda j: row[n + j])
-            margin = min([*([row[family]] if n > 1 else []), *([row[n + best]] if len(inside) > 1 else []), 20.0])
-            out.append((self.langs[best], float(1 / (1 + np.exp(-2 * max(margin, -20.0))))))
+            part = grams if rows.size == len(texts) else grams[:, np.repeat(family == f, size)]
+            duels = self._margins(part, size[rows], [n + self.pairs.index(p) for p in pairs]) if pairs else np.zeros((rows.size, 0))
+            for i, row in zip(rows.tolist(), duels.tolist()):
+                if any(c.isalpha() for c in texts[i]):
+                    best, margin = self._elected(inside, dict(zip(pairs, row)))
+                    margin = min([*([m[i, f]] if n > 1 else []), margin, 20.0])
+                    out[i] = (best, float(1 / (1 + np.exp(-2 * max(margin, -20.0)))))
         return out
 
 

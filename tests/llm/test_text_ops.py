@@ -15,7 +15,7 @@ import zstandard
 from tokenizers import Tokenizer
 
 from jobstar.llm import bpe, warc
-from jobstar.llm.langid import identify_languages
+from jobstar.llm.langid import LanguageModel, features, fit_svm, identify_languages
 from jobstar.llm.packing import pack_documents, plan_packing
 from jobstar.llm.quality import quality_rules
 from jobstar.llm.toxicity import Network, score_toxicity
@@ -299,6 +299,35 @@ def test_languages_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
 
 
+def test_languages_of_a_family_by_pairs():
+    """Four languages of one family, each a mixture; predictions equal votes over all pairs, ties by summed margins."""
+    r = random.Random(4)
+    langs = ["da", "de", "en", "nl"]
+
+    def text(share):
+        return "   ".join("abcd"[r.choices(range(4), share)[0]] * 3 for _ in range(40))
+
+    shares = {"da": (6, 1, 1, 2), "de": (3, 3, 2, 2), "en": (2, 3, 3, 2), "nl": (1, 1, 5, 3)}
+    rows = [(text(shares[v]), v) for v in langs for _ in range(60)] + [("кот дом " * 9, "ru")] * 5
+    model = LanguageModel([t for t, _ in rows], [v for _, v in rows])
+    probes = [text([r.random() for _ in range(4)]) for _ in range(300)]
+    x, y = features([t for t, _ in rows]), np.array([v for _, v in rows])
+    scale = (np.sqrt((x * x).mean(axis=0)) + 1e-4) * np.sqrt(len(x[0])) / 8
+    votes, sums = np.zeros((300, 4)), np.zeros((300, 4))
+    for a in range(4):
+        for b in range(a + 1, 4):
+            own = (y == langs[a]) | (y == langs[b])
+            w, bias = fit_svm(x[own] / scale, np.where(y[own] == langs[a], 1.0, -1.0).astype(np.float32))
+            margin = features(probes) / scale @ w + bias
+            votes[:, a], votes[:, b] = votes[:, a] + (margin > 0), votes[:, b] + (margin < 0)
+            sums[:, a], sums[:, b] = sums[:, a] + margin, sums[:, b] - margin
+    expected = [langs[max(range(4), key=lambda j: (votes[i, j], sums[i, j]))] for i in range(300)]
+    got = model.predict(probes)
+    assert sum(g == e for (g, _), e in zip(got, expected)) >= 298  # but for rounding
+    assert set(expected) == set(langs) and all(0 <= s <= 1 for _, s in got)
+    assert model.predict(["дом кот", "12"])[0][0] == "ru" and model.predict(["12"]) == [("und", 0.0)]
+
+
 def test_language_edges(spark):
     r = random.Random(2)
     pools = {"en": ["the", "thing", "with"], "de": ["und", "schön", "nicht"], "fr": ["être", "les", "ceux"], "xx": ["кот", "дом"]}
