@@ -20,7 +20,6 @@ SEPARATORS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 13
 THRESHOLD = -0.06
-TRUSTED = 8_000  # labelled documents that the target multinomial is fitted on
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
 RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
@@ -74,18 +73,17 @@ def ngram_table(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     """Log likelihood ratio of every bucket, from counts over all documents.
 
     The raw counts cover all words and neighbouring pairs of all documents, the
-    target's those of at most ``TRUSTED`` documents of good quality, in order of a hash of the
-    identifier. Counting adds up per task before the shuffle and leaves at most one row
+    target's those of all documents of good quality, marked by a join that stays distributed.
+    Counting adds up per task before the shuffle and leaves at most one row
     per bucket, so the driver receives ``buckets`` rows whatever the corpus.
     """
-    trusted = (labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_trusted")).distinct()
-               .orderBy(F.xxhash64("_trusted"), "_trusted").limit(TRUSTED))
+    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_trusted")).distinct()
     words = words_of(F.col("_text"))
     n = F.size(words)
     pairs = F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))).alias("b"))
     bucket = lambda x: F.pmod(x, F.lit(buckets)).cast("int")
     counts = (docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-              .join(F.broadcast(trusted), F.col("_doc") == F.col("_trusted"), "left")
+              .join(trusted, F.col("_doc") == F.col("_trusted"), "left")
               .select(F.col("_trusted").isNotNull().cast("long").alias("_t"), F.explode(pairs).alias("_p"))
               .select("_t", F.xxhash64("_p.a").alias("_a"),
                       F.when(F.col("_p.b").isNotNull(), F.xxhash64("_p.b")).alias("_b"))

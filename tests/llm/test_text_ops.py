@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from jobstar.llm import bpe, warc
 from jobstar.llm.langid import LanguageModel, features, fit_svm, identify_languages
 from jobstar.llm.packing import pack_documents, plan_packing
-from jobstar.llm.quality import quality_rules
+from jobstar.llm.quality import ngram_table, quality_rules
 from jobstar.llm.toxicity import Network, score_toxicity
 from jobstar.session import scratch_path
 from tests.llm import brute
@@ -129,6 +129,17 @@ def test_ratio_tells_target_from_raw(spark):
     assert kept == set(range(60))
 
 
+def test_target_counts_all_trusted_documents(spark):
+    """With every document trusted the ratio is flat, however many there are and whatever else the labels name."""
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('w', id % 977, ' v', id % 89, ' u', id % 53) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    beyond = spark.range(9000, 30000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    for table in (labels, labels.unionByName(beyond).unionByName(labels)):
+        assert max(map(abs, ngram_table(docs, table, "doc_id", "text", buckets=16, smoothing=1e-9))) < 1e-6
+    half = ngram_table(docs, labels.where("doc_id % 2 = 0").unionByName(beyond), "doc_id", "text", buckets=16)
+    assert half == ngram_table(docs, labels.where("doc_id % 2 = 0"), "doc_id", "text", buckets=16)
+
+
 # --- 5: packing
 
 def _checked(docs, rows):
