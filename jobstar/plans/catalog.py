@@ -1034,6 +1034,7 @@ def q_roundtrip_json(spark, d):
 _RAW_ORDERS = StructType([StructField(n, t) for n, t in (
     ("o_orderkey", LongType()), ("o_custkey", LongType()), ("o_totalprice", DoubleType()),
     ("o_orderpriority", StringType()), ("o_shippriority", LongType()))])
+_ARRAY_RECORDS = 200_000  # of an array file on average: some 26 MB, read by one task
 
 
 @register("bronze_array_files", """
@@ -1045,9 +1046,10 @@ SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_tot
 FROM orders
 """)
 def q_bronze_array_files(spark, d):
-    """A1/A2/A3: one JSON array file per order month, with values that do not
-    fit their type, landed record by record. Only those values are null, and
-    the raw record keeps fields that no column reads."""
+    """A1/A2/A3: JSON array files per order month, one for every
+    ``_ARRAY_RECORDS`` orders begun, with values that do not fit their type,
+    landed record by record. Only those values are null, and the raw record
+    keeps fields that no column reads."""
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
     price = F.when(k % 10 == 3, F.lit('"n/a"')).otherwise(F.to_json(F.struct(F.col("o_totalprice").alias("v"))).substr(
@@ -1056,10 +1058,14 @@ def q_bronze_array_files(spark, d):
     record = F.concat(F.lit('{"o_orderkey":'), k.cast("string"), F.lit(',"o_custkey":'), F.col("o_custkey").cast("string"),
                       F.lit(',"o_totalprice":'), price, F.lit(',"o_orderpriority":"'), F.col("o_orderpriority"),
                       F.lit('","o_shippriority":'), ship, F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"}'))
-    files = (o.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), record.alias("r")).groupBy("month")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    parts = (o.select(month).groupBy(F.col("month").alias("_m"))
+             .agg(F.ceil(F.count(F.lit(1)) / _ARRAY_RECORDS).alias("n_parts")))
+    files = (o.select(month, k.alias("k"), record.alias("r")).join(parts, F.col("month").eqNullSafe(F.col("_m")))
+              .groupBy("month", F.expr("pmod(xxhash64(k), n_parts)").alias("part"))
               .agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value")))
     root = scratch_path(spark, "raw")
-    files.write.partitionBy("month").text(f"{root}/orders")
+    files.write.partitionBy("month", "part").text(f"{root}/orders")
     land_bronze({"orders": read_raw_records(spark, f"{root}/orders", _RAW_ORDERS)}, root)
     bronze = read_layer(spark, root, "bronze", "orders")
     per_month = (bronze.select(F.regexp_extract("source_file", "month=([0-9-]+)", 1).alias("m"), "source_file").distinct()

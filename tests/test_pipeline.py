@@ -318,6 +318,22 @@ def test_badly_typed_values_lose_nothing_else(spark, tmp_root):
     assert read_layer(spark, root, "silver", "vietnamworks").count() == 4
 
 
+def test_array_files_of_a_large_month(spark, monkeypatch, tmp_root):
+    """A month of many orders is written as several arrays; no row or value is lost."""
+    from jobstar.plans import catalog
+    path = os.path.join(tmp_root, "orders.parquet")
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where("o_orderdate < '1996-01-01'")
+    month = F.when(F.col("o_orderkey") % 3 == 0, F.lit("1995-05-05")).when(F.col("o_orderkey") % 50 != 1, F.col("o_orderdate"))
+    o.withColumn("o_orderdate", month.cast("timestamp")).write.parquet(path)
+    whole = {r.o_orderkey: r[:-1] for r in catalog.q_bronze_array_files(spark, tmp_root).collect()}
+    monkeypatch.setattr(catalog, "_ARRAY_RECORDS", 40)
+    rows = catalog.q_bronze_array_files(spark, tmp_root).collect()
+    assert len(rows) == len(whole) == o.count() and all(r[:-1] == whole[r.o_orderkey] for r in rows)
+    hot = {r.n_files_of_month for r in rows if r.o_orderkey % 3 == 0}
+    n = sum(k % 3 == 0 for k in whole)
+    assert len(hot) == 1 and n / 40 <= hot.pop() <= n / 40 + 5
+
+
 def test_raw_records_from_lines(spark, tmp_root):
     from jobstar.sources.readers import read_raw_records
     os.makedirs(os.path.join(tmp_root, "lines"))
