@@ -129,3 +129,77 @@ def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from jobstar.llm.fm_index import fm_dedup
     out = fm_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_merge_automaton")
+def op11_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: every document encoded to word BPE ids by the tokenization automaton and decoded."""
+    import public_tokenizers
+
+    from jobstar.llm.merge_automaton import roundtrip_digests
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return roundtrip_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _centroid_sql(clusters: int = 16, rounds: int = 3) -> str:
+    """The rounds one after the other; integers throughout, floors of negative quotients by the remainder."""
+    steps = [f"""
+    kept AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+        WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+    c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, q AS c FROM kept
+        ORDER BY sha256('1:' || vec_id) LIMIT {clusters})"""]
+    near = """
+    a{i} AS (SELECT vec_id, any_value(q) AS q, min({{'d': d, 'cluster': cluster}}) AS b FROM (
+        SELECT vec_id, q, cluster, CAST(list_sum([(q[p] - c[p]) * (q[p] - c[p]) FOR p IN range(1, 65)]) AS BIGINT) AS d FROM kept, c{i}) GROUP BY vec_id)"""
+    for i in range(rounds):
+        steps.append(near.format(i=i))
+        steps.append(f"""
+    m{i} AS (SELECT b.cluster AS cluster, p, sum(q[p]) AS s, count(*) AS n FROM a{i}, (SELECT unnest(range(1, 65)) AS p)
+        GROUP BY b.cluster, p),
+    c{i + 1} AS (SELECT cluster, coalesce(v, c) AS c FROM c{i} LEFT JOIN (
+        SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS v FROM m{i} GROUP BY cluster) USING (cluster))""")
+    steps.append(near.format(i=rounds))
+    return "WITH" + ",".join(steps) + f"""
+    SELECT vec_id, CAST(b.cluster AS INTEGER) AS cluster, b.d AS distance,
+        CAST(sum(b.d) OVER (PARTITION BY b.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} ON b.cluster = c{rounds}.cluster"""
+
+
+@register("op12_laesa", _centroid_sql())
+def op12_laesa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: all whole vectors in 16 clusters, centroids pruned by a pivot table."""
+    from jobstar.llm.centroids import RESULT, cluster_vectors
+    return cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).select("vec_id", *RESULT)
+
+
+@register("op13_era_phrases", """
+    WITH t AS (
+        SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM t),
+    p AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM p GROUP BY ALL),
+    n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS v FROM f WHERE k > 1 AND f >= 10),
+    u AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+    s AS (
+        SELECT u.*, x.f AS l, y.f AS r, 1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS score
+        FROM u JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.v[1:u.cut], ' ')
+        JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.v[u.cut + 1:u.k], ' ')),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    h AS (
+        SELECT lang, phrase, max(a) AS longer FROM (
+            SELECT lang, a, array_to_string(v[1:2], ' ') AS phrase FROM c WHERE k = 3
+            UNION ALL SELECT lang, a, array_to_string(v[2:3], ' ') FROM c WHERE k = 3) GROUP BY ALL),
+    o AS (
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase, a, l, r, score
+        FROM b LEFT JOIN h ON b.k = 2 AND h.lang = b.lang AND h.phrase = b.phrase
+        WHERE longer IS NULL OR 100 * longer < 50 * a)
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o JOIN n USING (lang)
+    WHERE rank <= 2000
+""")
+def op13_era_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: each language's collocations of two and three words over all documents."""
+    from jobstar.llm.phrases import collocations
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
