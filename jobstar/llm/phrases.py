@@ -6,226 +6,241 @@ the suffix tree, cut at three words, is never built as a whole:
 
 * *Vertical partitioning.* Words are counted; a word is a prefix. A prefix that
   occurs too often for the memory budget is extended by a word, those that still
-  do by one more. Prefixes below the least count cannot begin a phrase that counts and are left out.
-* *Groups.* Prefixes in order are put together as long as a group keeps to the budget.
+  do by one more. Prefixes below the least count cannot begin a phrase that counts and are left out:
+  a suffix is cut where a word or a pair of words is not frequent.
+* *Groups.* Prefixes in order of their hashes are put together as long as a group keeps to the budget.
 * *Subtrees.* Suffixes go to the group of their prefix, equal ones added up
   before. Each group's are sorted by Spark (spilling where needed) and one pass over the
   sorted leaves builds its subtree, the open path only being held: where
   a path ends its node's count is the total of the leaves below it.
 
-A budget is at least a fixed share of all words, so the lists of extended
-prefixes and of group bounds, the only things that go through the driver, have a fixed greatest size.
+Hashes only route suffixes and leave out what cannot be frequent; a collision costs
+some work and changes no count. What goes through the driver has a fixed greatest
+size: a budget is at least a fixed share of all words, so few prefixes exceed it and few groups are made,
+and frequent words and pairs are told by tables of a fixed number of bits.
+When these fill up, on a corpus with far more frequent pairs than bits, more suffixes are sorted; the result stays the same.
 """
 
 from __future__ import annotations
 
-import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobstar.llm.text import batches_of_texts, joined, lower_ascii
+from jobstar.llm.text import batches_of_texts, joined, lower_ascii, mix
 from jobstar.session import materialize
 
 BUDGET = 1 << 20  # suffixes of a group
 SHARE = 4096  # a budget is at least all words over this, so no more prefixes than this exceed it
-FILTER_BITS = 1 << 25  # size of the table of words that occur often enough: 4 MB
+FILTER_BITS = 1 << 26  # size of a table of frequent words or pairs: 8 MB
 CHUNK = 4 << 20  # bytes of text whose suffixes are added up together
 SALTS = 64
+SEED = 42  # of Spark's xxhash64
 #: ends of pieces and separators of words, fixed by the patterns [.,;:!?\x0A-\x0D] and [^\x20\x09]+
 BREAKS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.zeros(256, np.int8)
 _KIND[list(SPACES)], _KIND[list(BREAKS)] = 1, 2
-_ALL_SPACES = bytes.maketrans(BREAKS, b" " * len(BREAKS))
 
 
-def _bit(lang: bytes, word: bytes) -> int:
-    return zlib.crc32(lang + b"\0" + word) % FILTER_BITS
+class Words:
+    """The words of some texts: distinct ones (``lang``, ``word``, ``hash``) and, for each place, which (``at``) and in which piece."""
 
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, list[bytes], np.ndarray, np.ndarray]]:
-    """Of a slice of texts: languages, each word's language, distinct words, each word's number, and its piece.
-
-    Words of neighbouring places and one piece have the same number of a piece.
-    """
-    for part, texts in batches_of_texts(batches, "_text", raw=True, chunk=CHUNK):
+    def __init__(self, langs: pa.Array, texts: list[bytes]):
         data, starts, _ = joined(texts)  # a line feed after each text: pieces end there
         data = lower_ascii(data)
         kind = _KIND[data]
         inside = kind == 0
         begin = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
-        words = data.tobytes().translate(_ALL_SPACES).split()
-        if not words:
-            continue
-        piece = np.cumsum(kind == 2)[begin]
-        numbers: dict[bytes, int] = {}
-        word = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-        coded = part.column("_lang").cast(pa.binary()).dictionary_encode()
-        text = np.searchsorted(starts, begin, "right") - 1
-        yield coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text], \
-            list(numbers), word, piece
+        end = np.flatnonzero(inside & ~np.concatenate((inside[1:], [False]))) + 1
+        self.piece = np.cumsum(kind == 2)[begin]
+        offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), begin.size, [
+            None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))]).dictionary_encode()
+        langs = langs.cast(pa.binary()).dictionary_encode()
+        lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[np.searchsorted(starts, begin, "right") - 1]
+        n = max(1, len(words.dictionary))
+        distinct, self.at = np.unique(lang * n + words.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+        self.langs = langs.dictionary
+        self.lang = self.langs.take(pa.array(distinct // n))
+        self.word = words.dictionary.take(pa.array(distinct % n))
+        self.lang_of = distinct // n
+        self.hash = np.fromiter((xxhash.xxh64_intdigest(g + b"\0" + w, SEED) for g, w in
+                                 zip(self.lang.to_pylist(), self.word.to_pylist())), np.uint64, distinct.size)
+
+    def follows(self) -> np.ndarray:
+        """Whether the next place has a word of the same piece."""
+        same = np.zeros(self.at.size, bool)
+        same[:-1] = self.piece[1:] == self.piece[:-1]
+        return same
+
+    def pairs(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the words at ``at`` and the next places."""
+        return mix(mix(self.hash[self.at[at]]) * np.uint64(3) + self.hash[self.at[at + 1]])
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    for part, texts in batches_of_texts(batches, "_text", raw=True, chunk=CHUNK):
+        yield Words(part.column("_lang"), texts)
 
 
-def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+def _word_hash() -> Column:
+    return F.xxhash64(F.concat("lang", F.lit(bytes(1)), "w1"))
 
 
-def _utf8(words: list[bytes]) -> list[str]:
-    return [w.decode("utf-8", "replace") for w in words]
+def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    at = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _batch(schema: dict[str, pa.DataType], *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, schema.values())], names=list(schema))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, w1, f) of all words, and a row per language with a null word and the number of all words."""
+    schema = {"lang": pa.binary(), "w1": pa.binary(), "f": pa.int64()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, lang, names, word, _ in _chunks(batches):
-            key, count = np.unique(lang * len(names) + word, return_counts=True)
-            total = np.bincount(lang, minlength=len(langs))
-            names = _utf8(names)
-            langs = _utf8(langs)
-            yield _batch({"lang": ([langs[i] for i in (key // len(names)).tolist()] + langs, pa.string()),
-                          "w1": ([names[i] for i in (key % len(names)).tolist()] + [None] * len(langs), pa.string()),
-                          "f": (np.concatenate([count, total]), pa.int64())})
+        for w in _words(batches):
+            count = np.bincount(w.at, minlength=w.hash.size)
+            yield _batch(schema, w.lang, w.word, count)
+            total = np.bincount(w.lang_of, count, len(w.langs)).astype(np.int64)
+            yield _batch(schema, w.langs, pa.nulls(len(w.langs)), total)
+
+    return docs.mapInArrow(run, "lang binary, w1 binary, f bigint").groupBy("lang", "w1").agg(F.sum("f").alias("f"))
 
-    return docs.mapInArrow(run, "lang string, w1 string, f bigint").groupBy("lang", "w1").agg(F.sum("f").alias("f"))
 
+def pair_counts(docs: DataFrame, bits: bytes, hot: set[int]) -> DataFrame:
+    """(h, hot, f): hashes of the pairs of frequent words within pieces, and whether the first word is one of ``hot``."""
+    firsts = np.array(sorted(hot), np.uint64)
+    schema = {"h": pa.int64(), "hot": pa.bool_(), "f": pa.int64()}
 
-def pair_counts(docs: DataFrame, hot: set[tuple[bytes, bytes]]) -> DataFrame:
-    """(lang, w1, w2, f) of the pairs within pieces whose first word is one of ``hot``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, lang, names, word, piece in _chunks(batches):
-            n = len(names)
-            firsts = np.array([number for i, g in enumerate(langs) for number in
-                               [i * n + j for j, w in enumerate(names) if (g, w) in hot]], np.int64)
-            at = np.flatnonzero(np.isin(lang[:-1] * n + word[:-1], firsts) & (piece[1:] == piece[:-1]))
-            if not at.size:
-                continue
-            key, count = np.unique((lang[at] * n + word[at]) * n + word[at + 1], return_counts=True)
-            names, langs = _utf8(names), _utf8(langs)
-            yield _batch({"lang": ([langs[i] for i in (key // (n * n)).tolist()], pa.string()),
-                          "w1": ([names[i] for i in (key // n % n).tolist()], pa.string()),
-                          "w2": ([names[i] for i in (key % n).tolist()], pa.string()), "f": (count, pa.int64())})
-
-    return (docs.mapInArrow(run, "lang string, w1 string, w2 string, f bigint")
-            .groupBy("lang", "w1", "w2").agg(F.sum("f").alias("f")))
-
-
-def frequent_bits(words: DataFrame) -> bytes:
-    """A table of ``FILTER_BITS`` bits, set for each of ``words`` (lang, w1). It has one size whatever the corpus."""
-    bit = F.pmod(F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(bytes(1)), F.col("w1").cast("binary"))),
-                 F.lit(FILTER_BITS)) + 1  # the bitmap functions count from 1
-    parts = (words.groupBy(F.bitmap_bucket_number(bit).alias("b"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")).collect())
+        table = np.frombuffer(bits, np.uint8)
+        for w in _words(batches):
+            often = _has(table, w.hash)[w.at]
+            at = np.flatnonzero(w.follows() & often & np.roll(often, -1))
+            h, first, count = np.unique(w.pairs(at), return_index=True, return_counts=True)
+            yield _batch(schema, h.view(np.int64), np.isin(w.hash[w.at[at[first]]], firsts), count)
+
+    return docs.mapInArrow(run, "h bigint, hot boolean, f bigint").groupBy("h", "hot").agg(F.sum("f").alias("f"))
+
+
+def hash_bits(hashes: DataFrame) -> bytes:
+    """A table of ``FILTER_BITS`` bits, set for each ``h``. It has one size whatever the corpus."""
+    bit = F.pmod("h", F.lit(FILTER_BITS)) + 1  # the bitmap functions count from 1
+    parts = (hashes.groupBy(F.bitmap_bucket_number(bit).alias("b"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")))
     table = bytearray(FILTER_BITS // 8)
-    for r in parts:  # 4,096 bytes for each 32,768 bits
-        at = (r["b"] - 1) * 4096
-        table[at:at + 4096] = r["m"]
+    for r in parts.toLocalIterator():  # 4,096 bytes for each 32,768 bits
+        table[(r["b"] - 1) * 4096:r["b"] * 4096] = r["m"]
     return bytes(table)
 
 
-def group_bounds(prefixes: DataFrame, budget: int) -> list[tuple[bytes, ...]]:
-    """First prefix of every group: prefixes (lang, w1, w2 or empty, f) in order, as many as keep to the budget.
+def group_bounds(prefixes: DataFrame, budget: int) -> list[int]:
+    """First hash of every group: prefixes (h, f) in order, as many as keep to the budget.
 
     Each task cuts its own range of the order, so a group never spans two.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = budget + 1
         for b in batches:
-            f, cut = b.column("f").to_pylist(), []
-            for i, x in enumerate(f):
+            cut = []
+            for i, x in enumerate(b.column("f").to_pylist()):
                 if held + x > budget:
                     cut.append(i)
                     held = 0
                 held += x
-            yield b.take(pa.array(cut, pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("h").take(pa.array(cut, pa.int64()))], names=["h"])
 
-    order = ["lang", "w1", "w2"]
-    spread = prefixes.select(*order, "f").repartitionByRange(*order).sortWithinPartitions(*order)
-    bounds = spread.mapInArrow(run, "lang string, w1 string, w2 string, f bigint").collect()
-    return sorted(tuple(r[c].encode() for c in order) for r in bounds)
+    spread = prefixes.select("h", "f").repartitionByRange("h").sortWithinPartitions("h")
+    return sorted(r["h"] for r in spread.mapInArrow(run, "h bigint").collect())
 
 
-def suffixes(docs: DataFrame, bits: bytes, bounds: list[tuple[bytes, ...]], hot: set[tuple[bytes, bytes]],
-             hotter: dict[tuple[bytes, bytes, bytes], int]) -> DataFrame:
-    """(group, lang, w1, w2, w3, f): suffixes cut at three words, and at a word that is not frequent.
+def suffixes(docs: DataFrame, bits: bytes, bounds: list[int], hot: set[int], hotter: dict[int, int]) -> DataFrame:
+    """(_group, lang, w1, w2, w3, f): suffixes cut at three words, and where a pair is not frequent.
 
-    ``hot`` words are routed with the next word, ``hotter`` pairs (with the number of their groups) with the third.
+    Words in ``hot`` are routed with the next word, pairs in ``hotter`` (with the number of their groups) with the third.
     """
+    firsts, limits = np.array(sorted(hot), np.uint64), np.array(bounds, np.int64)
+    spread = np.array(sorted(hotter.items()), np.uint64).reshape(-1, 2)
+    schema = {"_group": pa.int64(), **dict.fromkeys(("lang", "w1", "w2", "w3"), pa.binary()), "f": pa.int64()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
-        for langs, lang, names, word, piece in _chunks(batches):
-            n = len(names)
-            seen, place = np.unique(lang * n + word, return_inverse=True)
-            often = table[[_bit(langs[k // n], names[k % n]) for k in seen.tolist()]].astype(bool)[place]
-            follows = np.concatenate((piece[1:] == piece[:-1], [False])) & often & np.concatenate((often[1:], [False]))
-            at = np.flatnonzero(follows)
+        table = np.frombuffer(bits, np.uint8)
+        for w in _words(batches):
+            at = np.flatnonzero(w.follows())
+            hashes = w.pairs(at)
+            frequent = _has(table, hashes)
+            at, hashes = at[frequent], hashes[frequent]
             if not at.size:
                 continue
-            third = np.where(np.concatenate((follows[1:], [False]))[at], np.concatenate((word[2:], [0, 0]))[at], n)
-            pair, place = np.unique((lang[at] * n + word[at]) * n + word[at + 1], return_inverse=True)
-            leaf, count = np.unique(place * (n + 1) + third, return_counts=True)
-            # routes of the distinct pairs, then those of the leaves
-            keys = [(langs[k // (n * n)], names[k // n % n], names[k % n]) for k in pair.tolist()]
-            route = [bisect_right(bounds, k if k[:2] in hot else (k[0], k[1], b"")) for k in keys]
-            spread = {i: hotter[k] for i, k in enumerate(keys) if k in hotter}
-            first = (leaf // (n + 1)).tolist()
-            last = [names[i] if i < n else None for i in (leaf % (n + 1)).tolist()]
-            group = [route[i] if i not in spread else -1 - zlib.crc32(b"\0".join((*keys[i], w or b""))) % spread[i]
-                     for i, w in zip(first, last)]
-            text = [tuple(_utf8(list(k))) for k in keys]
-            yield _batch({"_group": (group, pa.int64()), "lang": ([text[i][0] for i in first], pa.string()),
-                          "w1": ([text[i][1] for i in first], pa.string()), "w2": ([text[i][2] for i in first], pa.string()),
-                          "w3": ([None if w is None else w.decode("utf-8", "replace") for w in last], pa.string()),
-                          "f": (count, pa.int64())})
-
-    return docs.mapInArrow(run, "_group bigint, lang string, w1 string, w2 string, w3 string, f bigint")
+            begins = np.zeros(w.at.size + 1, bool)
+            begins[at] = True
+            n = w.hash.size  # stands for no third word
+            third = np.where(begins[at + 1], np.concatenate((w.at, [0, 0]))[at + 2], n)
+            pair, place = np.unique(w.at[at] * n + w.at[at + 1], return_inverse=True)
+            leaf, first, count = np.unique(place * (n + 1) + third, return_index=True, return_counts=True)
+            one, two, three, h = pair[place[first]] // n, pair[place[first]] % n, third[first], hashes[first]
+            route = np.where(np.isin(w.hash[one], firsts), h, w.hash[one]).view(np.int64)
+            group = np.searchsorted(limits, route, "right").astype(np.int64)
+            if spread.size:
+                i = np.minimum(np.searchsorted(spread[:, 0], h), len(spread) - 1)
+                last = np.concatenate((w.hash, np.zeros(1, np.uint64)))[three]
+                group = np.where(spread[i, 0] == h, -1 - (mix(h + last) % spread[i, 1]).astype(np.int64), group)
+            yield _batch(schema, group, w.lang.take(pa.array(one)), w.word.take(pa.array(one)), w.word.take(pa.array(two)),
+                         w.word.take(pa.array(np.where(three < n, three, 0), mask=three == n)), count)
+
+    return docs.mapInArrow(run, "_group bigint, lang binary, w1 binary, w2 binary, w3 binary, f bigint")
 
 
 def subtrees(leaves: DataFrame, least: int) -> DataFrame:
-    """(lang, w1, w2, w3, f): nodes of two and three words of each group's subtree, with at least ``least`` occurrences."""
+    """(spread, lang, w1, w2, w3, f): nodes of two and three words of each group's subtree, with at least ``least`` occurrences.
+
+    A node of two words whose children lie in several groups has a part of its count in each; ``spread`` marks these.
+    """
     names = ["lang", "w1", "w2", "w3"]
+    schema = {"spread": pa.bool_(), **dict.fromkeys(names, pa.binary()), "f": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path: list = [None, 0, None, 0]  # open node of two words and its count, its open child and its count
+        node, total, child, below = None, 0, None, 0  # open node of two words, its open child, and their counts
         done: list[tuple] = []
 
-        def close(child_only: bool) -> None:
-            if path[2] is not None and path[3] >= least:
-                done.append((*path[0][1:], path[2], path[3]))
-            path[2], path[3] = None, 0
-            if not child_only:
-                if path[0] is not None and path[1] >= least:
-                    done.append((*path[0][1:], None, path[1]))
-                path[0], path[1] = None, 0
+        def close_child() -> None:
+            if child is not None and below >= least:
+                done.append((False, *node[1:], child, below))
+
+        def close() -> None:
+            close_child()
+            if node is not None and (total >= least or node[0] < 0):
+                done.append((node[0] < 0, *node[1:], None, total))
 
         def flush() -> pa.RecordBatch:
-            out = _batch({c: ([d[i] for d in done], pa.int64() if c == "f" else pa.string())
-                          for i, c in enumerate([*names, "f"])})
+            out = _batch(schema, *(pa.array([d[i] for d in done], t) for i, t in enumerate(schema.values())))
             done.clear()
             return out
 
         for b in batches:
-            columns = [b.column(c).to_pylist() for c in ("_group", "lang", "w1", "w2", "w3", "f")]
-            for group, lang, w1, w2, w3, f in zip(*columns):
-                node = (group, lang, w1, w2)
-                if node != path[0]:
-                    close(False)
-                    path[0] = node
-                elif w3 != path[2]:
-                    close(True)
-                path[1] += f
-                if w3 is not None:
-                    path[2] = w3
-                    path[3] += f
+            for *path, w3, f in zip(*(b.column(c).to_pylist() for c in ("_group", *names, "f"))):
+                if path != node:
+                    close()
+                    node, total, child, below = path, 0, None, 0
+                if w3 != child:
+                    close_child()
+                    child, below = w3, 0
+                total += f
+                below += f
             yield flush()
-        close(False)
+        close()
         yield flush()
 
     dealt = leaves.repartition("_group").sortWithinPartitions("_group", *names)
-    return dealt.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, f bigint")
+    return dealt.mapInArrow(run, "spread boolean, lang binary, w1 binary, w2 binary, w3 binary, f bigint")
 
 
 def counted_phrases(docs: DataFrame, text_col: str, lang_col: str, least: int, budget: int
@@ -236,27 +251,24 @@ def counted_phrases(docs: DataFrame, text_col: str, lang_col: str, least: int, b
     """
     docs = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("_lang"),
                        F.col(f"`{text_col}`").cast("string").alias("_text"))
-    words = materialize(word_counts(docs).where(f"w1 IS NULL OR f >= {least}"), "phrases-words")
+    words = materialize(word_counts(docs).where(f"w1 IS NULL OR f >= {int(least)}"), "phrases-words")
     total = words.where("w1 IS NULL").agg(F.sum("f")).first()[0] or 0
     budget = max(budget, -(-total // SHARE))
-    frequent = words.where("w1 IS NOT NULL")
+    over, fits = F.col("f") > budget, F.col("f") <= budget
+    frequent = words.where("w1 IS NOT NULL").select(_word_hash().alias("h"), "f")
+    unsigned = lambda h: h & ((1 << 64) - 1)
     # at most SHARE words exceed the budget, and at most as many pairs
-    hot = {(r["lang"].encode(), r["w1"].encode()) for r in frequent.where(F.col("f") > budget).collect()}
-    prefixes = frequent.where(F.col("f") <= budget).select("lang", "w1", F.lit("").alias("w2"), "f")
-    hotter: dict[tuple[bytes, bytes, bytes], int] = {}
-    if hot:
-        pairs = materialize(pair_counts(docs, hot).where(F.col("f") >= least), "phrases-pairs")
-        hotter = {(r["lang"].encode(), r["w1"].encode(), r["w2"].encode()): -(-r["f"] // budget)
-                  for r in pairs.where(F.col("f") > budget).collect()}
-        prefixes = prefixes.unionByName(pairs.where(F.col("f") <= budget))
-    leaves = suffixes(docs, frequent_bits(frequent), group_bounds(prefixes, budget), hot, hotter)
+    hot = {unsigned(r["h"]) for r in frequent.where(over).collect()}
+    pairs = materialize(pair_counts(docs, hash_bits(frequent), hot).where(F.col("f") >= least), "phrases-pairs")
+    hotter = {unsigned(r["h"]): -(-r["f"] // budget) for r in pairs.where(over).collect()}
+    prefixes = frequent.where(fits).unionByName(pairs.where("hot").where(fits).select("h", "f"))
+    leaves = suffixes(docs, hash_bits(pairs), group_bounds(prefixes, budget), hot, hotter)
     nodes = subtrees(leaves, least)
-    if hotter:  # their subtrees are spread over groups; their own counts are known
-        over = pairs.where(F.col("f") > budget)
-        split = nodes.join(over.select("lang", "w1", "w2", F.lit(True).alias("_over")), ["lang", "w1", "w2"], "left")
-        nodes = (split.where("w3 IS NOT NULL OR _over IS NULL").drop("_over")
-                 .unionByName(over.withColumn("w3", F.lit(None).cast("string")).select("lang", "w1", "w2", "w3", "f")))
-    return words, materialize(nodes, "phrases-nodes")
+    if hotter:
+        nodes = materialize(nodes, "phrases-subtrees")
+        whole = nodes.where("spread").groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+        nodes = nodes.where("NOT spread").drop("spread").unionByName(whole)
+    return words, materialize(nodes.select("lang", "w1", "w2", "w3", "f"), "phrases-nodes")
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 10, inside_percent: int = 50,
@@ -291,11 +303,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     pairs = (with_count(with_count(two, "w1", "l"), "w2", "r").join(longer, ["lang", "w1", "w2"], "left")
              .where(f"_longer IS NULL OR 100 * _longer < {int(inside_percent)} * a")
              .withColumn("a", whole("a")).withColumn("score", score("l", "r"))
-             .select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", "l", "r", "score"))
+             .select("lang", F.concat("w1", F.lit(b" "), "w2").alias("phrase"), "a", "l", "r", "score"))
     triples = with_pair(with_pair(with_count(with_count(three, "w1", "_l1"), "w3", "_r2"), "w2", "w3", "_r1"), "w1", "w2", "_l2")
     triples = (triples.withColumn("a", whole("a")).withColumn("_s1", score("_l1", "_r1")).withColumn("_s2", score("_l2", "_r2"))
                .withColumn("_one", F.col("_s1") <= F.col("_s2"))
-               .select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a",
+               .select("lang", F.concat("w1", F.lit(b" "), "w2", F.lit(b" "), "w3").alias("phrase"), "a",
                        F.when(F.col("_one"), F.col("_l1")).otherwise(F.col("_l2")).alias("l"),
                        F.when(F.col("_one"), F.col("_r1")).otherwise(F.col("_r2")).alias("r"),
                        F.least("_s1", "_s2").alias("score")))
@@ -307,4 +319,4 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
     all_words = words.where("w1 IS NULL").select("lang", F.col("f").alias("n"))
     return ranked.join(all_words, "lang").select(
-        "lang", F.col("rank").cast("long"), "phrase", F.col("a").cast("long"), "l", "r", "n", F.col("score").cast("long"))
+        F.col("lang").cast("string"), F.col("rank").cast("long"), F.col("phrase").cast("string"), F.col("a").cast("long"), "l", "r", "n", F.col("score").cast("long"))
