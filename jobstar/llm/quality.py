@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 SEPARATORS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 13
+TRUST_BITS = 1 << 26  # bits that tell which documents can be trusted: 8 MB
 THRESHOLD = -0.06
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
 RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
@@ -68,23 +69,45 @@ def base_measures(docs: DataFrame, text_col: str) -> DataFrame:
             .drop("_windows", "_sorted", "_twice"))
 
 
+def _bit(ident: Column) -> Column:
+    """Number of an identifier's bit, from 1 on as the bitmap functions count."""
+    return F.pmod(F.xxhash64(ident), F.lit(TRUST_BITS)) + 1
+
+
+def trusted_marks(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` (_doc, _text) with ``_t``, 1 for trusted documents and else 0.
+
+    A table of bits, of one size whatever the corpus, tells which documents can be
+    trusted; only the texts of these are joined with the trusted identifiers, always by a shuffle of both sides.
+    """
+    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("string").alias("_trusted")).distinct()
+    bits = (trusted.groupBy(F.bitmap_bucket_number(_bit(F.col("_trusted"))).alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(_bit(F.col("_trusted")))).alias("_bits")))
+    docs = docs.withColumn("_doc", F.col("_doc").cast("string")).withColumn("_place", F.bitmap_bit_position(_bit(F.col("_doc"))))
+    looked = docs.join(F.broadcast(bits), F.bitmap_bucket_number(_bit(F.col("_doc"))) == F.col("_bucket"), "left")
+    byte = F.expr("CAST(conv(hex(substring(_bits, CAST(_place DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    may = F.coalesce(F.getbit(byte, F.expr("CAST(_place % 8 AS INT)")) == 1, F.lit(False))
+    looked = looked.select("_doc", "_text", may.alias("_may"))
+    other = looked.where("NOT _may").select("_text", F.lit(0).cast("long").alias("_t"))
+    some = looked.where("_may").join(trusted.hint("merge"), F.col("_doc") == F.col("_trusted"), "left")
+    return other.unionByName(some.select("_text", F.col("_trusted").isNotNull().cast("long").alias("_t")))
+
+
 def ngram_table(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                 buckets: int = BUCKETS, smoothing: float = 1.0) -> list[float]:
     """Log likelihood ratio of every bucket, from counts over all documents.
 
     The raw counts cover all words and neighbouring pairs of all documents, the
-    target's those of all documents of good quality, marked by a join that stays distributed.
+    target's those of all documents of good quality.
     Counting adds up per task before the shuffle and leaves at most one row
     per bucket, so the driver receives ``buckets`` rows whatever the corpus.
     """
-    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_trusted")).distinct()
     words = words_of(F.col("_text"))
     n = F.size(words)
     pairs = F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))).alias("b"))
     bucket = lambda x: F.pmod(x, F.lit(buckets)).cast("int")
-    counts = (docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-              .join(trusted, F.col("_doc") == F.col("_trusted"), "left")
-              .select(F.col("_trusted").isNotNull().cast("long").alias("_t"), F.explode(pairs).alias("_p"))
+    marked = trusted_marks(docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")), labels)
+    counts = (marked.select("_t", F.explode(pairs).alias("_p"))
               .select("_t", F.xxhash64("_p.a").alias("_a"),
                       F.when(F.col("_p.b").isNotNull(), F.xxhash64("_p.b")).alias("_b"))
               .select("_t", F.explode(F.array(bucket(F.col("_a")), F.when(
@@ -108,10 +131,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     document that labels name twice counts once; labels without a document
     or with a null identifier do nothing. With no trusted document at all the
     ratio is flat and only the base rules decide. Repeated rows are judged
-    each. Columns of ``docs`` that carry a result's name are replaced.
+    each. Columns of ``docs`` that carry a result's name are replaced, all others kept, whatever their names.
     """
     docs = docs.drop(*RESULT)
     columns = docs.columns
+    own = [f"c{i}" for i in range(len(columns))]  # no helper column has such a name
+    id_col, text_col = own[columns.index(id_col)], own[columns.index(text_col)]
+    docs = docs.toDF(*own)
     ratio = ngram_table(docs, labels, id_col, text_col, buckets)
     table = F.split(F.lit(",".join(map(str, ratio))), ",").cast("array<double>")  # folded to a constant
     weight = lambda x: F.get(table, F.pmod(x, F.lit(buckets)).cast("int"))
@@ -126,4 +152,4 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     # out of a generator: a filter on a plain ``kept`` would be pushed down with all that it is computed
     # from, which is then evaluated once more for every level of lambdas
     kept = F.explode(F.array(~F.col("base_failed") & (F.col("score") >= threshold)))
-    return rows.select(*columns, *RESULT[:-1], kept.alias("kept"))
+    return rows.select(*[F.col(o).alias(c) for o, c in zip(own, columns)], *RESULT[:-1], kept.alias("kept"))

@@ -351,3 +351,12 @@ def test_language_edges(spark):
     assert all(out[i].lang_pred == v for i, _, v in rows) and all(0 <= x.score <= 1 for x in out.values())
     assert {x.lang_pred for x in identify_languages(docs.withColumn("lang", docs.lang.substr(9, 1)).where("lang is null")).collect()} <= {"und"}
     assert identify_languages(docs.limit(0)).collect() == []
+
+
+def test_quality_keeps_columns_named_like_helpers(spark):
+    names = ["_hashed", "_lines", "_windows", "_sorted", "_twice", "_total", "_text", "_doc", "_place", "_bits", "c0", "odd name"]
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20)), *range(len(names))), (2, None, *range(len(names)))],
+                               "doc_id bigint, text string, " + ", ".join(f"`{n}` int" for n in names))
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
+    out = quality_rules(df, labels).collect()
+    assert len(out) == 2 and all([r[n] for n in names] == list(range(len(names))) for r in out)
