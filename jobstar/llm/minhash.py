@@ -7,12 +7,11 @@ bucket every member is linked to one centre only (a star), and every such
 candidate is confirmed on the full shingle sets.
 
 A star alone could miss a link between two members that are both unlike the
-centre. So, while a bucket has members in different components, further rounds
-take a few more centres of it, those with most links first, and compare them
-with the members of other components, until a round finds no link. What is
-then still mixed is settled exactly: its members that were no centre are
-joined by the rarest of their shingles (prefix, size and position filter),
-which leaves out no pair that is similar enough.
+centre. So where a bucket has members in different components after that, a
+second star is drawn around the one with most links, and what is still
+mixed is settled exactly: all members of such buckets are joined by the rarest
+of their shingles (prefix, size and position filter), which leaves out no pair
+that is similar enough. The number of rounds is fixed, whatever the groups are like.
 """
 
 from __future__ import annotations
@@ -21,15 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstar.llm.graph import components
-from jobstar.llm.text import Rolling, batches_of_texts, joined, lower_ascii, mix, word_spans
+from jobstar.llm.text import Rolling, batches_of_texts, joined, lower_ascii, mix, word_hashes, word_spans
 from jobstar.session import materialize
 
 BANDS, ROWS = 40, 6
-CENTRES = 3  # of a bucket in each further round
 _ADDED = ("n_shingles", "component_id", "kept")
 
 
@@ -41,7 +39,7 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     data, starts, ends = joined(texts)
     data = lower_ascii(data)
     begin, end = word_spans(data)
-    words = Rolling(Rolling(data).of(begin, end))
+    words = Rolling(word_hashes(data, begin, end))
     first = np.searchsorted(begin, starts)
     last = np.searchsorted(begin, ends)
     grams = words.grams(k)
@@ -151,16 +149,39 @@ def _alike(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # _rest: shingles of the document from this place on
     placed = (ordered.select("_id", "_n", "_comp", F.size("_s").alias("_k"), F.posexplode("_s").alias("_at", "_s"))
               .select("_id", "_n", "_comp", (F.col("_k") - F.col("_at")).cast("long").alias("_rest"), F.col("_s._g").alias("_g")))
-    large = materialize(placed.where(100 * F.col("_rest") >= percent * F.col("_n")), "minhash-prefixes")
-    small = (large.where((100 + percent) * F.col("_rest") >= 2 * percent * F.col("_n"))
-             .select("_g", F.col("_id").alias("_c"), F.col("_n").alias("_m"), F.col("_comp").alias("_other"),
-                     F.col("_rest").alias("_left")))
-    rows = (large.join(small, "_g").where("_comp <> _other AND (_m < _n OR _m = _n AND _c < _id)")
-            .where(100 * F.col("_m") >= percent * F.col("_n"))
+    places = materialize(placed.where(100 * F.col("_rest") >= percent * F.col("_n")), "minhash-prefixes")
+    # a shingle joins what lies outside its largest component with all of it, so a large component costs its size once
+    per = places.groupBy("_g", "_comp").agg(F.count(F.lit(1)).alias("_f"))
+    mixed = (per.groupBy("_g").agg(F.max(F.struct("_f", "_comp"))["_comp"].alias("_main"), F.count(F.lit(1)).alias("_comps"))
+             .where("_comps > 1").select("_g", "_main"))
+    places = materialize(places.join(mixed, "_g"), "minhash-mixed-prefixes")
+    outside = places.where("_comp <> _main").select("_g", F.col("_id").alias("_c"), F.col("_n").alias("_m"),
+                                                    F.col("_comp").alias("_other"), F.col("_rest").alias("_left"))
+    rows = (places.join(outside, "_g").where("_comp <> _other AND (_comp = _main OR _c < _id)")
+            .where(100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m"))
             .where((100 + percent) * F.least("_rest", "_left") >= percent * (F.col("_n") + F.col("_m"))))
     return rows.select(F.least("_id", "_c").alias("x"), F.greatest("_id", "_c").alias("y")).distinct()
 
 
+def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members (with ``_comp``) of the buckets whose members are of several components."""
+    now = members.join(comps, "_id")
+    several = (now.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"))
+               .where("_lo <> _hi").select("_key"))
+    return now.join(several, "_key", "left_semi")
+
+
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links (x, y): those of the components they connect."""
+    of = lambda c: comps.select(F.col("_id").alias(c), F.col("_comp").alias(f"_{c}"))
+    between = (links.join(of("x"), "x").join(of("y"), "y").where("_x <> _y")
+               .select(F.col("_x").alias("x"), F.col("_y").alias("y")).distinct())
+    between = materialize(between, "minhash-between")
+    labels = components(between.select(F.explode(F.array("x", "y")).alias("_id")).distinct(), between)
+    joined = comps.join(labels.select(F.col("_id").alias("_comp"), F.col("_comp").alias("_new")), "_comp", "left")
+    return materialize(joined.select("_id", F.coalesce("_new", "_comp").alias("_comp")), "minhash-components")
+
+
 def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """Components (_id, _comp) of the documents in ``nodes`` (_id, _n, _keys) that share a bucket with another."""
     keyed = nodes.select("_id", "_n", F.explode("_keys").alias("_key"))
@@ -169,54 +190,27 @@ def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     ids = materialize(members.select("_id").distinct(), "minhash-nodes")
     sets = materialize(_sets(docs, ids, id_col, text_col, k).dropDuplicates(["_id"]), "minhash-sets")
 
-    # first round: the smallest identifier of each bucket is its centre
-    members = members.withColumn("_comp", F.col("_id"))
+    # the smallest identifier of each bucket is its centre
     least = members.groupBy("_key").agg(F.min(F.struct("_id", "_n")).alias("_least"))
     centres = least.select("_key", F.col("_least._id").alias("_id"), F.col("_least._n").alias("_n"),
                            F.col("_least._id").alias("_comp"))
-    done = materialize(_pairs(members, centres, percent), "minhash-pairs")
-    links = materialize(_confirmed(done, sets, percent), "minhash-links")
-    comps = components(ids, links)
-
-    first = centres.select("_key", F.col("_id").alias("_first"))
-    members = members.drop("_comp").join(first, "_key").withColumn("_used", F.col("_id") == F.col("_first")).drop("_first")
-    while True:
-        now = members.join(comps, "_id")
-        # with one member at most that was no centre, all pairs of a bucket have been compared
-        mixed = (now.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"),
-                                         F.count_if(~F.col("_used")).alias("_unused"))
-                 .where("_lo <> _hi AND _unused > 1").select("_key"))
-        now = materialize(now.join(mixed, "_key", "left_semi"), "minhash-mixed")
-        if now.isEmpty():
-            return comps
-        degree = links.select(F.explode(F.array("x", "y")).alias("_id")).groupBy("_id").agg(
-            F.count(F.lit(1)).alias("_degree"))
-        # members with most links, then smallest; a partial group limit cuts before the shuffle
-        best = Window.partitionBy("_key").orderBy(F.coalesce("_degree", F.lit(0)).desc(), "_id")
-        centres = materialize(now.where("NOT _used").join(degree, "_id", "left")
-                              .withColumn("_place", F.row_number().over(best))
-                              .where(F.col("_place") <= CENTRES), "minhash-centres")
-        fresh = materialize(_pairs(now, centres, percent).join(done, ["x", "y"], "left_anti"), "minhash-pairs")
-        more = materialize(_confirmed(fresh, sets, percent), "minhash-links")
-        done = done.unionByName(fresh)
-        taken = centres.select("_key", "_id", F.lit(True).alias("_taken"))
-        now = (now.join(taken, ["_key", "_id"], "left")
-               .withColumn("_used", F.col("_used") | F.col("_taken").isNotNull()).drop("_taken"))
-        if more.isEmpty():
-            break
-        links, members = links.unionByName(more), now.drop("_comp")
-        comps = components(ids, links)
-
-    # the rest exactly: members that were no centre, of buckets where these are of several components
-    unused = now.where("NOT _used")
-    mixed = (unused.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"))
-             .where("_lo <> _hi").select("_key"))
-    rest = materialize(unused.join(mixed, "_key", "left_semi").select("_id", "_n", "_comp").distinct(), "minhash-rest")
-    if rest.isEmpty():
-        return comps
-    fresh = materialize(_alike(rest, sets, percent).join(done, ["x", "y"], "left_anti"), "minhash-pairs")
-    more = materialize(_confirmed(fresh, sets, percent), "minhash-links")
-    return comps if more.isEmpty() else components(ids, links.unionByName(more))
+    links = materialize(_confirmed(_pairs(members.withColumn("_comp", F.col("_id")), centres, percent), sets, percent),
+                        "minhash-links")
+    comps = _merged(ids.select("_id", F.col("_id").alias("_comp")), links)
+
+    # then the member with most links, of buckets that are mixed
+    now = materialize(_mixed(members, comps), "minhash-mixed")
+    degree = links.select(F.explode(F.array("x", "y")).alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("_degree"))
+    linked = now.join(degree, "_id", "left").select("_key", F.struct(
+        F.coalesce("_degree", F.lit(0)).alias("d"), (-F.col("_id")).alias("i"), "_id", "_n", "_comp").alias("_m"))
+    best = linked.groupBy("_key").agg(F.max("_m").alias("_m")).select("_key", "_m._id", "_m._n", "_m._comp")
+    more = materialize(_confirmed(_pairs(now, best, percent), sets, percent), "minhash-links")
+    comps = _merged(comps, more)
+
+    # the rest exactly
+    rest = materialize(_mixed(now.drop("_comp"), comps).select("_id", "_n", "_comp").distinct(), "minhash-rest")
+    more = materialize(_confirmed(_alike(rest, sets, percent), sets, percent), "minhash-links")
+    return _merged(comps, more)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstar.llm.text import Rolling, anchors, batches_of_texts, joined, mix, word_spans
+from jobstar.llm.text import Rolling, anchors, batches_of_texts, joined, mix, word_hashes, word_spans
 from jobstar.session import discard, materialize
 
 NO_ID = -(1 << 63)
@@ -57,7 +57,7 @@ class Symbols:
         self.data, self.words = data, words
         if words:
             self.begin, self.end = word_spans(data)
-            self.values = Rolling(data).of(self.begin, self.end)
+            self.values = word_hashes(data, self.begin, self.end)
             self.starts, self.ends = np.searchsorted(self.begin, starts), np.searchsorted(self.begin, ends)
         else:
             self.values, self.starts, self.ends = data, starts, ends

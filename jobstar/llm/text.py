@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,18 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of BLAKE2 of each word: no text can be written so that its words collide, as with a polynomial.
+
+    Distinct words of the slice are hashed once each.
+    """
+    offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), begin.size, [
+        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[~IS_SPACE[data]]))]).dictionary_encode()
+    digests = b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words.dictionary.to_pylist())
+    return np.frombuffer(digests, "<u8")[words.indices.to_numpy(zero_copy_only=False)]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -188,3 +188,39 @@ def test_fm_index_counts():
                     break
             expected = sum(d[i:i + n] == pattern for d in documents for i in range(len(d) - n + 1))
             assert max(0, int(high[0] - low[0])) == expected
+
+
+def thue_morse(n: int, a: str, b: str) -> str:
+    """A polynomial hash modulo a power of two cannot tell this word from the one with a and b exchanged."""
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+def test_words_that_collide_under_a_polynomial(spark):
+    one, other = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    around = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join([*around, x, *around])) for i, x in enumerate((one, other))]
+    out = {r.doc_id: r.n_removed for r in fm_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out == {0: 0, 1: 0}
+    rows = [(0, one + " x"), (1, other + " x")]
+    out = near_duplicates(spark.createDataFrame(rows, SCHEMA), k=3, percent=85).collect()
+    assert all(r.kept for r in out)
+
+
+@pytest.mark.parametrize("members", [40, 160])
+def test_near_group_of_unlike_members(spark, members):
+    """A group whose members are often unlike each other and the centre, in a fixed number of stored steps."""
+    import jobstar.session as session
+    r = random.Random(members)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(members):
+        words = list(base)
+        for at in r.sample(range(100), r.randrange(12)):
+            words[at] = f"e{r.randrange(300)}"
+        rows.append((i, " ".join(words)))
+    before = len(session._scratch)
+    out = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in
+           near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), k=3, percent=85).collect()}
+    assert out == brute.near(rows, 3, 85)
+    assert len(set(c for _, c, _ in out.values())) > 2
+    assert len(session._scratch) - before < 45
