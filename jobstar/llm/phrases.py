@@ -37,7 +37,7 @@ from jobstar.session import materialize
 BUDGET = 1 << 20  # suffixes of a group
 SHARE = 4096  # a budget is at least all words over this, so no more prefixes than this exceed it
 FILTER_BITS = 1 << 26  # size of a table of frequent words or pairs: 8 MB
-CHUNK = 4 << 20  # bytes of text whose suffixes are added up together
+CHUNK = 1 << 20  # bytes of text whose suffixes are added up together
 SALTS = 64
 SEED = 42  # of Spark's xxhash64
 #: ends of pieces and separators of words, fixed by the patterns [.,;:!?\x0A-\x0D] and [^\x20\x09]+
