@@ -29,6 +29,7 @@ from jobstar.functions.parse import (
     size_range_struct,
 )
 from jobstar.functions.tagging import SKILL_KEYWORDS, with_keyword_tags
+from jobstar.operators.asof import to_base_currency
 from jobstar.operators.board import board_bronze, board_cards, board_detail
 from jobstar.operators.checks import fk_violations, key_report, pk_violations
 from jobstar.operators.conform import (
@@ -47,6 +48,7 @@ from jobstar.operators.star import (
 from jobstar.plans.gold import gold_tables, gold_view
 from jobstar.plans.silver import silver_board_a, silver_board_b, silver_quality_a
 from jobstar.session import materialize, scratch_path
+from jobstar.sources import snapshots
 from jobstar.sources.readers import read_json_records, read_layer, read_raw_records
 from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer, write_tables
 from jobstar.streaming.ingest import land_stream
@@ -1037,19 +1039,8 @@ _RAW_ORDERS = StructType([StructField(n, t) for n, t in (
 _ARRAY_RECORDS = 200_000  # of an array file on average: some 26 MB, read by one task
 
 
-@register("bronze_array_files", """
-SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_totalprice END AS o_totalprice,
-       o_orderpriority, CASE WHEN o_orderkey % 6 <> 1 THEN CAST(2 * (o_orderkey % 5) + 1 AS BIGINT) END AS o_shippriority,
-       CASE WHEN o_orderkey % 10 = 3 AND o_orderkey % 6 = 1 THEN 'o_totalprice,o_shippriority'
-            WHEN o_orderkey % 10 = 3 THEN 'o_totalprice' WHEN o_orderkey % 6 = 1 THEN 'o_shippriority' ELSE '' END AS bad_fields,
-       o_orderstatus AS raw_status, CAST(1 AS BIGINT) AS n_files_of_month
-FROM orders
-""")
-def q_bronze_array_files(spark, d):
-    """A1/A2/A3: JSON array files per order month, one for every
-    ``_ARRAY_RECORDS`` orders begun, with values that do not fit their type,
-    landed record by record. Only those values are null, and the raw record
-    keeps fields that no column reads."""
+def order_array_files(spark: SparkSession, d: str) -> str:
+    """Folder with JSON array files of the orders of each month, under ``orders``."""
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
     price = F.when(k % 10 == 3, F.lit('"n/a"')).otherwise(F.to_json(F.struct(F.col("o_totalprice").alias("v"))).substr(
@@ -1066,6 +1057,23 @@ def q_bronze_array_files(spark, d):
               .agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value")))
     root = scratch_path(spark, "raw")
     files.write.partitionBy("month", "part").text(f"{root}/orders")
+    return root
+
+
+@register("bronze_array_files", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       o_orderpriority, CASE WHEN o_orderkey % 6 <> 1 THEN CAST(2 * (o_orderkey % 5) + 1 AS BIGINT) END AS o_shippriority,
+       CASE WHEN o_orderkey % 10 = 3 AND o_orderkey % 6 = 1 THEN 'o_totalprice,o_shippriority'
+            WHEN o_orderkey % 10 = 3 THEN 'o_totalprice' WHEN o_orderkey % 6 = 1 THEN 'o_shippriority' ELSE '' END AS bad_fields,
+       o_orderstatus AS raw_status, CAST(1 AS BIGINT) AS n_files_of_month
+FROM orders
+""")
+def q_bronze_array_files(spark, d):
+    """A1/A2/A3: JSON array files per order month, one for every
+    ``_ARRAY_RECORDS`` orders begun, with values that do not fit their type,
+    landed record by record. Only those values are null, and the raw record
+    keeps fields that no column reads."""
+    root = order_array_files(spark, d)
     land_bronze({"orders": read_raw_records(spark, f"{root}/orders", _RAW_ORDERS)}, root)
     bronze = read_layer(spark, root, "bronze", "orders")
     per_month = (bronze.select(F.regexp_extract("source_file", "month=([0-9-]+)", 1).alias("m"), "source_file").distinct()
@@ -1076,6 +1084,54 @@ def q_bronze_array_files(spark, d):
                        F.get_json_object("raw", "$.status").alias("raw_status"), "n_files_of_month")
 
 
+@register("array_blocks", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       o_orderpriority, CASE WHEN o_orderkey % 6 <> 1 THEN CAST(2 * (o_orderkey % 5) + 1 AS BIGINT) END AS o_shippriority,
+       o_orderstatus AS raw_status, strftime(o_orderdate, '%Y-%m') AS month
+FROM orders
+""")
+def q_array_blocks(spark, d):
+    """JSON array files cut into blocks that many tasks read, each record on its own."""
+    rows = read_raw_records(spark, f"{order_array_files(spark, d)}/orders", _RAW_ORDERS, split=True)
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_shippriority",
+                       F.get_json_object("raw", "$.status").alias("raw_status"),
+                       F.regexp_extract("source_file", "month=([0-9-]+)", 1).alias("month"))
+
+
+@register("incremental_latest", ORACLE["dedup_latest"])
+def q_incremental_latest(spark, d):
+    """W1/W3 by instalments: orders come as files in three instalments; each time only the new files are
+    read and folded into the kept table. Every instalment is asked for twice, the second time there is nothing new."""
+    o = table(spark, d, "orders")
+    src, root, ckpt = (scratch_path(spark, n) for n in ("instalments", "kept", "fold-ckpt"))
+    for i in range(3):
+        o.where(F.pmod("o_orderkey", F.lit(3)) == i).write.mode("append").parquet(src)
+        for _ in range(2):
+            snapshots.fold_new_files(spark, src, ckpt, root, "orders", ["o_custkey"], ["o_orderdate"], buckets=8)
+    return snapshots.read_snapshot(spark, root)["orders"].select(*o.columns)
+
+
+@register("asof_rates", """
+WITH rates AS (
+  SELECT l_returnflag AS currency, CAST(date_trunc('month', l_shipdate) AS DATE) + 14 AS rate_date, count(*) AS rate
+  FROM lineitem GROUP BY ALL),
+f AS (SELECT l_orderkey, l_linenumber, l_returnflag AS currency, CAST(l_shipdate AS DATE) AS day,
+             CAST(floor(l_extendedprice) AS BIGINT) AS amount FROM lineitem)
+SELECT l_orderkey, l_linenumber, f.currency, day, amount,
+       CASE WHEN amount <> 0 THEN amount * CASE WHEN f.currency = 'R' THEN 1 ELSE rate END END AS amount_base
+FROM f ASOF LEFT JOIN rates r ON f.currency = r.currency AND f.day >= r.rate_date
+""")
+def q_asof_rates(spark, d):
+    """C4 with a dated rate table: each line's amount by the rate in force on its day (as-of join; half of all
+    lines have one currency, ``R`` is the base)."""
+    li = table(spark, d, "lineitem")
+    month = F.date_add(F.trunc("l_shipdate", "month"), 14)
+    rates = li.groupBy(F.col("l_returnflag").alias("currency"), month.alias("rate_date")).agg(F.count(F.lit(1)).alias("rate"))
+    f = li.select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("currency"), F.to_date("l_shipdate").alias("day"),
+                  F.floor("l_extendedprice").alias("amount"))
+    return to_base_currency(f, "amount", "currency", "day", rates, base="R", out="amount_base")
+
+
 @register("roundtrip_table", "SELECT * FROM supplier")
 def q_roundtrip_table(spark, d):
     """Create-or-replace a warehouse table, then read it."""
@@ -1474,6 +1530,29 @@ def q_gold_roundtrip(spark, d):
     return reduce(DataFrame.unionByName, counts)
 
 
+_GOLD_NAMES = ("view", "dim_company", "dim_jobposition", "dim_date", "dim_workform", "dim_skills", "fact_job", "fact_jobskill")
+_BOTH_SQL = "SELECT * FROM silver UNION ALL BY NAME SELECT * FROM silver_b"
+_COUNTS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _GOLD_NAMES)
+
+
+@register("gold_snapshots", f"""
+SELECT CAST(1 AS INTEGER) AS version, * FROM ({_GOLD_SQL.replace(_BOTH_SQL, "SELECT * FROM silver")} {_COUNTS_SQL})
+UNION ALL SELECT CAST(2 AS INTEGER), * FROM ({_GOLD_SQL} {_COUNTS_SQL})
+""")
+def q_gold_snapshots(spark, d):
+    """The eight gold tables published as one, first of board A, then of both boards; both versions
+    read back through their manifests."""
+    root = scratch_path(spark, "gold-snapshots")
+    a, b = silver_board_a(postings_bronze(spark, d)), silver_board_b(api_bronze(spark, d))
+    counts = []
+    for silvers in ([a], [a, b]):
+        view = materialize(gold_view(silvers), "gold-view")
+        version = snapshots.publish(spark, root, {"view": view, **gold_tables(view)})
+        counts += [t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(version).alias("version"), F.lit(n).alias("table_name"), "n_rows")
+                   for n, t in snapshots.read_snapshot(spark, root, version=version).items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @register("gold_breakdowns", _UNION_VIEW_SQL + """
 SELECT kind, name, count(*) AS n_postings FROM (
   SELECT 'city' AS kind, city AS name FROM view UNION ALL SELECT 'level', level FROM view

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from jobstar.sources.arrays import array_elements
+
 
 def layer_path(root: str, layer: str, source: str, prefix: str = "") -> str:
     """``{root}/{layer}/{prefix}{source}/{source}_jobs.parquet``, the medallion
@@ -44,7 +46,7 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType,
     return df
 
 
-def read_raw_records(spark: SparkSession, path: str, schema: StructType, lines: bool = False) -> DataFrame:
+def read_raw_records(spark: SparkSession, path: str, schema: StructType, lines: bool = False, split: bool = False) -> DataFrame:
     """A1/A2 for landing: every record on its own, nothing dropped.
 
     Each file holds one JSON array of records, or one record per line with
@@ -53,9 +55,12 @@ def read_raw_records(spark: SparkSession, path: str, schema: StructType, lines:
     alone are null); ``source_file``; and for a file or line that is no JSON one row of nulls with the
     file's name in ``_corrupt_record``. Whole numbers that come with decimals are rounded.
 
-    A file with an array is read by one task and must fit into its memory;
-    JSON lines split.
+    A file with an array is read by one task and must fit into its memory; with ``split`` it is cut into
+    blocks for many tasks, and of a damaged file only the elements that are no JSON give a row of nulls
+    (``sources.arrays``). JSON lines split.
     """
+    if split and not lines:
+        return _typed(array_elements(spark, path).withColumn("__r", F.try_parse_json("value")), schema)
     text = spark.read.text(path, wholetext=not lines).withColumn("source_file", F.col("_metadata.file_path"))
     if lines:
         text = text.where(F.trim("value") != "").withColumn("__r", F.try_parse_json("value"))
@@ -63,6 +68,11 @@ def read_raw_records(spark: SparkSession, path: str, schema: StructType, lines:
         # an empty array has no record; a file that is no JSON has one null row, to be counted
         text = text.withColumn("__all", F.from_json("value", "array<variant>"))
         text = text.where("__all IS NULL OR size(__all) > 0").withColumn("__r", F.explode_outer("__all"))
+    return _typed(text, schema)
+
+
+def _typed(text: DataFrame, schema: StructType) -> DataFrame:
+    """The fields of ``schema`` out of the record ``__r`` of each row of ``text``."""
     cols, bad = [], []
     for f in schema.fields:
         if isinstance(f.dataType, (IntegerType, LongType)):

@@ -24,15 +24,15 @@ def write_layer(df: DataFrame, root: str, layer: str, source: str, prefix: str =
     return path
 
 
-def land_bronze(sources: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """A3/A4: land each raw source as bronze Parquet; an empty or missing
+def land_bronze(sources: dict[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:
+    """A3/A4: land each raw source as bronze Parquet, in place of what is there or added to it; an empty or missing
     source is skipped with a warning (``isEmpty`` reads at most one row)."""
     written = {}
     for name, df in sources.items():
         if df is None or df.isEmpty():
             log.warning("source %r is empty or missing; skipped", name)
             continue
-        written[name] = write_layer(df, root, "bronze", name)
+        written[name] = write_layer(df, root, "bronze", name, mode=mode)
     return written
 
 
