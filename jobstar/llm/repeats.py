@@ -28,7 +28,6 @@ from jobstar.llm.text import Rolling, anchors, batches_of_texts, joined, mix, wo
 from jobstar.session import discard, materialize
 
 NO_ID = -(1 << 63)
-_ADDED = ("_id", "_k", "_g", "_c", "_at", "_list", "_text")
 
 
 @dataclass(frozen=True)
@@ -75,7 +74,7 @@ def _pack(place, left, right):
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Identifier and hash of the text tell rows apart; a null identifier counts as the smallest."""
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
-                       F.hash(F.col(text_col)).alias("_k"), F.col(text_col).cast("string").alias("_text"))
+                       F.xxhash64(F.col(text_col)).alias("_k"), F.col(text_col).cast("string").alias("_text"))
 
 
 def _anchor_rows(rows: DataFrame, kind: Kind) -> DataFrame:
@@ -94,7 +93,7 @@ def _anchor_rows(rows: DataFrame, kind: Kind) -> DataFrame:
                  part.column("_id").take(take), part.column("_k").take(take),
                  pa.array(_pack(at - s.starts[doc], left, right))], names=["_g", "_c", "_id", "_k", "_at"])
 
-    return rows.mapInArrow(run, "_g bigint, _c bigint, _id bigint, _k int, _at bigint")
+    return rows.mapInArrow(run, "_g bigint, _c bigint, _id bigint, _k bigint, _at bigint")
 
 
 _CONTEXT = "_g bigint, _c bigint, _id bigint, _left int, _symbols binary, _cores array<bigint>, _spans array<bigint>, _windows array<bigint>"
@@ -267,9 +266,13 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 def without_repeats(docs: DataFrame, kind: Kind, solve: Solver, id_col: str, text_col: str,
                     names: tuple[str, str, str, str]) -> DataFrame:
     """``docs`` with total and removed symbols, removed spans and what is kept, under ``names``."""
-    docs = docs.drop(*names, *_ADDED)
+    docs = docs.drop(*names)
+    columns = docs.columns
+    own = [f"c{i}" for i in range(len(columns))]  # no helper column has such a name
+    id_col, text_col = own[columns.index(id_col)], own[columns.index(text_col)]
+    docs = docs.toDF(*own)
     spans = repeated_spans(keyed(docs, id_col, text_col), kind, solve)
-    key = {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_k": F.hash(F.col(text_col))}
+    key = {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_k": F.xxhash64(F.col(text_col))}
     rows = docs.withColumns(key).join(spans, ["_id", "_k"], "left")
     rows = rows.select(*docs.columns, "_list")
     kept_type = "string" if kind.words else "binary"
@@ -296,10 +299,10 @@ def without_repeats(docs: DataFrame, kind: Kind, solve: Solver, id_col: str, tex
                 gone.append(sum(b - a for a, b in cuts))
                 spans_of.append([{"a": a, "b": b} for a, b in cuts])
             kind_of = pa.string() if kind.words else pa.binary()
-            columns = [part.column(f) for f in part.schema.names if f != "_list"]
+            rest = [part.column(f) for f in part.schema.names if f != "_list"]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                [*rest, pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(spans_of, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(kept, kind_of)],
                 names=[*(f for f in part.schema.names if f != "_list"), *names])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*columns, *names)

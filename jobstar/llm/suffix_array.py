@@ -13,7 +13,10 @@ common prefix of a whole window are repeats.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,7 +132,20 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def cleaned(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text; a character that is cut apart goes whole."""
     columns = docs.columns
-    out = suffix_dedup(docs, text_col=text_col, **options)
-    kept = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
-    text = F.when(F.col("n_removed") > 0, kept).otherwise(F.col(text_col))
-    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in columns])
+    own = [f"c{i}" for i in range(len(columns))]
+    text = own[columns.index(text_col)]
+    names = {"id_col": own[columns.index(options.pop("id_col", "doc_id"))], "text_col": text}
+    out = suffix_dedup(docs.toDF(*own), **names, **options).select(*own, "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(text).to_pylist()
+            for i, spans in enumerate(b.column("spans").to_pylist()):
+                if spans:
+                    raw = texts[i].encode()
+                    edges = [0, *(x for s in spans for x in (s["a"], s["b"])), len(raw)]
+                    texts[i] = "".join(raw[x:y].decode("utf-8", "ignore") for x, y in zip(edges[::2], edges[1::2]))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text else b.column(c) for c in own], names=own)
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema if f.name != "spans")
+    return out.mapInArrow(run, schema).toDF(*columns)

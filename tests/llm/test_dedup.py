@@ -224,3 +224,29 @@ def test_near_group_of_unlike_members(spark, members):
     assert out == brute.near(rows, 3, 85)
     assert len(set(c for _, c, _ in out.values())) > 2
     assert len(session._scratch) - before < 45
+
+
+def test_cleaned_leaves_other_characters_alone(spark):
+    """A replacement character of the text itself stays; characters cut apart at either end of a removed run go."""
+    rows = [(1, "\ufffdx" + "é" * 150 + "\ufffdy"), (2, "z" + "é" * 150 + "u")]
+    assert sorted((r.doc_id, r.text) for r in cleaned(spark.createDataFrame(rows, SCHEMA)).collect()) == [(1, "\ufffdx\ufffdy"), (2, "zu")]
+
+
+@pytest.mark.parametrize("operator", [fm_dedup, suffix_dedup])
+def test_columns_named_like_helpers(spark, operator):
+    names = ["_id", "_k", "_g", "_c", "_at", "_list", "_text", "c0", "c1", "odd name"]
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, text, *range(len(names))) for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{n}` int" for n in names))
+    out = operator(docs).collect()
+    assert len(out) == 2 and all([r[n] for n in names] == list(range(len(names))) for r in out)
+    assert max(r.n_removed for r in out) > 0
+
+
+def test_repeated_and_null_identifiers_by_text(spark):
+    """Rows of one identifier are told apart by their texts: only those that repeat lose something."""
+    r = random.Random(9)
+    same = brute.sentence(r, 60)
+    rows = [(None, brute.sentence(r, 60)) for _ in range(50)] + [(None, same), (3, same)] + [(3, brute.sentence(r, 60)) for _ in range(50)]
+    out = suffix_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(x.n_removed for x in out if x.n_removed) == [len(same.encode())] * 2
