@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -209,35 +210,56 @@ def subtrees(leaves: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, total, child, below = None, 0, None, 0  # open node of two words, its open child, and their counts
-        done: list[tuple] = []
 
-        def close_child() -> None:
-            if child is not None and below >= least:
-                done.append((False, *node[1:], child, below))
+        def one(spread: bool, word: bytes | None, count: int) -> pa.RecordBatch:
+            return _batch(schema, *(pa.array([x], t) for x, t in zip((spread, *node[1:], word, count), schema.values())))
 
-        def close() -> None:
-            close_child()
-            if node is not None and (total >= least or node[0] < 0):
-                done.append((node[0] < 0, *node[1:], None, total))
+        def close_child() -> Iterator[pa.RecordBatch]:
+            if child and below >= least:
+                yield one(False, child, below)
 
-        def flush() -> pa.RecordBatch:
-            out = _batch(schema, *(pa.array([d[i] for d in done], t) for i, t in enumerate(schema.values())))
-            done.clear()
-            return out
+        def close() -> Iterator[pa.RecordBatch]:
+            if node is not None:
+                yield from close_child()
+                if total >= least or node[0] < 0:
+                    yield one(node[0] < 0, None, total)
 
         for b in batches:
-            for *path, w3, f in zip(*(b.column(c).to_pylist() for c in ("_group", *names, "f"))):
-                if path != node:
-                    close()
-                    node, total, child, below = path, 0, None, 0
-                if w3 != child:
-                    close_child()
-                    child, below = w3, 0
-                total += f
-                below += f
-            yield flush()
-        close()
-        yield flush()
+            if not b.num_rows:
+                continue
+            third = pc.fill_null(b.column("w3"), b"")  # no word is empty
+            group, f = b.column("_group").to_numpy(), b.column("f").to_numpy()
+            differs = lambda c: pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
+            new_node = np.ones(b.num_rows, bool)
+            new_node[1:] = group[1:] != group[:-1]
+            for c in names[:3]:
+                new_node[1:] |= differs(b.column(c))
+            new_child = new_node.copy()
+            new_child[1:] |= differs(third)
+            nodes, children = np.flatnonzero(new_node), np.flatnonzero(new_child)
+            totals, belows = np.add.reduceat(f, nodes), np.add.reduceat(f, children)
+            first = (int(group[0]), *(b.column(c)[0].as_py() for c in names[:3]))
+            if first == node:
+                totals[0] += total
+                if third[0].as_py() == child:
+                    belows[0] += below
+                else:
+                    yield from close_child()
+            else:
+                yield from close()
+            # the last ones stay open
+            last = int(nodes[-1])
+            node, total = (int(group[last]), *(b.column(c)[last].as_py() for c in names[:3])), int(totals[-1])
+            child, below = third[int(children[-1])].as_py(), int(belows[-1])
+            nodes, totals, children, belows = nodes[:-1], totals[:-1], children[:-1], belows[:-1]
+            often = (totals >= least) | (group[nodes] < 0)
+            two = b.take(pa.array(nodes[often]))
+            yield _batch(schema, group[nodes[often]] < 0, *(two.column(c) for c in names[:3]), pa.nulls(len(two)), totals[often])
+            words = pc.binary_length(third).to_numpy() > 0
+            often = (belows >= least) & words[children]
+            three = b.take(pa.array(children[often]))
+            yield _batch(schema, np.zeros(len(three), bool), *(three.column(c) for c in names), belows[often])
+        yield from close()
 
     dealt = leaves.repartition("_group").sortWithinPartitions("_group", *names)
     return dealt.mapInArrow(run, "spread boolean, lang binary, w1 binary, w2 binary, w3 binary, f bigint")
