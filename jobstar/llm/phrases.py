@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from jobstar.llm.text import batches_of_texts, joined, lower_ascii, mix
 from jobstar.session import materialize
 
-BUDGET = 1 << 20  # suffixes of a group
+BUDGET = 1 << 20  # most suffixes of a group
+GROUPS_PER_TASK = 4  # a group has at most this part of a task's even share, so that few groups in one task weigh little
 SHARE = 4096  # a budget is at least all words over this, so no more prefixes than this exceed it
 FILTER_BITS = 1 << 26  # size of a table of frequent words or pairs: 8 MB
 CHUNK = 1 << 20  # bytes of text whose suffixes are added up together
@@ -275,7 +276,8 @@ def counted_phrases(docs: DataFrame, text_col: str, lang_col: str, least: int, b
                        F.col(f"`{text_col}`").cast("string").alias("_text"))
     words = materialize(word_counts(docs).where(f"w1 IS NULL OR f >= {int(least)}"), "phrases-words")
     total = words.where("w1 IS NULL").agg(F.sum("f")).first()[0] or 0
-    budget = max(budget, -(-total // SHARE))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    budget = max(min(budget, total // (GROUPS_PER_TASK * tasks)), -(-total // SHARE), 1)
     over, fits = F.col("f") > budget, F.col("f") <= budget
     frequent = words.where("w1 IS NOT NULL").select(_word_hash().alias("h"), "f")
     unsigned = lambda h: h & ((1 << 64) - 1)
