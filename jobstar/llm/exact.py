@@ -31,7 +31,7 @@ _STATE_CONF = {
     f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
     f"{_STORE}.rocksdb.maxWriteBufferNumber": "2",
 }
-_ADDED = ("_norm", "_digest", "_id", "_best", "_n", "_keep", "_size", "_order", "_key")
+RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
 def ascii_lower(text: Column) -> Column:
@@ -96,16 +96,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     row with the largest identifier is kept. A null text counts as empty, a
     null identifier as the smallest. Rows that repeat both text and identifier
     count each in ``group_size`` and one of them is kept. An empty table gives
-    an empty result. Columns of ``docs`` that carry a result's name are replaced.
+    an empty result. Columns of ``docs`` that carry a result's name are replaced, all others kept, whatever their names.
     """
-    docs = docs.drop("keep_id", "group_size", "kept", "text_sha256", *_ADDED)
-    columns = docs.columns
+    docs = docs.drop(*RESULT)
+    names = docs.columns
+    facts = docs.select(F.sha2(ascii_lower(F.col(text_col)), 256).alias("_digest"), F.col(id_col).alias("_id"),
+                        _locator(docs).alias("_locator"))
+    columns = [f"c{i}" for i in range(len(names))]  # no helper column has such a name
+    id_col, text_col = columns[names.index(id_col)], columns[names.index(text_col)]
+    docs = docs.toDF(*columns)
     norm = ascii_lower(F.col(text_col))
     digest = F.sha2(norm, 256)
-    facts = docs.select(digest.alias("_digest"), F.col(id_col).alias("_id"), _locator(docs).alias("_locator"))
     if facts.isEmpty():
         return docs.select("*", F.col(id_col).alias("keep_id"), F.lit(0).cast("long").alias("group_size"),
-                           F.lit(True).alias("kept"), digest.alias("text_sha256"))
+                           F.lit(True).alias("kept"), digest.alias("text_sha256")).toDF(*names, *RESULT)
     state = materialize(digest_state(facts), "dedup-groups")
     rows = docs.withColumn("_digest", digest)
     single = (rows.join(state.where("_n = 1").select("_digest"), "_digest")
@@ -123,4 +127,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = F.row_number().over(Window.partitionBy("_digest", "_key", id_col).orderBy("_order"))
     hit = hit.select(*columns, F.col("_keep._id").alias("keep_id"), F.col("_size").alias("group_size"),
                      (F.col("_best") & (first == 1)).alias("kept"), F.col("_digest").alias("text_sha256"))
-    return single.unionByName(hit)
+    return single.unionByName(hit).toDF(*names, *RESULT)

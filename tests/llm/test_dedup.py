@@ -38,6 +38,16 @@ def test_exact_edges(spark):
     assert exact_dedup(docs.limit(0)).collect() == []
 
 
+def test_exact_keeps_columns_named_like_helpers(spark):
+    names = ["_norm", "_digest", "_id", "_best", "_n", "_keep", "_size", "_order", "_key", "_locator", "c0", "odd name"]
+    rows = [(1, "a", *range(len(names))), (2, "A", *range(len(names))), (3, "b", *range(len(names)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{n}` int" for n in names))
+    out = exact_dedup(docs)
+    assert out.columns == [*docs.columns, "keep_id", "group_size", "kept", "text_sha256"]
+    assert all([r[n] for n in names] == list(range(len(names))) for r in out.collect())
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out.collect()) == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True)]
+
+
 def test_fm_dedup(docs):
     expected = brute.earlier_words(brute.rows())
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in fm_dedup(docs).collect()}
