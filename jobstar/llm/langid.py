@@ -153,11 +153,17 @@ class LanguageModel:
 
 
 def fit_languages(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> LanguageModel | None:
-    """Fit on at most ``SAMPLE_PER_LANG`` rows of each language, in order of a hash of the identifier."""
-    rows = docs.where(learned_fold(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                      & (F.length(text_col) <= SAMPLE_CHARS))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    sample = (rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
+    """Fit on at most ``SAMPLE_PER_LANG`` rows of each language, in order of a hash of the identifier.
+
+    Texts of at most ``SAMPLE_CHARS`` characters come first; of a longer one so many are taken, from a hashed place on.
+    """
+    rows = docs.where(learned_fold(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).cast("string").alias("_text"))
+    over = F.greatest(F.length("_text") - SAMPLE_CHARS, F.lit(0))
+    rows = rows.select("_id", "_lang", (over > 0).alias("_long"), F.substring(
+        "_text", (F.pmod(F.xxhash64("_id"), over.cast("long") + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"))
+    order = Window.partitionBy("_lang").orderBy("_long", F.xxhash64("_id"), "_id")
+    sample = (rows
               .withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= SAMPLE_PER_LANG)
               .orderBy("_lang", "_place").select("_text", "_lang").collect())
     return LanguageModel([r[0] for r in sample], [r[1] for r in sample]) if sample else None

@@ -27,7 +27,7 @@ CAPACITY, END_ID = 4096, 1
 CACHE_WORDS = 600_000  # words a generation of a Python worker's cache holds
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
-_ADDED = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "_part", "_rank", "_before")
+RESULT = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 class WordTokenizer:
@@ -248,9 +248,12 @@ def pack_documents(docs: DataFrame, path: str, text_col: str = "text", capacity:
     A null or empty text is a document of the end id alone. A document longer
     than ``capacity`` is cut; its last piece may be shorter. Rows that repeat
     are packed each; an empty table gives an empty result. The columns of
-    ``docs`` but the text are kept, those that carry a result's name replaced.
+    ``docs`` but the text are kept whatever their names, those that carry a result's name replaced.
     """
-    docs = docs.drop(*_ADDED)
+    docs = docs.drop(*RESULT)
+    names = [c for c in docs.columns if c != text_col]
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no helper column has such a name
+    docs, text_col = docs.toDF(*own.values()), own[text_col]
     pieces = materialize(tokenised_pieces(docs, path, text_col, capacity, end_id), "packing-pieces")
     counts = {r["length"]: r["n"] for r in  # one row per length at most
               pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -291,4 +294,4 @@ def pack_documents(docs: DataFrame, path: str, text_col: str = "text", capacity:
                 [*b.columns[:-1], pa.array(firsts[i] + rank - ranks[i]), pa.array(offsets[i])],
                 names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
-    return rows.mapInArrow(place, f"{fields}, sequence_id bigint, offset bigint")
+    return rows.mapInArrow(place, f"{fields}, sequence_id bigint, offset bigint").toDF(*names, *RESULT)

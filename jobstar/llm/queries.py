@@ -43,7 +43,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: every page written to WARC archives and read back."""
     from jobstar.llm.warc import warc_roundtrip
     return warc_roundtrip(table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
 
 
 @register("op3_quality")

@@ -35,7 +35,6 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 ARCHIVE_BYTES = 32 << 20  # payload bytes after which a task begins another archive
 DICT_SAMPLES, DICT_BYTES = 200, 64 << 10  # records a dictionary is trained on, and its size
-MAX_RECORD = 1 << 30  # largest record that a reader accepts
 
 RECORD_SCHEMA = ("page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, "
                  "payload_digest string, payload binary, archive string, record_offset bigint, error string")
@@ -174,7 +173,7 @@ def read_archive(read) -> Iterator[tuple[int, dict | WarcError]]:
         data = data or read(1 << 16)
         if not data:
             return
-        frame, parts, used, n = decoder.decompressobj(), [], 0, 0
+        frame, parts, used = decoder.decompressobj(), [], 0
         try:
             while not frame.eof:
                 if not data:
@@ -182,9 +181,6 @@ def read_archive(read) -> Iterator[tuple[int, dict | WarcError]]:
                     if not data:
                         raise WarcError("frame cut short")
                 parts.append(frame.decompress(data))
-                n += len(parts[-1])
-                if n > MAX_RECORD:
-                    raise WarcError("record too long")
                 used += len(data) - len(frame.unused_data)
                 data = frame.unused_data
         except (zstd.ZstdError, WarcError) as e:
@@ -292,7 +288,12 @@ def read_archives(archives: DataFrame, root: str, with_payload: bool = True) ->
 
 
 def warc_roundtrip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` into archives in the shared folder and read them back."""
+    """Write ``pages`` into archives in the shared folder and read them back: a row per page.
+
+    A null payload counts as empty, a null identifier as the largest; of rows that repeat identifier and
+    payload each gives a row. A missing or null ``url`` is left out of the record. An empty table gives an empty
+    result; other columns are not read. ``error`` is null unless an archive was damaged between writing and reading.
+    """
     spark: SparkSession = pages.sparkSession
     root = scratch_path(spark, "warc")
     return read_archives(write_archives(pages, root, id_col, payload_col, min_bytes), root)

@@ -179,6 +179,16 @@ def test_packing_keeps_other_columns(spark):
     assert len(rows) == 3 and {r.sequence_id for r in rows} == {0} and sorted(r.offset for r in rows) == [0, 3, 6]
 
 
+def test_packing_keeps_columns_named_like_helpers(spark):
+    names = ["_part", "_rank", "_before", "_n", "c0", "odd name"]
+    df = spark.createDataFrame([("x", *range(6), 1), ("x y", *range(6), 2)],
+                               "text string, " + ", ".join(f"`{n}` int" for n in names) + ", doc_id bigint")
+    out = pack_documents(df, WORDS)
+    assert out.columns == [*names, "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == {1, 2} and all([r[n] for n in names] == list(range(6)) for r in rows)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_uses_every_piece_once(seed):
     r = random.Random(seed)
@@ -353,6 +363,13 @@ def test_language_edges(spark):
     assert identify_languages(docs.limit(0)).collect() == []
 
 
+def test_languages_with_long_texts_only(spark):
+    """Of texts longer than the sample takes a part is learned from."""
+    pools = {"en": "the thing with ", "ru": "кот дом сад "}
+    docs = spark.createDataFrame([(i, pools[v] * 2000, v) for i, v in enumerate(list(pools) * 6)], "doc_id bigint, text string, lang string")
+    assert all(r.lang == r.lang_pred for r in identify_languages(docs).collect())
+
+
 def test_quality_keeps_columns_named_like_helpers(spark):
     names = ["_hashed", "_lines", "_windows", "_sorted", "_twice", "_total", "_text", "_doc", "_place", "_bits", "c0", "odd name"]
     df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20)), *range(len(names))), (2, None, *range(len(names)))],
