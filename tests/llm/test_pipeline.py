@@ -85,14 +85,16 @@ def test_run(spark):
 
 def test_registered():
     assert sorted(QUERIES) == sorted(f"op{i}_{n}" for i, n in enumerate(
-        ["exact_dedup", "warc", "quality", "fm_index", "packing", "bpe", "minhash", "toxicity", "langid", "suffix_array"], 1))
+        ["exact_dedup", "warc", "quality", "fm_index", "packing", "bpe", "minhash", "toxicity", "langid", "suffix_array",
+         "merge_automaton", "laesa", "era_phrases"], 1))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want = con.execute(ORACLE[name])
     columns = [c[0] for c in want.description]
     got = QUERIES[name](spark, SF).select(*columns)
