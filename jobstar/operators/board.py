@@ -13,74 +13,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstar import schemas
-from jobstar.functions.dom import Element, parse
 from jobstar.functions.keys import row_key
+from jobstar.functions.selectors import Machine, Selector, Step, select
 from jobstar.operators.conform import to_schema
 from jobstar.operators.pages import (
-    ADDRESS_HEADING, CATEGORY_CLASS, CATEGORY_TAGS_CLASS, DEADLINE_CLASS, DESCRIPTION_HEADING, DETAIL_VALUE_CLASS,
-    FIELD_CLASS, GENERAL_CLASS, GENERAL_VALUE_CLASS, HEADER_CLASS, REQUIREMENTS_HEADING, SECTIONS_CLASS, SIZE_LABEL,
-    TAGS_CLASS, VALUE_CLASS,
+    ADDRESS_HEADING, CARD_CITY_CLASS, CARD_COMPANY_CLASS, CARD_LABEL_CLASS, CARD_REMAIN_CLASS, CARD_UPDATED_CLASS,
+    CATEGORY_CLASS, CATEGORY_TAGS_CLASS, DEADLINE_CLASS, DESCRIPTION_HEADING, DETAIL_VALUE_CLASS, FIELD_CLASS,
+    GENERAL_CLASS, GENERAL_VALUE_CLASS, HEADER_CLASS, REQUIREMENTS_HEADING, SECTIONS_CLASS, SIZE_LABEL, TAGS_CLASS,
+    VALUE_CLASS,
 )
 
 CARD_FIELDS = ("href", "title", "company_name", "update_time", "city", "remain_time")
 TEXT_FIELDS = ("salary", "city", "yoe", "deadline_submit", "description", "requirements", "work_address",
                "company_size", "major_field", "level", "num_of_recruit", "work_form", "gender_require")
+GENERAL_FIELDS = ("level", None, "num_of_recruit", "work_form", "gender_require")  # by place
 LIST_FIELDS = ("main_industry", "skills", "area", "relation_fields")
 
 
-def _first(found: list[Element]) -> str | None:
-    return found[0].text() if found else None
+def _after_heading(heading: str) -> Selector:
+    return select(Step("h3", text=heading), Step("div", axis="after"), most=1)
 
 
-def _after_heading(root: Element, heading: str) -> str | None:
-    return _first([d for h in root.find("h3") if h.own_text == heading for d in h.following("div")])
+def _section(n: int) -> Selector:
+    """A value told by the number of its section, so a section without one does not shift the others."""
+    return select(Step("div", SECTIONS_CLASS, once=True), Step("div", nth=n, axis="child"),
+                  Step("div", DETAIL_VALUE_CLASS), most=1)
+
+
+DETAIL = Machine({
+    "salary": _section(1), "city": _section(2), "yoe": _section(3),
+    "deadline_submit": select(Step("div", DEADLINE_CLASS), most=1),
+    "description": _after_heading(DESCRIPTION_HEADING), "requirements": _after_heading(REQUIREMENTS_HEADING),
+    "work_address": _after_heading(ADDRESS_HEADING),
+    "company_size": select(Step("div", text_part=SIZE_LABEL), Step("div", cls_part=VALUE_CLASS, axis="after"), most=1),
+    "major_field": select(Step("div", cls_part=FIELD_CLASS), Step("div", VALUE_CLASS), most=1),
+    "general": select(Step("div", GENERAL_CLASS), Step("div", GENERAL_VALUE_CLASS), most=len(GENERAL_FIELDS)),
+    "main_industry": select(Step("div", TAGS_CLASS), Step("span")),
+    "skills": select(Step("div", CATEGORY_TAGS_CLASS), Step("a")),
+    "area": select(Step("div", CATEGORY_CLASS), Step("div", CATEGORY_TAGS_CLASS), Step("span"), Step("a"))})
+
+_LINK = (Step("h3"), Step("a", once=True))
+_LABEL = Step("div", CARD_LABEL_CLASS)
+CARDS = Machine({
+    "href": select(*_LINK, attr="href", most=1), "title": select(*_LINK, Step("span"), most=1),
+    "company_name": select(Step("a", CARD_COMPANY_CLASS), most=1),
+    "update_time": select(Step("label", CARD_UPDATED_CLASS), most=1),
+    "city": select(_LABEL, Step("label", CARD_CITY_CLASS), most=1),
+    "remain_time": select(_LABEL, Step("label", CARD_REMAIN_CLASS), most=1)}, each=(Step("div", HEADER_CLASS),))
 
 
 def detail_of(html: str | None) -> dict:
-    """Fields of a detail page; an absent element is null, an absent list empty.
-
-    Salary, city and experience are told by the number of their section, so a
-    section without a value does not shift the others.
-    """
-    root = parse(html)
-    out: dict = dict.fromkeys(TEXT_FIELDS)
-    sections = [d for s in root.find("div", SECTIONS_CLASS)[:1] for d in s.elements if d.tag == "div"]
-    for name, section in zip(("salary", "city", "yoe"), sections):
-        out[name] = _first(section.find("div", DETAIL_VALUE_CLASS))
-    out["deadline_submit"] = _first(root.find("div", DEADLINE_CLASS))
-    for name, heading in (("description", DESCRIPTION_HEADING), ("requirements", REQUIREMENTS_HEADING),
-                          ("work_address", ADDRESS_HEADING)):
-        out[name] = _after_heading(root, heading)
-    out["company_size"] = _first([v for d in root.find("div") if SIZE_LABEL in d.own_text
-                                  for v in d.following("div") if VALUE_CLASS in v.attrs.get("class", "")])
-    out["major_field"] = _first([v for d in root.find("div") if FIELD_CLASS in d.attrs.get("class", "")
-                                 for v in d.find("div", VALUE_CLASS)])
-    general = [v.text() for g in root.find("div", GENERAL_CLASS) for v in g.find("div", GENERAL_VALUE_CLASS)]
-    for name, place in (("level", 0), ("num_of_recruit", 2), ("work_form", 3), ("gender_require", 4)):
-        out[name] = general[place] if place < len(general) else None
-    out["main_industry"] = [s.text() for d in root.find("div", TAGS_CLASS) for s in d.find("span")]
-    tags = root.find("div", CATEGORY_TAGS_CLASS)
-    out["skills"] = [a.text() for d in tags for a in d.find("a")]
-    out["area"] = [a.text() for c in root.find("div", CATEGORY_CLASS) for d in c.find("div", CATEGORY_TAGS_CLASS)
-                   for s in d.find("span") for a in s.find("a")]
+    """Fields of a detail page; an absent element is null, an absent list empty."""
+    found = DETAIL.row(html)
+    general = found.pop("general")
+    found |= {name: general[i:i + 1] for i, name in enumerate(GENERAL_FIELDS) if name}
+    out = {name: found[name][0] if found[name] else None for name in TEXT_FIELDS}
+    out |= {name: found[name] for name in ("main_industry", "skills", "area")}
     out["relation_fields"] = out["skills"][:max(0, len(out["skills"]) - len(out["area"]))]
     return out
 
 
 def cards_of(html: str | None) -> list[dict]:
-    """Cards of a listing page in order; a card that lacks a field is skipped."""
-    out = []
-    for box in parse(html).find("div", HEADER_CLASS):
-        link = [a for h in box.find("h3") for a in h.find("a")][:1]
-        label = [d for d in box.find("div", "label-content")]
-        found = {
-            "title": [s for a in link for s in a.find("span")],
-            "company_name": box.find("a", "company"), "update_time": box.find("label", "deadline"),
-            "city": [x for d in label for x in d.find("label", "address")],
-            "remain_time": [x for d in label for x in d.find("label", "time")]}
-        if link and all(found.values()):
-            out.append({"href": link[0].attrs.get("href"), **{k: v[0].text() for k, v in found.items()}})
-    return out
+    """Cards of a listing page in order; a card that lacks a field is skipped. A card inside another is its own."""
+    return [{name: values[0] for name, values in card.items()} for card in CARDS.rows(html) if all(card.values())]
 
 
 def _mapped(pages: DataFrame, keep: list[str], html_col: str, make, fields: dict[str, pa.DataType], ddl: str) -> DataFrame:

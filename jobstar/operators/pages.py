@@ -31,6 +31,11 @@ TAGS_CLASS = "job-tags"
 CATEGORY_CLASS = "box-category"
 CATEGORY_TAGS_CLASS = "box-category-tags"
 HEADER_CLASS = "box-header"
+CARD_COMPANY_CLASS = "company"
+CARD_UPDATED_CLASS = "deadline"
+CARD_LABEL_CLASS = "label-content"
+CARD_CITY_CLASS = "address"
+CARD_REMAIN_CLASS = "time"
 # -------------------------------------------------------------------------
 
 

@@ -926,8 +926,10 @@ def _board_pages(spark, d) -> DataFrame:
         "</span></a></h3>", box(k % 9 != 0, '<a class="company">Cty &quot;', F.col("p_brand"), "&quot;</a>"),
         '<label class="deadline">', size, ' ngày</label><div class="label-content"><label class="address">Hà Nội</label>',
         '<label class="time">Còn ', size, " ngày</label></div></div></div>")
-    return table(spark, d, "part").select("p_partkey", "p_size", detail.alias("detail"), card.alias("card"),
-                                          _joined("https://x/", k.cast("string"), "?a=1&b=2").alias("href"))
+    # one row group here: spread before the wide pages are made, as pages of many files would be
+    part = table(spark, d, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+    return part.select("p_partkey", "p_size", detail.alias("detail"), card.alias("card"),
+                       _joined("https://x/", k.cast("string"), "?a=1&b=2").alias("href"))
 
 
 _BOARD_SQL = """
