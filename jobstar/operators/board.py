@@ -6,8 +6,6 @@ merged per link into the 22-column landing record.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +18,7 @@ from jobstar.operators.pages import (
     ADDRESS_HEADING, CARD_CITY_CLASS, CARD_COMPANY_CLASS, CARD_LABEL_CLASS, CARD_REMAIN_CLASS, CARD_UPDATED_CLASS,
     CATEGORY_CLASS, CATEGORY_TAGS_CLASS, DEADLINE_CLASS, DESCRIPTION_HEADING, DETAIL_VALUE_CLASS, FIELD_CLASS,
     GENERAL_CLASS, GENERAL_VALUE_CLASS, HEADER_CLASS, REQUIREMENTS_HEADING, SECTIONS_CLASS, SIZE_LABEL, TAGS_CLASS,
-    VALUE_CLASS,
+    VALUE_CLASS, mapped_pages,
 )
 
 CARD_FIELDS = ("href", "title", "company_name", "update_time", "city", "remain_time")
@@ -78,34 +76,16 @@ def cards_of(html: str | None) -> list[dict]:
     return [{name: values[0] for name, values in card.items()} for card in CARDS.rows(html) if all(card.values())]
 
 
-def _mapped(pages: DataFrame, keep: list[str], html_col: str, make, fields: dict[str, pa.DataType], ddl: str) -> DataFrame:
-    rows = pages.select(*keep, F.col(html_col).alias("__html"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            taken, found = [], []
-            for i, html in enumerate(b.column("__html").to_pylist()):
-                for row in make(html):
-                    taken.append(i)
-                    found.append(row)
-            kept = [b.column(c).take(pa.array(taken, pa.int64())) for c in keep]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, *(pa.array([r[n] for r in found], t) for n, t in fields.items())], names=[*keep, *fields])
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__html")
-    return rows.mapInArrow(run, f"{kept}, {ddl}")
-
-
 def board_cards(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
     """One row per complete card of each listing page, numbered in page order."""
-    return _mapped(pages, keep, html_col, lambda h: [{"card_idx": i, **c} for i, c in enumerate(cards_of(h))],
+    return mapped_pages(pages, keep, html_col, lambda h: [{"card_idx": i, **c} for i, c in enumerate(cards_of(h))],
                    {"card_idx": pa.int32(), **dict.fromkeys(CARD_FIELDS, pa.string())},
                    "card_idx int, " + ", ".join(f"{c} string" for c in CARD_FIELDS))
 
 
 def board_detail(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
     """The typed fields and lists of each detail page."""
-    return _mapped(pages, keep, html_col, lambda h: [detail_of(h)],
+    return mapped_pages(pages, keep, html_col, lambda h: [detail_of(h)],
                    {**dict.fromkeys(TEXT_FIELDS, pa.string()), **dict.fromkeys(LIST_FIELDS, pa.list_(pa.string()))},
                    ", ".join([*(f"{c} string" for c in TEXT_FIELDS), *(f"{c} array<string>" for c in LIST_FIELDS)]))
 

@@ -7,12 +7,15 @@ sit in a table, extraction is a projection: regex expressions per row,
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobstar.functions import html as H
+from jobstar.functions.selectors import Machine, Selector, Step
 from jobstar.functions.text import as_col
 
 # ---- fixed values: class names and headings of the scraped board --------
@@ -39,6 +42,40 @@ CARD_REMAIN_CLASS = "time"
 # -------------------------------------------------------------------------
 
 
+def mapped_pages(pages: DataFrame, keep: list[str], html_col: str, make: Callable[[str | None], list[dict]],
+                 fields: dict[str, pa.DataType], ddl: str) -> DataFrame:
+    """The rows that ``make`` finds in each page, with the page's ``keep`` columns, in Arrow batches."""
+    rows = pages.select(*keep, F.col(html_col).alias("__html"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            taken, found = [], []
+            for i, html in enumerate(b.column("__html").to_pylist()):
+                for row in make(html):
+                    taken.append(i)
+                    found.append(row)
+            kept = [b.column(c).take(pa.array(taken, pa.int64())) for c in keep]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, *(pa.array([r[n] for r in found], t) for n, t in fields.items())], names=[*keep, *fields])
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__html")
+    return rows.mapInArrow(run, f"{kept}, {ddl}")
+
+
+def selected(pages: DataFrame, selectors: Mapping[str, Selector], keep: list[str], html_col: str = "html",
+             each: tuple[Step, ...] | None = None) -> DataFrame:
+    """X1, X2, X5, X7 by selectors (``functions.selectors``): a list of matches per selector and page, or per element ``each``.
+
+    For pages whose elements nest, or whose quotes and character references vary; the regular expressions below stay in
+    the JVM and serve pages of plain markup. ``row_idx`` numbers the rows of a page from 0. A page is read once,
+    whatever the number of selectors. A null page is one row of empty lists, or none with ``each``.
+    """
+    machine = Machine(selectors, each)
+    return mapped_pages(pages, keep, html_col, lambda h: [{"row_idx": i, **r} for i, r in enumerate(machine.rows(h))],
+                        {"row_idx": pa.int32(), **dict.fromkeys(selectors, pa.list_(pa.string()))},
+                        ", ".join(["row_idx int", *(f"`{n}` array<string>" for n in selectors)]))
+
+
 def extract_fields(df: DataFrame, html_col: str, fields: dict[str, Column],
                    keep: list[str] | None = None) -> DataFrame:
     """One typed row per page from ``{name: expression}``."""

@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from jobstar import schemas
 from jobstar.functions import html as H
 from jobstar.functions.arrays import (
-    city_district, clean_list, district_from_address, field_of_first, pick, project_field,
+    DISTRICT_PATTERN, city_district, clean_list, district_from_address, field_of_first, pick, project_field,
 )
 from jobstar.functions.dates import DEADLINE_LABEL, deadline_to_date, parse_iso_date
 from jobstar.functions.keys import row_key, stable_key
@@ -28,20 +28,23 @@ from jobstar.functions.parse import (
     currency_to_vnd, decode_work_form, experience_years, headcount, salary_range, size_range,
     size_range_struct,
 )
+from jobstar.functions.selectors import Step, select
 from jobstar.functions.tagging import SKILL_KEYWORDS, with_keyword_tags
 from jobstar.operators.asof import to_base_currency
 from jobstar.operators.board import board_bronze, board_cards, board_detail
-from jobstar.operators.checks import fk_violations, key_report, pk_violations
+from jobstar.operators.checks import fk_violations, key_checks, pk_violations
 from jobstar.operators.conform import (
     required_filter, to_schema, union_sources, with_row_key, with_source,
 )
 from jobstar.operators.dedup import latest_per_key
+from jobstar.operators.history import dimension_history, lookup_version
 from jobstar.operators.joins import lookup
 from jobstar.operators.pages import (
-    cards, envelope_rows, extract_fields, links_indexed, merge_listing_detail, split_head,
+    cards, envelope_rows, extract_fields, links_indexed, merge_listing_detail, selected, split_head,
     with_defaults,
 )
-from jobstar.operators.reports import distribution, top_n
+from jobstar.operators.reports import dated_distribution, distribution, top_n
+from jobstar.operators.sketches import distinct_from_sketches, distinct_sketches
 from jobstar.operators.star import (
     DimRef, build_bridge, build_date_dimension, build_dimension, build_fact, explode_items,
 )
@@ -49,8 +52,8 @@ from jobstar.plans.gold import gold_tables, gold_view
 from jobstar.plans.silver import silver_board_a, silver_board_b, silver_quality_a
 from jobstar.session import materialize, scratch_path
 from jobstar.sources import snapshots
-from jobstar.sources.readers import read_json_records, read_layer, read_raw_records
-from jobstar.sources.sinks import land_bronze, load_warehouse, write_layer, write_tables
+from jobstar.sources.readers import read_envelopes, read_json_records, read_layer, read_raw_records
+from jobstar.sources.sinks import land_bronze, load_warehouse, month_of, write_layer, write_months, write_tables
 from jobstar.streaming.ingest import land_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -424,12 +427,27 @@ FROM conversations WHERE conv_id % 5 <> 0
 def q_envelope_explode(spark, d):
     """Envelopes {data: [item, ...], meta: {nbPages}} -> rows + page
     count. Each envelope holds up to four turns; some lack ``data``, some ``meta``."""
+    return _envelope_items(_envelopes(spark, d))
+
+
+def _envelopes(spark, d) -> DataFrame:
     c = table(spark, d, "conversations")
     env = (c.groupBy("conv_id", F.expr("turn div 4").alias("page"))
             .agg(F.collect_list(F.struct("conv_id", "turn", "role", "text")).alias("data"), F.max("turn").alias("nb")))
-    env = env.select(
+    return env.select(
         F.when(F.col("conv_id") % 5 != 0, F.col("data")).alias("data"),
         F.when(F.col("conv_id") % 3 != 0, F.struct(F.col("nb").alias("nbPages"))).alias("meta"))
+
+
+@register("envelope_directory", ORACLE["envelope_explode"])
+def q_envelope_directory(spark, d):
+    """The same envelopes written as files, an envelope per line, and read back as a directory."""
+    env, path = _envelopes(spark, d), scratch_path(spark, "envelopes")
+    env.write.json(path)
+    return _envelope_items(read_envelopes(spark, path, env.schema, lines=True))
+
+
+def _envelope_items(env: DataFrame) -> DataFrame:
     rows = envelope_rows(env)
     return rows.select("conv_id", "turn", "role", F.length("text").alias("n_chars"),
                        rows.nb_pages.cast("bigint").alias("nb_pages"))
@@ -732,6 +750,11 @@ FROM (SELECT c.c_custkey, {_ADDR_SQL} AS address
 def q_address_district(spark, d):
     """C7 (fixed rule; the reference rule differs between Java and RE2 on
     upper-case Vietnamese, so only the fixed rule is compared)."""
+    return (_addresses(spark, d)
+            .select("c_custkey", "address", district_from_address("address", mode="fixed").alias("district")))
+
+
+def _addresses(spark, d) -> DataFrame:
     c = table(spark, d, "customer")
     x = lookup(c, table(spark, d, "nation"), [("c_nationkey", "n_nationkey")], ["n_name"],
                null_safe=False)
@@ -742,8 +765,18 @@ def q_address_district(spark, d):
              .when(seg == "FURNITURE", F.concat(F.lit("Quận "), F.col("c_nationkey").cast("string"), F.lit(", HCM")))
              .when(seg == "HOUSEHOLD", F.concat(F.lit("QUẬN Tân Phú, "), F.col("n_name")))
              .otherwise(F.concat(ck, F.lit(" abc"))))
-    y = x.select("c_custkey", addr.alias("address"))
-    return y.select("c_custkey", "address", district_from_address("address", mode="fixed").alias("district"))
+    return x.select("c_custkey", addr.alias("address"))
+
+
+@register("address_district_reference", f"""
+SELECT c_custkey, address, regexp_extract(address, {_sq(DISTRICT_PATTERN)}, 2) AS district
+FROM (SELECT c.c_custkey, replace({_ADDR_SQL}, 'QUẬN', 'Quận') AS address
+      FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
+""")
+def q_address_district_reference(spark, d):
+    """C7, the reference rule, on texts that write "Quận" so: Java and RE2 take capitals outside ASCII differently."""
+    y = _addresses(spark, d).withColumn("address", F.replace("address", F.lit("QUẬN"), F.lit("Quận")))
+    return y.withColumn("district", district_from_address("address"))
 
 
 @register("landing_key", f"""
@@ -1134,6 +1167,83 @@ def q_asof_rates(spark, d):
     return to_base_currency(f, "amount", "currency", "day", rates, base="R", out="amount_base")
 
 
+@register("dim_history", f"""
+WITH per AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, max(o_orderpriority) AS priority FROM orders GROUP BY ALL),
+c AS (SELECT *, lag(priority) OVER w AS before, row_number() OVER w AS n FROM per WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from))
+SELECT o_custkey, priority, valid_from, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to,
+       {sql_key('o_custkey', 'valid_from')} AS version_id
+FROM c WHERE n = 1 OR priority IS DISTINCT FROM before
+""")
+def q_dim_history(spark, d):
+    """G1 with history: a customer's versions, told from the priority of their orders over time."""
+    return dimension_history(_customer_priorities(spark, d), ["o_custkey"], ["priority"], "day", "version_id")
+
+
+def _customer_priorities(spark, d) -> DataFrame:
+    return table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"))
+
+
+@register("fact_versions", f"""
+WITH h AS ({ORACLE["dim_history"]}),
+f AS (SELECT l_orderkey, l_linenumber, o_custkey, CAST(l_shipdate AS DATE) AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT l_orderkey, l_linenumber, f.o_custkey, day, h.version_id, h.priority
+FROM f ASOF LEFT JOIN h ON f.o_custkey = h.o_custkey AND f.day >= h.valid_from
+""")
+def q_fact_versions(spark, d):
+    """G1/D1 with history: every line on the version of its customer that held on its ship date."""
+    h = dimension_history(_customer_priorities(spark, d), ["o_custkey"], ["priority"], "day", "version_id")
+    f = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    f = f.select("l_orderkey", "l_linenumber", "o_custkey", F.to_date("l_shipdate").alias("day"))
+    return lookup_version(f, h, [("o_custkey", "o_custkey")], "day", ["version_id", "priority"])
+
+
+@register("months_report", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS "Year", CAST(month(o_orderdate) AS INTEGER) AS "Month", o_orderstatus,
+       count(*) AS n_orders, CAST(sum(CASE WHEN year(o_orderdate) = 1997 THEN 2 ELSE 1 END * CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM orders WHERE quarter(o_orderdate) = 2 GROUP BY ALL
+""")
+def q_months_report(spark, d):
+    """Orders stored by month, the months of 1997 written again with other amounts, then a report on the second
+    quarters, which reads their months only."""
+    root = scratch_path(spark, "months")
+    o = table(spark, d, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+    write_months(o, root, "gold", "orders", "o_orderdate")
+    write_months(o.where("year(o_orderdate) = 1997").withColumn("cents", 2 * F.col("cents")), root, "gold", "orders", "o_orderdate")
+    stored = read_layer(spark, root, "gold", "orders", prefix="months_")
+    write_layer(build_date_dimension(stored, "o_orderdate"), root, "gold", "dim_date")
+    return dated_distribution(stored, read_layer(spark, root, "gold", "dim_date"), "Quarter = 2", ["Year", "Month", "o_orderstatus"],
+                              {"n_orders": F.count(F.lit(1)), "cents": F.sum("cents")}, date_col="o_orderdate")
+
+
+@register("sketch_report", """
+SELECT l_returnflag, count(DISTINCT l_orderkey) AS n_orders, true AS within_3_percent FROM lineitem GROUP BY l_returnflag
+""")
+def q_sketch_report(spark, d):
+    """G10 by stored sketches: orders per return flag, added up from a sketch per flag and month, beside the exact count."""
+    li, root = table(spark, d, "lineitem"), scratch_path(spark, "sketches")
+    write_layer(distinct_sketches(li.withColumn("month", month_of("l_shipdate")), ["l_returnflag", "month"], "l_orderkey"), root, "gold", "sketches")
+    n = distinct_from_sketches(read_layer(spark, root, "gold", "sketches"), ["l_returnflag"], "estimate")
+    exact = distribution(li, ["l_returnflag"], "l_orderkey", out="n_orders")
+    return exact.join(n, "l_returnflag").select("l_returnflag", "n_orders", (F.abs(F.col("estimate") - F.col("n_orders"))
+                                                                             <= 0.03 * F.col("n_orders")).alias("within_3_percent"))
+
+
+@register("page_selected", """
+SELECT c_custkey, CAST(i AS INTEGER) AS row_idx, CASE i WHEN 0 THEN '/c/' || c_custkey || '?a=1&b=2' ELSE '/n/' || c_nationkey || '/' END AS href,
+       CASE i WHEN 0 THEN c_name || ' – é' ELSE c_mktsegment || ' > x' END AS label
+FROM customer, (VALUES (0), (1)) t(i)
+""")
+def q_page_selected(spark, d):
+    """X2/X5/X7 by selectors: links with either quote or none, character references, ``data-href`` and hidden ones beside them."""
+    ck, nk = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    html = _joined('<nav><ul><li><a data-href="no" href=\'/c/', ck, "?a=1&amp;b=2'>", F.col("c_name"),
+                   " &#8211; &eacute;</a><li class='it em'><div><A HREF=/n/", nk, "/ title='>'><b>", F.col("c_mktsegment"),
+                   "</b> &gt; x<!-- </a> --></A></div></ul><script>'<li><a href=s>'</script><p><a href=/p>outside</a></nav>")
+    pages = table(spark, d, "customer").select("c_custkey", html.alias("html"))
+    rows = selected(pages, {"href": select(Step("a"), attr="href"), "label": select(Step("a"))}, ["c_custkey"], each=(Step("li"),))
+    return rows.select("c_custkey", "row_idx", F.col("href")[0].alias("href"), F.col("label")[0].alias("label"))
+
+
 @register("roundtrip_table", "SELECT * FROM supplier")
 def q_roundtrip_table(spark, d):
     """Create-or-replace a warehouse table, then read it."""
@@ -1510,9 +1620,7 @@ def q_gold_key_checks(spark, d):
              "dim_workform": "true", "dim_skills": "SkillName = 'BUILDING'"}
     t |= {n: t[n].unionByName(t[n].where(c)) for n, c in twice.items()}
     t |= {"fact_job": f.unionByName(moved), "fact_jobskill": s.unionByName(strays)}
-    checks = {f"pk_{n}": pk_violations(t[n], [k]) for n, k in _GOLD_PKS.items()}
-    checks |= {f"fk_{a}_{k}": fk_violations(t[a], t[b], [(k, k)]) for a, b, k in _GOLD_FKS}
-    return key_report(checks)
+    return key_checks(t, _GOLD_PKS, _GOLD_FKS)
 
 
 @register("gold_roundtrip", _GOLD_SQL + "\n" + " UNION ALL ".join(

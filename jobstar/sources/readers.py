@@ -94,10 +94,10 @@ def raw_quality(bronze: DataFrame) -> DataFrame:
     return broken.unionByName(bad).groupBy("source_file", "check").agg(F.count(F.lit(1)).alias("failures"))
 
 
-def read_envelopes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """S2/X8 input: a directory of API response pages, one envelope per file.
+def read_envelopes(spark: SparkSession, path: str, schema: StructType, lines: bool = False) -> DataFrame:
+    """S2/X8 input: a directory of API response pages, one envelope per file, or per line with ``lines``.
     Reading the directory is the union of the pages."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, source: str, prefix: str = "") -> DataFrame:

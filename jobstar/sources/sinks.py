@@ -6,7 +6,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobstar.sources.readers import layer_path
 
@@ -24,6 +25,31 @@ def write_layer(df: DataFrame, root: str, layer: str, source: str, prefix: str =
     return path
 
 
+MONTH = "in_month"  # no case-insensitive match with the date dimension's Month
+
+
+def month_of(date: str | Column) -> Column:
+    """A date's month as a number, 202501 for January 2025."""
+    d = F.col(date) if isinstance(date, str) else date
+    return F.year(d) * 100 + F.month(d)
+
+
+def write_months(df: DataFrame, root: str, layer: str, source: str, date_col: str, prefix: str = "months_") -> str:
+    """A7 in a folder per month of ``date_col`` (rows without a date in one of their own).
+
+    Only the months that ``df`` has rows of are replaced, whole; the others stay. Rows are dealt by ranges of
+    month and hash, so that a task writes to few months and a month of most rows spans tasks. A filter on the column
+    ``in_month``, or a join with filtered dates (``reports.dated_distribution``), prunes the folders.
+    """
+    if MONTH in df.columns:
+        raise ValueError(f"column {MONTH!r} names the folders")
+    path = layer_path(root, layer, source, prefix)
+    rows = df.withColumn(MONTH, month_of(date_col))
+    spread = rows.repartitionByRange(F.col(MONTH), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    return path
+
+
 def land_bronze(sources: dict[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:
     """A3/A4: land each raw source as bronze Parquet, in place of what is there or added to it; an empty or missing
     source is skipped with a warning (``isEmpty`` reads at most one row)."""
@@ -84,7 +110,6 @@ def load_jdbc(spark: SparkSession, tables: dict[str, DataFrame], url: str,
     plan above its own parallelism; ``batchsize`` rows go per round trip. Array and struct columns
     become JSON text when the warehouse has no such types.
     """
-    from pyspark.sql import functions as F
     from pyspark.sql.types import ArrayType, MapType, StructType
 
     opts = {"batchsize": "10000", **jdbc_credentials(spark), **(options or {})}

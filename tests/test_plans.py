@@ -41,7 +41,7 @@ def test_no_python_in_catalog_plans(spark):
         if name.startswith("roundtrip") or name in ("layered_write", "stream_landing"):
             continue
         plan = plan_text(fn(spark, SF))
-        if name.startswith("board_"):  # pages whose elements nest: one parse per page
+        if name.startswith("board_") or name == "page_selected":  # pages whose elements nest: one parse per page
             assert "MapInArrow" in plan
             continue
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
@@ -80,7 +80,8 @@ def test_building_queries_runs_nothing(spark):
     tracker = spark.sparkContext.statusTracker()
     for name, fn in QUERIES.items():
         if name.startswith(("roundtrip", "bronze", "gold_roundtrip")) or name in (
-                "layered_write", "stream_landing", "gold_key_checks", "gold_snapshots", "array_blocks", "incremental_latest"):
+                "layered_write", "stream_landing", "gold_key_checks", "gold_snapshots", "array_blocks", "incremental_latest",
+                "envelope_directory", "months_report", "sketch_report"):
             continue
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         fn(spark, SF)
@@ -89,3 +90,29 @@ def test_building_queries_runs_nothing(spark):
         # reading a Parquet schema is a job of one task; nothing else may run
         assert all(s is None or s.name.startswith("parquet at") for s in stages), name
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_key_checks_take_one_shuffle_per_table_scan(spark):
+    from jobstar.operators.checks import key_checks
+    c, o = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("customer", "orders"))
+    plan = plan_text(key_checks({"customer": c, "orders": o}, {"customer": "c_custkey", "orders": "o_orderkey"},
+                                [("orders", "customer", "o_custkey")]), mode="simple")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 2 and "Join" not in plan
+
+
+def test_dated_report_scans_its_months(spark, tmp_root):
+    from jobstar.operators.reports import dated_distribution
+    from jobstar.operators.star import build_date_dimension
+    from jobstar.sources.readers import read_layer
+    from jobstar.sources.sinks import write_layer, write_months
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    write_months(o, tmp_root, "gold", "orders", "o_orderdate")
+    stored = read_layer(spark, tmp_root, "gold", "orders", prefix="months_")
+    write_layer(build_date_dimension(o, "o_orderdate"), tmp_root, "gold", "dim_date")
+    report = dated_distribution(stored, read_layer(spark, tmp_root, "gold", "dim_date"), "Year = 1997 AND Month = 5", ["Day"],
+                                date_col="o_orderdate")
+    assert sum(r.n for r in report.collect()) == o.where("date_format(o_orderdate, 'yyyyMM') = '199705'").count() > 0
+    assert "dynamicpruning" in plan_text(report, mode="simple")
+    pruned = stored.where("in_month = 199705")
+    assert "PartitionFilters: [isnotnull(in_month" in plan_text(pruned, mode="simple") and all("in_month=199705" in f for f in {
+        r[0] for r in pruned.select(F.input_file_name()).distinct().collect()})
