@@ -2,18 +2,18 @@
 
 A Structured Streaming aggregation keeps one state row per text digest in
 RocksDB (on disk, no watermark, so no expiry). The state holds the digest,
-the stable identifier of the row to keep, a locator of its content and
-the number of rows seen. Texts whose digest was hit more than once are
-then compared on their full bytes: they are grouped by the text itself,
-so two texts that shared a digest would still be kept apart.
+the stable identifier of the row to keep, the locator of its content (file and row) and
+the number of rows seen; results are read from it. Where a digest was hit more than
+once, the full bytes of its rows are compared, with the content that the locator names
+where that came with an earlier arrival: texts that share a digest and differ are told apart.
 """
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstar.session import materialize, scratch_path
@@ -54,42 +54,64 @@ def _settings(spark: SparkSession, conf: dict[str, str]):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def _locator(docs: DataFrame) -> Column:
-    """File and row of a stored row; null where ``docs`` is not a plain file scan."""
-    loc = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    try:
-        docs.select(loc)
-    except AnalysisException:
-        return F.lit(None).cast("struct<file:string,row:bigint>")
-    return loc
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether each row of ``docs`` is a row of a Parquet file of its own: a scan, filtered and projected at most."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.child()
+    return node.getClass().getSimpleName() == "LogicalRelation" and "parquet" in node.relation().toString().lower()
+
+
+def _located(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_at``, the file and row of each row."""
+    data = docs.metadataColumn("_metadata")
+    return docs.select("*", F.struct(data["file_path"].alias("file"), data["row_index"].alias("row")).alias("_at"))
+
 
+def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path``, unless that was done before."""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
-def digest_state(facts: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
-    """Fold ``facts`` (_digest, _id, _locator) into the keyed state and return
+
+def digest_state(facts: DataFrame, store: str, arrival: str, files_per_batch: int = 10_000) -> DataFrame:
+    """Fold ``facts`` (_digest, _id, _at) into the keyed state that ``store`` keeps and return
     it: one row per digest with ``_best`` (largest identifier, its locator) and ``_n``.
 
-    Every micro-batch writes its changed keys under its own batch number, so
+    Facts are stored under the name of their arrival, and the stream's checkpoint knows which files it has read, so an
+    arrival that comes again changes nothing. Every micro-batch writes its changed keys under its own batch number, so
     a repeated batch replaces itself. Maximum and count only ever grow, hence
     the largest value over the batches is the last one.
     """
     spark = facts.sparkSession
-    source, out = scratch_path(spark, "dedup-facts"), scratch_path(spark, "dedup-state")
-    facts.write.parquet(source)
-    stream = (spark.readStream.schema(spark.read.parquet(source).schema)
-              .option("maxFilesPerTrigger", files_per_batch).parquet(source))
-    state = stream.groupBy("_digest").agg(
-        F.max(F.struct("_id", "_locator")).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    schema = _stored(spark, facts, f"{store}/facts/{arrival}").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{store}/facts/*")
+    state = stream.groupBy("_digest").agg(F.max(F.struct("_id", "_at")).alias("_best"), F.count(F.lit(1)).alias("_n"))
     with _settings(spark, _STATE_CONF):
         (state.writeStream.outputMode("update").trigger(availableNow=True)
-         .option("checkpointLocation", scratch_path(spark, "dedup-stream"))
-         .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"))
+         .option("checkpointLocation", f"{store}/stream")
+         .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{store}/state/batch={i}"))
          .start().awaitTermination())
-    schema = "_digest string, _best struct<_id:{0},_locator:struct<file:string,row:bigint>>, _n bigint, batch bigint"
-    kept = spark.read.schema(schema.format(facts.schema["_id"].dataType.simpleString())).parquet(out)
+    ident = schema["_id"].dataType.simpleString()
+    kept = spark.read.schema(f"_digest string, _best struct<_id:{ident},_at:struct<file:string,row:bigint>>, _n bigint, "
+                             "batch bigint").parquet(f"{store}/state")
     return kept.groupBy("_digest").agg(F.max("_best").alias("_best"), F.max("_n").alias("_n"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _earlier_contents(state: DataFrame, seen: DataFrame) -> DataFrame | None:
+    """(_digest, _norm) that the locators of ``state`` name, of digests whose row to keep is not among ``seen``."""
+    old = state.select("_digest", F.col("_best._at").alias("_at")).join(seen, "_digest", "left_anti")
+    files = [r[0] for r in old.select("_at.file").distinct().collect()]  # of earlier arrivals, which were listed to be read
+    if not files:
+        return None
+    return _located(state.sparkSession.read.parquet(*files)).select("_at", "_norm").join(old, "_at").select("_digest", "_norm")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", store: str | None = None,
+                arrival: str | None = None, digest_bits: int = 256) -> DataFrame:
     """Every row of ``docs`` with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; of equal texts the
@@ -97,34 +119,55 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     null identifier as the smallest. Rows that repeat both text and identifier
     count each in ``group_size`` and one of them is kept. An empty table gives
     an empty result. Columns of ``docs`` that carry a result's name are replaced, all others kept, whatever their names.
+
+    With ``store``, a shared folder, the state outlives the call: the rows of this ``arrival`` meet those of
+    earlier ones, and ``keep_id`` and ``group_size`` are over all rows so far. Contents are stored there too. An arrival that is
+    named and comes again counts once. Without it the state lasts for the call. ``digest_bits`` shortens the
+    state's digest; rows of texts that share one are grouped by the text itself, within their arrival.
     """
-    docs = docs.drop(*RESULT)
-    names = docs.columns
-    facts = docs.select(F.sha2(ascii_lower(F.col(text_col)), 256).alias("_digest"), F.col(id_col).alias("_id"),
-                        _locator(docs).alias("_locator"))
+    docs, spark = docs.drop(*RESULT), docs.sparkSession
+    names, arrival = docs.columns, arrival or uuid.uuid4().hex
     columns = [f"c{i}" for i in range(len(names))]  # no helper column has such a name
     id_col, text_col = columns[names.index(id_col)], columns[names.index(text_col)]
     docs = docs.toDF(*columns)
+    if store:
+        docs = _stored(spark, docs.withColumn("_norm", ascii_lower(F.col(text_col))), f"{store}/contents/{arrival}").drop("_norm")
+    elif not _plain_scan(docs):
+        docs = materialize(docs, "dedup-docs")
     norm = ascii_lower(F.col(text_col))
-    digest = F.sha2(norm, 256)
+    sha = F.sha2(norm, 256)
+    whole = digest_bits == 256
+    rows = _located(docs).withColumn("_digest", sha if whole else F.substring(sha, 1, digest_bits // 4))
+    result = [*columns, F.when(F.col("_n").isNull(), F.col(id_col)).otherwise(F.col("_best._id")).alias("keep_id"),
+              F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
+              F.coalesce(F.col("_at") == F.col("_best._at"), F.lit(True)).alias("kept"),
+              (F.col("_digest") if whole else sha).alias("text_sha256")]
+    facts = rows.select("_digest", F.col(id_col).alias("_id"), "_at")
     if facts.isEmpty():
-        return docs.select("*", F.col(id_col).alias("keep_id"), F.lit(0).cast("long").alias("group_size"),
-                           F.lit(True).alias("kept"), digest.alias("text_sha256")).toDF(*names, *RESULT)
-    state = materialize(digest_state(facts), "dedup-groups")
-    rows = docs.withColumn("_digest", digest)
-    single = (rows.join(state.where("_n = 1").select("_digest"), "_digest")
-              .select(*columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-                      F.lit(True).alias("kept"), F.col("_digest").alias("text_sha256")))
-    # hits, stored once: from here on the full text is part of the key
-    hit = materialize(rows.join(state.where("_n > 1").select("_digest"), "_digest"), "dedup-hits")
-    hit = hit.withColumn("_norm", norm)
-    groups = hit.groupBy("_digest", "_norm").agg(
-        F.max(F.struct(F.col(id_col).alias("_id"))).alias("_keep"), F.count(F.lit(1)).alias("_size"))
-    hit = (hit.join(groups, ["_digest", "_norm"])
-           .withColumn("_key", F.xxhash64("_norm"))
-           .withColumn("_best", F.col(id_col).eqNullSafe(F.col("_keep._id")))
-           .withColumn("_order", F.xxhash64(*[F.col(c) for c in columns])))
-    first = F.row_number().over(Window.partitionBy("_digest", "_key", id_col).orderBy("_order"))
-    hit = hit.select(*columns, F.col("_keep._id").alias("keep_id"), F.col("_size").alias("group_size"),
-                     (F.col("_best") & (first == 1)).alias("kept"), F.col("_digest").alias("text_sha256"))
-    return single.unionByName(hit).toDF(*names, *RESULT)
+        return _nothing(docs, id_col, sha, names)
+    state = digest_state(facts, store or scratch_path(spark, "dedup-store"), arrival)
+    state = materialize(state.where("_n > 1"), "dedup-groups")  # a digest of one row needs no more
+
+    # the full bytes of hits, equal ones joined into one within each task before they move
+    hits = rows.join(state.select("_digest", "_best"), "_digest")
+    texts = hits.groupBy("_digest", norm.alias("_norm")).agg(F.max(F.col("_at") == F.col("_best._at")).alias("_kept"))
+    if store:
+        texts = materialize(texts, "dedup-texts")
+        earlier = _earlier_contents(state.join(hits.select("_digest").distinct(), "_digest", "left_semi"), texts.where("_kept").select("_digest"))
+        if earlier is not None:
+            texts = texts.select("_digest", "_norm").unionByName(earlier).distinct()
+    unlike = texts.groupBy("_digest").agg(F.count(F.lit(1)).alias("_texts")).where("_texts > 1").select("_digest")
+    unlike = materialize(unlike, "dedup-unlike")
+    if unlike.isEmpty():
+        return rows.join(state, "_digest", "left").select(*result).toDF(*names, *RESULT)
+    apart = rows.join(unlike, "_digest", "left_semi").withColumn("_norm", norm)
+    groups = apart.groupBy("_digest", "_norm").agg(
+        F.max(F.struct(F.col(id_col).alias("_id"), "_at")).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    out = rows.join(unlike, "_digest", "left_anti").join(state, "_digest", "left").select(*result)
+    return out.unionByName(apart.join(groups, ["_digest", "_norm"]).select(*result)).toDF(*names, *RESULT)
+
+
+def _nothing(docs: DataFrame, id_col: str, sha: Column, names: list[str]) -> DataFrame:
+    """The result of an empty table."""
+    return docs.select("*", F.col(id_col).alias("keep_id"), F.lit(0).cast("long").alias("group_size"),
+                       F.lit(True).alias("kept"), sha.alias("text_sha256")).toDF(*names, *RESULT)

@@ -48,6 +48,38 @@ def test_exact_keeps_columns_named_like_helpers(spark):
     assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out.collect()) == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True)]
 
 
+@pytest.mark.parametrize("bits", [8])
+def test_exact_texts_that_share_a_digest(docs, bits):
+    """Digests of a few bits collide all over; the bytes tell the texts apart."""
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup(docs, digest_bits=bits).collect()}
+    assert got == brute.exact(brute.rows())
+
+
+def test_exact_over_a_scan_and_over_rows_that_are_no_rows_of_files(spark, docs, tmp_root):
+    docs.write.parquet(f"{tmp_root}/docs")
+    stored = spark.read.parquet(f"{tmp_root}/docs")
+    result = lambda df: {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup(df).collect()}
+    assert result(stored) == result(stored.where("doc_id >= 0").select("text", "doc_id")) == brute.exact(brute.rows())
+    twice = stored.where("doc_id < 20").selectExpr("doc_id", "text", "explode(array(1, 2)) AS copy")
+    out = exact_dedup(twice).collect()
+    kept = [r for r in out if r.kept]
+    assert len(out) == 2 * len({r.doc_id for r in out}) and len(kept) == len({r.text_sha256 for r in out})
+
+
+def test_exact_arrivals_meet_in_the_state(spark, tmp_root):
+    rows = [(i, t) for i, t in enumerate(["a", "A", "b", None, "c", "a", "B", "", "d", "a"])]
+    first, second = (spark.createDataFrame(part, SCHEMA) for part in (rows[:5], rows[5:]))
+    for _ in range(2):  # an arrival that comes again counts once
+        out = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(first, store=f"{tmp_root}/s", arrival="one").collect()}
+        assert out == {0: (1, 2, False), 1: (1, 2, True), 2: (2, 1, True), 3: (3, 1, True), 4: (4, 1, True)}
+    for _ in range(2):
+        out = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(second, store=f"{tmp_root}/s", arrival="two").collect()}
+        assert out == {5: (9, 4, False), 6: (6, 2, True), 7: (7, 2, True), 8: (8, 1, True), 9: (9, 4, True)}
+    late = spark.createDataFrame([(-1, "a"), (-2, "e")], SCHEMA)  # the row to keep came before
+    out = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(late, store=f"{tmp_root}/s", arrival="three").collect()}
+    assert out == {-1: (9, 5, False), -2: (-2, 1, True)}
+
+
 def test_fm_dedup(docs):
     expected = brute.earlier_words(brute.rows())
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in fm_dedup(docs).collect()}
