@@ -237,6 +237,9 @@ def repeated_spans(rows: DataFrame, kind: Kind, solve: Solver) -> DataFrame:
             _split(contexts.where("_windows IS NOT NULL"), kind))
     shared = shared.groupBy("_g", "_c").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     info = least.select("_g", "_c", "_m", F.col("_rep._id").alias("_own")).join(shared, ["_g", "_c"], "left")
+    # stored for the same reason: a passage that many rows have makes a hot key of the join below
+    info = materialize(info, "repeats-info")
+    discard(least)
 
     place, left, right = (F.shiftright("_at", 32), F.shiftright("_at", 16).bitwiseAND(0xFFFF), F.col("_at").bitwiseAND(0xFFFF))
     whole = F.struct((place - left).alias("a"), (place + right).alias("b"))
