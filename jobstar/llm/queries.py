@@ -38,7 +38,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@register("op2_warc")
+@register("op2_warc", """
+    WITH d AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+    f AS (SELECT b, min(page_id) AS least FROM d GROUP BY b)
+    SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+               ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+           CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> least THEN least END AS refers_to, CAST(NULL AS VARCHAR) AS error
+    FROM d JOIN f USING (b)
+""")
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: every page written to WARC archives and read back."""
     from jobstar.llm.warc import warc_roundtrip
@@ -73,7 +82,22 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roundtrip_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).drop("text")
 
 
-@register("op7_minhash")
+@register("op7_minhash", """
+    WITH RECURSIVE d AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM d),
+    t AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m
+          FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    l AS (SELECT x, y FROM p WHERE 100 * c >= 85 * (n + m - c)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r(doc_id, comp) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.y, r.comp FROM r JOIN e ON e.x = r.doc_id WHERE r.comp < e.y),
+    k AS (SELECT doc_id, min(comp) AS component_id FROM r GROUP BY doc_id)
+    SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN k USING (doc_id)
+""")
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7: near-duplicate groups of all documents, three-word shingles, similarity 0.85."""
     from jobstar.llm.minhash import near_duplicates
@@ -96,7 +120,24 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs).select("doc_id", *RESULT)
 
 
-@register("op10_suffix_array")
+@register("op10_suffix_array", """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    s AS (SELECT doc_id, j, substr(h, CAST(1024 * j + 1 AS BIGINT), 1422) AS s FROM (
+        SELECT doc_id, h, unnest(range(0, len(h) // 1024 + 1)) AS j FROM d)),
+    k AS (SELECT doc_id, 512 * j + o AS p, md5_number(substr(s, CAST(2 * o + 1 AS BIGINT), 400)) AS m FROM (
+        SELECT doc_id, j, s, unnest(range(0, least(512, len(s) // 2 - 199))) AS o FROM s WHERE len(s) >= 400)),
+    f AS (SELECT m FROM k GROUP BY m HAVING count(*) > 1),
+    r AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM k SEMI JOIN f USING (m)),
+    i AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p - before > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM r),
+    c AS (SELECT doc_id, n, min(p) AS a, max(p) + 200 AS b FROM i GROUP BY doc_id, n),
+    l AS (SELECT doc_id, list({'a': a, 'b': b} ORDER BY a) AS cuts, sum(b - a) AS gone FROM c GROUP BY doc_id),
+    e AS (SELECT doc_id, h, coalesce(gone, 0) AS gone, coalesce(len(cuts), 0) AS n, list_concat([0], list_transform(coalesce(cuts, []), lambda x: x.b)) AS a,
+                 list_concat(list_transform(coalesce(cuts, []), lambda x: x.a), [len(h) // 2]) AS b FROM d LEFT JOIN l USING (doc_id))
+    SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans,
+           sha256(unhex(array_to_string(list_transform(range(1, len(a) + 1), lambda j:
+               substr(h, CAST(2 * a[j] + 1 AS BIGINT), CAST(2 * (b[j] - a[j]) AS BIGINT))), ''))) AS kept_sha256
+    FROM e
+""")
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: every byte of a repeated 200-byte string removed."""
     from pyspark.sql import functions as F
