@@ -55,6 +55,32 @@ def test_exact_texts_that_share_a_digest(docs, bits):
     assert got == brute.exact(brute.rows())
 
 
+def _shuffled(node) -> int:
+    """Bytes that the exchanges of an executed plan wrote."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _shuffled(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _shuffled(node.plan())
+    own = node.metrics().apply("shuffleBytesWritten").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(_shuffled(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_exact_moves_no_text_without_a_copy(spark):
+    """Without broadcasts, as over large tables, only texts that have copies are shuffled."""
+    rng = random.Random(7)
+    rows = [(i, rng.randbytes(4000).hex()) for i in range(100)] + [(200, "a copy"), (201, "A copy")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = exact_dedup(docs)
+        got = {r.doc_id: (r.text, r.keep_id, r.group_size, r.kept) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {i: (t, 201 if i > 100 else i, 2 if i > 100 else 1, i != 200) for i, t in rows}
+    assert _shuffled(out._jdf.queryExecution().executedPlan()) < 100_000
+
+
 def test_exact_over_a_scan_and_over_rows_that_are_no_rows_of_files(spark, docs, tmp_root):
     docs.write.parquet(f"{tmp_root}/docs")
     stored = spark.read.parquet(f"{tmp_root}/docs")
