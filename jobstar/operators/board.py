@@ -93,7 +93,10 @@ def board_detail(pages: DataFrame, keep: list[str], html_col: str = "html") -> D
 def board_bronze(cards: DataFrame, detail: DataFrame) -> DataFrame:
     """Cards merged with the detail page of their ``href``, as bronze A
     records. A card whose detail page is missing is dropped, as in the source;
-    the id is a hash of the link, so it is the same on every run."""
+    the id is a hash of the link, so it is the same on every run.
+
+    Both sides come out of Python, and the size that Spark infers for them says nothing of
+    their texts: never a broadcast, which would pass all detail pages through the driver."""
     card = cards.select("href", "title", "company_name", "update_time", "remain_time")
-    rows = card.join(detail.select("href", *TEXT_FIELDS, *LIST_FIELDS), "href")
+    rows = card.join(detail.select("href", *TEXT_FIELDS, *LIST_FIELDS).hint("merge"), "href")
     return to_schema(rows.withColumn("id", row_key(rows, ["href"])), schemas.BRONZE_A)

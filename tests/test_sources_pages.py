@@ -105,3 +105,14 @@ def test_stream_landing_is_incremental(spark, tmp_root):
     land_stream(spark, src, schemas.BRONZE_A, out, ckpt, source="topcv")   # only the new file
     landed = spark.read.parquet(out)
     assert landed.count() == 3 and landed.select("id").distinct().count() == 3
+
+
+def test_board_bronze_broadcasts_no_detail_pages(spark):
+    """Spark takes rows out of Python for small ones, so it would pass all detail pages through the driver."""
+    from jobstar.operators.board import CARD_FIELDS, LIST_FIELDS, TEXT_FIELDS, board_bronze
+    cards = spark.createDataFrame([("u1", *"abcde"), ("u2", *"fghij")], ", ".join(f"{c} string" for c in CARD_FIELDS))
+    detail = spark.createDataFrame([("u1", *["t"] * len(TEXT_FIELDS), *[["l"]] * len(LIST_FIELDS))], ", ".join(
+        ["href string", *(f"{c} string" for c in TEXT_FIELDS), *(f"{c} array<string>" for c in LIST_FIELDS)]))
+    out = board_bronze(cards, detail)
+    assert [(r.title, r.salary, r.skills) for r in out.collect()] == [("a", "t", ["l"])]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
