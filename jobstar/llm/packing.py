@@ -12,6 +12,7 @@ pieces of each length and gives each its place.
 from __future__ import annotations
 
 import re
+import threading
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,7 @@ from jobstar.session import materialize
 
 CAPACITY, END_ID = 4096, 1
 CACHE_WORDS = 600_000  # words a generation of a Python worker's cache holds
+IDLE_S = 1.0  # after which a worker without a task drops its cache
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 RESULT = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -52,12 +54,27 @@ class WordTokenizer:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
+        self.timer: threading.Timer | None = None
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
         if path not in cls._loaded:
             cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        coder = cls._loaded[path]
+        if coder.timer is not None:  # ended before words are looked up
+            coder.timer.cancel()
+            coder.timer.join()
+            coder.timer = None
+        return coder
+
+    def rest(self) -> None:
+        """Drop the words learnt unless another task comes soon: an idle worker would hold them beside later stages."""
+        def forget() -> None:
+            self.known, self.old = {b"": b""}, {}
+
+        self.timer = threading.Timer(IDLE_S, forget)
+        self.timer.daemon = True
+        self.timer.start()
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -118,19 +135,22 @@ def tokenised_pieces(docs: DataFrame, path: str, text_col: str, capacity: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         coder = WordTokenizer.of(path)
-        for other, texts in batches_of_texts(batches, text_col, raw=True):
-            rows, out = [], ([], [], [], [])
-            for i, ids in enumerate(coder.ids(texts)):
-                ids = memoryview(ids + end)
-                for k, at in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * at:4 * (at + capacity)]
-                    rows.append(i)
-                    for values, x in zip(out, (k, at, len(part) // 4, zlib.crc32(part))):
-                        values.append(x)
-            columns = [other.column(c).take(pa.array(rows, pa.int64())) for c in rest]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(v, t) for v, t in zip(out, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                names=[*rest, "piece", "start", "length", "ids_crc32"])
+        try:
+            for other, texts in batches_of_texts(batches, text_col, raw=True):
+                rows, out = [], ([], [], [], [])
+                for i, ids in enumerate(coder.ids(texts)):
+                    ids = memoryview(ids + end)
+                    for k, at in enumerate(range(0, len(ids) // 4, capacity)):
+                        part = ids[4 * at:4 * (at + capacity)]
+                        rows.append(i)
+                        for values, x in zip(out, (k, at, len(part) // 4, zlib.crc32(part))):
+                            values.append(x)
+                columns = [other.column(c).take(pa.array(rows, pa.int64())) for c in rest]
+                yield pa.RecordBatch.from_arrays(
+                    columns + [pa.array(v, t) for v, t in zip(out, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                    names=[*rest, "piece", "start", "length", "ids_crc32"])
+        finally:
+            coder.rest()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col), PIECES])
     return docs.select(*[f"`{c}`" for c in rest], F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, schema)

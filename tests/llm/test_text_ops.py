@@ -14,7 +14,7 @@ import tiktoken
 import zstandard
 from tokenizers import Tokenizer
 
-from jobstar.llm import bpe, warc
+from jobstar.llm import bpe, packing, warc
 from jobstar.llm.langid import LanguageModel, features, fit_svm, identify_languages
 from jobstar.llm.packing import pack_documents, plan_packing
 from jobstar.llm.quality import ngram_table, quality_rules
@@ -377,3 +377,18 @@ def test_quality_keeps_columns_named_like_helpers(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
     out = quality_rules(df, labels).collect()
     assert len(out) == 2 and all([r[n] for n in names] == list(range(len(names))) for r in out)
+
+
+def test_idle_tokenizer_drops_its_words(monkeypatch):
+    """An idle Python worker holds no words beside the stages that follow; one that gets a task in time keeps them."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder = packing.WordTokenizer.of(path)
+    ids = coder.ids([b"some words, some more"])
+    monkeypatch.setattr(packing, "IDLE_S", 60)
+    coder.rest()
+    assert packing.WordTokenizer.of(path) is coder and b"more" in coder.known
+    monkeypatch.setattr(packing, "IDLE_S", 0.01)
+    coder.rest()
+    coder.timer.join()
+    assert coder.known == {b"": b""} and coder.old == {}
+    assert packing.WordTokenizer.of(path).ids([b"some words, some more"]) == ids
