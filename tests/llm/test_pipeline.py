@@ -93,7 +93,7 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want = con.execute(ORACLE[name])
     columns = [c[0] for c in want.description]
