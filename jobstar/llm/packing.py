@@ -11,7 +11,7 @@ pieces of each length and gives each its place.
 
 from __future__ import annotations
 
-import re
+import ctypes
 import threading
 import zlib
 from collections.abc import Iterator
@@ -21,33 +21,86 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobstar.llm.text import batches_of_texts
+from jobstar.llm.text import IS_SPACE, batches_of_texts, joined, ranges, word_spans
 from jobstar.session import materialize
 
 CAPACITY, END_ID = 4096, 1
-CACHE_WORDS = 600_000  # words a generation of a Python worker's cache holds
-IDLE_S = 1.0  # after which a worker without a task drops its cache
+CACHE_WORDS = 600_000  # units a generation of a Python worker's cache holds
+IDLE_S = 0.3  # after which a worker without a task drops its cache
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 RESULT = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _kinds() -> np.ndarray:
+    """Kind of every ASCII byte: 1 letters, 2 digits, 3 what joins to one pre-token; 0 all else, apostrophes among them."""
+    table = np.zeros(256, np.uint8)
+    table[[i for i in range(33, 127) if i != ord("'")]] = 3
+    table[[*range(65, 91), *range(97, 123)]] = 1
+    table[48:58] = 2
+    return table
+
+
+_KIND = _kinds()
+# fixed: second bytes of the letters U+00C0..U+00FF, which NFC and lower-casing leave one letter each
+_LATIN = np.zeros(256, bool)
+_LATIN[[i for i in range(0x80, 0xC0) if i not in (0x97, 0xB7)]] = True
+
+
+def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of the units that a text is encoded by, and whether each is a single pre-token.
+
+    A word of ASCII and Latin-1 letters, digits and signs is cut into its pre-tokens: runs of
+    letters, runs of signs and single digits. Any other stays whole, as do words with
+    an apostrophe (contractions) or ``<|`` (special tokens). ``data`` ends with a separator.
+    """
+    begin, end = word_spans(data)
+    kind = _KIND[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3)
+    latin = latin[_LATIN[data[latin + 1]]]
+    kind[latin] = kind[latin + 1] = 1
+    odd = (kind == 0) & ~IS_SPACE[data]
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    whole = np.zeros(begin.size, bool)
+    whole[np.searchsorted(begin, np.flatnonzero(odd), "right") - 1] = True
+    cut = np.flatnonzero(((kind[1:] != kind[:-1]) | (kind[1:] == 2)) & ~IS_SPACE[data[1:]] & ~IS_SPACE[data[:-1]]) + 1
+    word = np.searchsorted(begin, cut, "right") - 1
+    cut, word = cut[~whole[word]], word[~whole[word]]
+    count = np.bincount(word, minlength=begin.size) + 1
+    starts, ends = np.empty(begin.size + cut.size, begin.dtype), np.empty(begin.size + cut.size, begin.dtype)
+    first = np.cumsum(count) - count
+    inner = np.ones(starts.size, bool)
+    inner[first] = False
+    starts[first], starts[inner] = begin, cut
+    last = np.ones(starts.size, bool)
+    last[first + count - 1] = False
+    ends[first + count - 1], ends[last] = end, cut
+    return starts, ends, np.repeat(~whole, count)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can; it keeps some for the process otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class WordTokenizer:
-    """Ids of texts by a tokenizer file, word by word.
-
-    The tokenizer drops white space and never joins what it separates, so a
-    text's ids are those of its words in order. Each worker keeps the ids of
-    the words it meets, in two generations of bounded size. Of a new word of
-    plain letters, with or without a full stop or the like after it, the letters are one
-    pre-token; many of these are encoded in one call and told apart by the
-    tokens that end a word.
+    """Ids of texts by a tokenizer file, unit by unit.
+
+    The tokenizer drops white space and never joins what it separates, nor
+    pre-tokens, so a text's ids are those of its ``units`` in order. Each worker keeps the ids of
+    the units it meets, in two generations of bounded size, and looks each up
+    once for a slice of texts. Many new single pre-tokens are encoded in one
+    call and told apart by the tokens that end a word.
     """
 
     _loaded: dict[str, WordTokenizer] = {}
-    _plain = re.compile(rb"([a-z]+)([.,!?;:]*)").fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -58,19 +111,23 @@ class WordTokenizer:
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        coder = cls._loaded[path]
-        if coder.timer is not None:  # ended before words are looked up
+        coder = cls._loaded.get(path)
+        if coder is not None and coder.timer is not None:  # ended before words are looked up
             coder.timer.cancel()
             coder.timer.join()
             coder.timer = None
+        if coder is None or coder.tokenizer is None:  # dropped
+            coder = cls._loaded[path] = cls(path)
         return coder
 
     def rest(self) -> None:
-        """Drop the words learnt unless another task comes soon: an idle worker would hold them beside later stages."""
+        """Drop the units learnt and the tokenizer unless another task comes soon, and give the memory
+        back to the system: an idle worker would hold it beside later stages."""
         def forget() -> None:
             self.known, self.old = {b"": b""}, {}
+            self._loaded.pop(self.path, None)
+            self.tokenizer = None
+            give_back()
 
         self.timer = threading.Timer(IDLE_S, forget)
         self.timer.daemon = True
@@ -79,50 +136,57 @@ class WordTokenizer:
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, words: list[bytes]) -> None:
-        """Learn words that are not known."""
-        known, old = self.known, self.old
-        plain, other, shape = [], [], []
-        for w in words:
-            found = old.get(w)
+    def _add(self, words: list[bytes], single: list[bool]) -> None:
+        """Learn units that are not known."""
+        known, get = self.known, self.old.get
+        plain, other = [], []
+        for w, one in zip(words, single):
+            found = get(w)
             if found is not None:
                 known[w] = found
-                continue
-            match = self._plain(w)
-            if match is None:
-                other.append(w)
-            elif match[2]:
-                shape.append((w, match[1], match[2]))
-                plain.append(match[1])
-                other.append(match[2])
-            else:
+            elif one:
                 plain.append(w)
-        plain = [w for w in set(plain) if w not in known]
+            else:
+                other.append(w)
         for at in range(0, len(plain), 2000):
             part = plain[at:at + 2000]
             (ids,) = self._encoded([b" ".join(part).decode()])
-            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if ends.size != len(part):
-                raise ValueError(f"{len(part)} words gave {ends.size} word ends")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(part):
+                raise ValueError(f"{len(part)} words gave {len(ends)} word ends")
             raw = ids.tobytes()
-            known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
-        other = [w for w in set(other) if w not in known]
+            known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
         known.update(zip(other, [ids.tobytes() for ids in self._encoded([w.decode("utf-8", "replace") for w in other])]))
-        for w, core, tail in shape:
-            known[w] = known[core] + known[tail]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text.
 
-        ``bytes.split`` splits at ASCII white space. A text of ASCII alone is
+        Words end at ASCII white space. A text of ASCII alone is
         lower-cased first, as the tokenizer does after looking for special tokens.
         """
-        split = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
+        data, starts, _ = joined([t.lower() if t.isascii() and b"<|" not in t else t for t in texts])
+        begin, end, single = units(data)
+        offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), begin.size, [
+            None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[~IS_SPACE[data]]))]).dictionary_encode()
+        which = words.indices.to_numpy(zero_copy_only=False)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)  # far faster than a list from Arrow
         if len(self.known) > CACHE_WORDS:
             self.known, self.old = {b"": b""}, self.known
         known = self.known
-        self._add(list(set().union(*split).difference(known)))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        single_of = np.empty(distinct.size, bool)
+        single_of[which] = single
+        coded = list(map(known.get, distinct))
+        new = [i for i, found in enumerate(coded) if found is None]
+        self._add(distinct[new].tolist(), single_of[new].tolist())
+        for i in new:
+            coded[i] = known[distinct[i]]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        count = size[which]
+        ids = np.frombuffer(b"".join(coded), "<u4")[ranges((np.cumsum(size) - size)[which], count)]
+        first = np.append(np.searchsorted(begin, starts), begin.size)  # unit of each text
+        cuts = np.concatenate(([0], np.cumsum(count)))[first].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 def tokenised_pieces(docs: DataFrame, path: str, text_col: str, capacity: int = CAPACITY,
