@@ -24,6 +24,7 @@ When these fill up, on a corpus with far more frequent pairs than bits, more suf
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -70,10 +71,14 @@ class Words:
         self.langs = langs.dictionary
         self.lang = self.langs.take(pa.array(self.lang_of))
         self.word = words.dictionary.take(pa.array(distinct % n))
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        """Spark's hash of each distinct word with its language; made where it is used."""
         heads = [g + b"\0" for g in self.langs.to_pylist()]
-        bare = words.dictionary.to_numpy(zero_copy_only=False)[distinct % n]  # far faster than a list from Arrow
-        self.hash = np.fromiter((xxhash.xxh64_intdigest(heads[g] + w, SEED) for g, w in
-                                 zip(self.lang_of.tolist(), bare.tolist())), np.uint64, distinct.size)
+        bare = self.word.to_numpy(zero_copy_only=False)  # far faster than a list from Arrow
+        return np.fromiter((xxhash.xxh64_intdigest(heads[g] + w, SEED) for g, w in
+                            zip(self.lang_of.tolist(), bare.tolist())), np.uint64, bare.size)
 
     def follows(self) -> np.ndarray:
         """Whether the next place has a word of the same piece."""
@@ -111,7 +116,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _words(batches):
-            count = np.bincount(w.at, minlength=w.hash.size)
+            count = np.bincount(w.at, minlength=len(w.word))
             yield _batch(schema, w.lang, w.word, count)
             total = np.bincount(w.lang_of, count, len(w.langs)).astype(np.int64)
             yield _batch(schema, w.langs, pa.nulls(len(w.langs)), total)
@@ -167,13 +172,16 @@ def group_bounds(prefixes: DataFrame, budget: int) -> list[int]:
 
 
 def suffixes(docs: DataFrame, bits: bytes, bounds: list[int], hot: set[int], hotter: dict[int, int]) -> DataFrame:
-    """(_group, lang, w1, w2, w3, f): suffixes cut at three words, and where a pair is not frequent.
+    """(_group, head, w3, f): suffixes cut at three words, and where a pair is not frequent.
 
+    ``head`` is two words and the language with a space between; words have none, so it can be taken apart.
+    One column for the three moves, sorts and compares faster than three.
     Words in ``hot`` are routed with the next word, pairs in ``hotter`` (with the number of their groups) with the third.
     """
     firsts, limits = np.array(sorted(hot), np.uint64), np.array(bounds, np.int64)
     spread = np.array(sorted(hotter.items()), np.uint64).reshape(-1, 2)
-    schema = {"_group": pa.int64(), **dict.fromkeys(("lang", "w1", "w2", "w3"), pa.binary()), "f": pa.int64()}
+    schema = {"_group": pa.int64(), "head": pa.binary(), "w3": pa.binary(), "f": pa.int64()}
+    space = pa.scalar(b" ", pa.large_binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits, np.uint8)
@@ -190,17 +198,20 @@ def suffixes(docs: DataFrame, bits: bytes, bounds: list[int], hot: set[int], hot
             third = np.where(begins[at + 1], np.concatenate((w.at, [0, 0]))[at + 2], n)
             pair, place = np.unique(w.at[at] * n + w.at[at + 1], return_inverse=True)
             leaf, first, count = np.unique(place * (n + 1) + third, return_index=True, return_counts=True)
-            one, two, three, h = pair[place[first]] // n, pair[place[first]] % n, third[first], hashes[first]
+            one, three, h = pair[place[first]] // n, third[first], hashes[first]
             route = np.where(np.isin(w.hash[one], firsts), h, w.hash[one]).view(np.int64)
             group = np.searchsorted(limits, route, "right").astype(np.int64)
             if spread.size:
                 i = np.minimum(np.searchsorted(spread[:, 0], h), len(spread) - 1)
                 last = np.concatenate((w.hash, np.zeros(1, np.uint64)))[three]
                 group = np.where(spread[i, 0] == h, -1 - (mix(h + last) % spread[i, 1]).astype(np.int64), group)
-            yield _batch(schema, group, w.lang.take(pa.array(one)), w.word.take(pa.array(one)), w.word.take(pa.array(two)),
+            begin, after = pa.array(pair // n), pa.array(pair % n)
+            head = pc.binary_join_element_wise(w.word.take(begin), w.word.take(after),
+                                               w.lang.take(begin).cast(pa.large_binary()), space)
+            yield _batch(schema, group, head.take(pa.array(place[first])),
                          w.word.take(pa.array(np.where(three < n, three, 0), mask=three == n)), count)
 
-    return docs.mapInArrow(run, "_group bigint, lang binary, w1 binary, w2 binary, w3 binary, f bigint")
+    return docs.mapInArrow(run, "_group bigint, head binary, w3 binary, f bigint")
 
 
 def subtrees(leaves: DataFrame, least: int) -> DataFrame:
@@ -208,14 +219,19 @@ def subtrees(leaves: DataFrame, least: int) -> DataFrame:
 
     A node of two words whose children lie in several groups has a part of its count in each; ``spread`` marks these.
     """
-    names = ["lang", "w1", "w2", "w3"]
-    schema = {"spread": pa.bool_(), **dict.fromkeys(names, pa.binary()), "f": pa.int64()}
+    schema = {"spread": pa.bool_(), **dict.fromkeys(("lang", "w1", "w2", "w3"), pa.binary()), "f": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, total, child, below = None, 0, None, 0  # open node of two words, its open child, and their counts
 
         def one(spread: bool, word: bytes | None, count: int) -> pa.RecordBatch:
-            return _batch(schema, *(pa.array([x], t) for x, t in zip((spread, *node[1:], word, count), schema.values())))
+            w1, w2, lang = node[1].split(b" ", 2)
+            return _batch(schema, *(pa.array([x], t) for x, t in zip((spread, lang, w1, w2, word, count), schema.values())))
+
+        def apart(head: pa.Array) -> list[pa.Array]:
+            parts = pc.split_pattern(head, " ", max_splits=2).flatten()
+            w1, w2, lang = (parts.take(pa.array(np.arange(i, len(parts), 3))) for i in range(3))
+            return [lang, w1, w2]
 
         def close_child() -> Iterator[pa.RecordBatch]:
             if child and below >= least:
@@ -235,13 +251,12 @@ def subtrees(leaves: DataFrame, least: int) -> DataFrame:
             differs = lambda c: pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
             new_node = np.ones(b.num_rows, bool)
             new_node[1:] = group[1:] != group[:-1]
-            for c in names[:3]:
-                new_node[1:] |= differs(b.column(c))
+            new_node[1:] |= differs(b.column("head"))
             new_child = new_node.copy()
             new_child[1:] |= differs(third)
             nodes, children = np.flatnonzero(new_node), np.flatnonzero(new_child)
             totals, belows = np.add.reduceat(f, nodes), np.add.reduceat(f, children)
-            first = (int(group[0]), *(b.column(c)[0].as_py() for c in names[:3]))
+            first = (int(group[0]), b.column("head")[0].as_py())
             if first == node:
                 totals[0] += total
                 if third[0].as_py() == child:
@@ -252,21 +267,21 @@ def subtrees(leaves: DataFrame, least: int) -> DataFrame:
                 yield from close()
             # the last ones stay open
             last = int(nodes[-1])
-            node, total = (int(group[last]), *(b.column(c)[last].as_py() for c in names[:3])), int(totals[-1])
+            node, total = (int(group[last]), b.column("head")[last].as_py()), int(totals[-1])
             child, below = third[int(children[-1])].as_py(), int(belows[-1])
             nodes, totals, children, belows = nodes[:-1], totals[:-1], children[:-1], belows[:-1]
             often = (totals >= least) | (group[nodes] < 0)
             two = b.take(pa.array(nodes[often]))
-            yield _batch(schema, group[nodes[often]] < 0, *(two.column(c) for c in names[:3]), pa.nulls(len(two)), totals[often])
+            yield _batch(schema, group[nodes[often]] < 0, *apart(two.column("head")), pa.nulls(len(two)), totals[often])
             words = pc.binary_length(third).to_numpy() > 0
             often = (belows >= least) & words[children]
             three = b.take(pa.array(children[often]))
-            yield _batch(schema, np.zeros(len(three), bool), *(three.column(c) for c in names), belows[often])
+            yield _batch(schema, np.zeros(len(three), bool), *apart(three.column("head")), three.column("w3"), belows[often])
         yield from close()
 
     # group, then 44 bits of the pair's hash: Spark compares this number first and seldom has to look at the words
-    order = F.shiftleft("_group", 44) + F.shiftrightunsigned(F.xxhash64(*names[:3]), 20)
-    dealt = leaves.repartition("_group").sortWithinPartitions(order, *names).select("_group", *names, "f")
+    order = F.shiftleft("_group", 44) + F.shiftrightunsigned(F.xxhash64("head"), 20)
+    dealt = leaves.repartition("_group").sortWithinPartitions(order, "head", "w3")
     return dealt.mapInArrow(run, "spread boolean, lang binary, w1 binary, w2 binary, w3 binary, f bigint")
 
 
